@@ -8,6 +8,7 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tallymill.operators.cleaning import (
     clean_product_prices,
@@ -33,12 +34,19 @@ from tallymill.operators.shaping import (
     transform_sales,
 )
 from tallymill.operators.splits import classify_sales, parse_transaction_date
+from tallymill.operators.statistics import exact_median
 from tallymill.schemas import DIMENSION_KEYS, QUALITY_REPORT, STAGING
-from tallymill.session import apply_settings, settle
+from tallymill.session import apply_settings, in_parallel, settle
 from tallymill.sinks.audit import FAILED, SUCCESS, last_watermark, record_run
-from tallymill.sinks.quarantine import STAGE_OF_FEED, quality_counts, write_rejects
+from tallymill.sinks.quarantine import LOADED, STAGE_OF_FEED, quality_counts, write_rejects
 from tallymill.sinks.warehouse import create_tables, load_dimension, load_fact
-from tallymill.sources.tables import read_dimension_keys, read_staging
+from tallymill.sources.tables import (
+    CORRUPT_TEXT,
+    ROW_OK,
+    read_dimension_keys,
+    read_staging,
+    read_table,
+)
 
 logger = logging.getLogger(__name__)
 
@@ -90,8 +98,9 @@ def clean_products(staged: DataFrame) -> tuple[DataFrame, DataFrame]:
     return enforce_product_types(clean), rejected_products(prepared, best)
 
 
-def prepare_sales(staged: DataFrame) -> DataFrame:
-    return parse_transaction_date(clean_sales_numbers(normalize_blank_strings(staged)))
+def prepare_sales(staged: DataFrame, median: float | None = None) -> DataFrame:
+    numbers = clean_sales_numbers(normalize_blank_strings(staged), median=median)
+    return parse_transaction_date(numbers)
 
 
 def known_keys(batch_rows: DataFrame, table: str, loaded: DataFrame | None) -> DataFrame:
@@ -109,18 +118,94 @@ def classify_batch_sales(
     products: DataFrame,
     loaded_customers: DataFrame | None = None,
     loaded_products: DataFrame | None = None,
+    median: float | None = None,
 ) -> DataFrame:
     """Prepared sales with ``reject_reason``, null for a clean row."""
     return classify_sales(
-        prepare_sales(staged),
-        known_keys(customers, "dim_customer", loaded_customers),
-        known_keys(products, "dim_product", loaded_products),
+        prepare_sales(staged, median),
+        *in_parallel(
+            staged.sparkSession,
+            lambda: known_keys(customers, "dim_customer", loaded_customers),
+            lambda: known_keys(products, "dim_product", loaded_products),
+        ),
     )
 
 
 # --- the run ---
 
 
+@dataclass(frozen=True)
+class Cleaned:
+    """Cleaned feeds as written tables; ``sales`` holds both outcomes, told by ``outcome``."""
+
+    customers: DataFrame
+    products: DataFrame
+    sales: DataFrame
+    rejects: dict[str, DataFrame]
+
+
+def clean_batch(
+    batch: Batch,
+    loaded_customers: DataFrame | None = None,
+    loaded_products: DataFrame | None = None,
+) -> Cleaned:
+    """All cleaning steps. The sales are read twice: the price column alone for its median, then
+    whole, to be classified and written once, split by outcome."""
+    spark = batch.sales.sparkSession
+    (customers, bad_customers), (products, bad_products), median = in_parallel(
+        spark,
+        lambda: clean_customers(batch.customers),
+        lambda: clean_products(batch.products),
+        lambda: exact_median(batch.sales, "unit_price"),
+    )
+    classified = classify_batch_sales(
+        batch.sales, customers, products, loaded_customers, loaded_products, median
+    )
+    sales = settle(
+        classified.withColumn("outcome", F.coalesce("reject_reason", F.lit(SALES_CLEAN))),
+        "sales-classified",
+        partition_by="outcome",
+    )
+    rejects = {
+        "customers_stage": bad_customers,
+        "products_stage": bad_products,
+        "sales_transactions_stage": sales.where(F.col("outcome") != SALES_CLEAN).drop("outcome"),
+    }
+    return Cleaned(customers, products, sales, rejects)
+
+
+def write_all_rejects(cleaned: Cleaned, folder: str, run_id: str, file_format: str) -> None:
+    """Quarantine of the three feeds."""
+
+    def write(table: str):
+        stage = STAGE_OF_FEED.get(table) or F.lower("reject_reason")
+        return lambda: write_rejects(
+            cleaned.rejects[table], f"{folder}/{table}", run_id, stage, file_format
+        )
+
+    in_parallel(cleaned.sales.sparkSession, *[write(table) for table in cleaned.rejects])
+
+
+def load(
+    spark: SparkSession, warehouse: str, cleaned: Cleaned, run_id: str, as_of: date | None
+) -> None:
+    """Dimensions side by side, then the fact that refers to them."""
+    clean_sales = cleaned.sales.where(F.col("outcome") == SALES_CLEAN)
+
+    def customers():
+        rows = transform_customers(cleaned.customers, as_of)
+        load_dimension(spark, warehouse, rows, "dim_customer")
+
+    def products():
+        load_dimension(spark, warehouse, transform_products(cleaned.products), "dim_product")
+
+    def days():
+        load_dimension(spark, warehouse, build_dim_date(clean_sales), "dim_date")
+
+    in_parallel(spark, customers, products, days)
+    load_fact(spark, warehouse, transform_sales(enforce_sales_types(clean_sales)), run_id)
+
+
 def _count_and_newest(df: DataFrame) -> tuple[int, datetime | None]:
     row = df.agg(F.count("*").alias("n"), F.max("ingest_date").alias("newest")).first()
     return row["n"], row["newest"]
@@ -147,93 +232,80 @@ def run(
     quarantine = quarantine or f"{warehouse}/quarantine"
     audit = f"{warehouse}/etl_audit_log"
     watermark = last_watermark(spark, audit)
-    processed = rejected = 0
+    processed = rejected = loaded = 0
     try:
-        create_tables(spark, warehouse)
         batch = extract(spark, staging, watermark)
-        sizes = [_count_and_newest(df) for df in (batch.customers, batch.products, batch.sales)]
+        *sizes, _ = in_parallel(
+            spark,
+            lambda: _count_and_newest(batch.customers),
+            lambda: _count_and_newest(batch.products),
+            lambda: _count_and_newest(batch.sales),
+            lambda: create_tables(spark, warehouse),
+        )
         processed = sum(n for n, _ in sizes)
         newest = max([watermark, *[t for _, t in sizes if t is not None]])
-
-        customers, bad_customers = clean_customers(batch.customers)
-        products, bad_products = clean_products(batch.products)
-        loaded = {
-            t: None if batch_only else read_dimension_keys(spark, warehouse, t)
-            for t in ("dim_customer", "dim_product")
-        }
-        outcome = F.coalesce("reject_reason", F.lit(SALES_CLEAN))
-        sales = settle(
-            classify_batch_sales(
-                batch.sales, customers, products, loaded["dim_customer"], loaded["dim_product"]
-            ).withColumn("outcome", outcome),
-            "sales-classified",
-            partition_by="outcome",
-        )
-        clean_sales = sales.where(F.col("outcome") == SALES_CLEAN)
-        bad_sales = sales.where(F.col("outcome") != SALES_CLEAN)
-
-        rejects = {
-            "customers_stage": bad_customers,
-            "products_stage": bad_products,
-            "sales_transactions_stage": bad_sales.drop("outcome"),
-        }
-        for table, bad in rejects.items():
-            stage = STAGE_OF_FEED.get(table) or F.lower("reject_reason")
-            write_rejects(bad, f"{quarantine}/{table}", run_id, stage)
-            if csv_rejects:
-                write_rejects(bad, f"{csv_rejects}/{table}", run_id, stage, "csv")
-
-        load_dimension(spark, warehouse, transform_customers(customers, as_of), "dim_customer")
-        load_dimension(spark, warehouse, transform_products(products), "dim_product")
-        load_dimension(spark, warehouse, build_dim_date(clean_sales), "dim_date")
-        facts = transform_sales(enforce_sales_types(clean_sales))
-        load_fact(spark, warehouse, facts, run_id)
-
-        report = _write_quality_report(
-            spark, warehouse, quarantine, run_id, customers, products, sales
-        )
-        counts = {
-            (r["table_name"], r["reason"]): r["row_count"] for r in report
-        }
-        loaded_rows = counts.get(("sales_transactions_stage", "LOADED"), 0)
-        rejected = sizes[2][0] - loaded_rows
-        record_run(spark, audit, newest, processed, rejected, loaded_rows, SUCCESS)
-        return RunReport(run_id, processed, rejected, loaded_rows, newest)
+        if processed:
+            known = ("dim_customer", "dim_product")
+            cleaned = clean_batch(
+                batch,
+                *[None if batch_only else read_dimension_keys(spark, warehouse, t) for t in known],
+            )
+            in_parallel(
+                spark,
+                lambda: load(spark, warehouse, cleaned, run_id, as_of),
+                lambda: write_all_rejects(cleaned, quarantine, run_id, "parquet"),
+                *(
+                    [lambda: write_all_rejects(cleaned, csv_rejects, run_id, "csv")]
+                    if csv_rejects
+                    else []
+                ),
+            )
+            loaded = _write_quality_report(spark, warehouse, quarantine, run_id, cleaned)
+        rejected = sizes[2][0] - loaded
+        record_run(spark, audit, newest, processed, rejected, loaded, SUCCESS)
+        return RunReport(run_id, processed, rejected, loaded, newest)
     except Exception:
         logger.exception("run %s failed", run_id)
         record_run(spark, audit, watermark, processed, rejected, 0, FAILED)
         raise
 
 
-def _write_quality_report(spark, warehouse, quarantine, run_id, customers, products, sales) -> list:
-    """Rows per table, stage and reason, counted from written tables, so retries cannot inflate it."""
+def _write_quality_report(
+    spark: SparkSession, warehouse: str, quarantine: str, run_id: str, cleaned: Cleaned
+) -> int:
+    """Append rows per table, stage and reason; returns the clean sales.
+
+    Counted from written tables, whose footers and reason columns are all that is read; metrics
+    gathered on the way would count the rows of repeated tasks again.
+    """
 
     def clean_part(df: DataFrame, table: str) -> DataFrame:
         none = F.lit(None).cast("string")
         return quality_counts(df.withColumn("reject_reason", none), run_id, table, F.lit("load"))
 
     def reject_part(table: str) -> DataFrame:
-        folder = f"{quarantine}/{table}"
-        columns = "reject_reason string, reject_stage string, run_id string"
-        rows = spark.read.schema(columns).parquet(folder).where(F.col("run_id") == run_id)
-        return quality_counts(rows, run_id, table, F.col("reject_stage"))
-
-    stage = F.when(F.col("reject_reason").isNull(), "load").otherwise(F.lower("reject_reason"))
-    report = quality_counts(sales, run_id, "sales_transactions_stage", stage)
-    for table, clean in (("customers_stage", customers), ("products_stage", products)):
-        report = report.unionByName(clean_part(clean, table))
-        if _has_rows(spark, f"{quarantine}/{table}"):
-            report = report.unionByName(reject_part(table))
+        columns = StructType.fromDDL("reject_reason string, reject_stage string, run_id string")
+        rows = read_table(spark, f"{quarantine}/{table}", columns)
+        return quality_counts(
+            rows.where(F.col("run_id") == run_id), run_id, table, F.col("reject_stage")
+        )
+
+    stage = F.coalesce(F.lower("reject_reason"), F.lit("load"))
+    report = quality_counts(cleaned.sales, run_id, "sales_transactions_stage", stage)
+    for table, clean in (
+        ("customers_stage", cleaned.customers),
+        ("products_stage", cleaned.products),
+    ):
+        report = report.unionByName(clean_part(clean, table)).unionByName(reject_part(table))
     path = f"{warehouse}/etl_data_quality_report"
     report.coalesce(1).write.mode("append").parquet(path)
-    rows = spark.read.schema(QUALITY_REPORT).parquet(path).where(F.col("run_id") == run_id)
-    return rows.collect()  # one row per table, stage and reason
-
-
-def _has_rows(spark: SparkSession, folder: str) -> bool:
-    from tallymill.sources.tables import path_exists
-
-    return path_exists(spark, folder)
+    clean_sales = (
+        spark.read.schema(QUALITY_REPORT)
+        .parquet(path)
+        .where((F.col("run_id") == run_id) & (F.col("reason") == LOADED))
+        .where(F.col("table_name") == "sales_transactions_stage")
+    )
+    return clean_sales.agg(F.coalesce(F.max("row_count"), F.lit(0))).first()[0]
 
 
 def append_staging(df: DataFrame, staging: str, table: str) -> None:
@@ -243,8 +315,8 @@ def append_staging(df: DataFrame, staging: str, table: str) -> None:
         df.select(*columns)
         .withColumns(
             {
-                "corrupt_text": F.lit(None).cast("string"),
-                "row_status": F.lit("ok"),
+                CORRUPT_TEXT: F.lit(None).cast("string"),
+                "row_status": F.lit(ROW_OK),
                 "ingest_day": F.to_date("ingest_date"),
             }
         )

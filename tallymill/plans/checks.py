@@ -196,15 +196,15 @@ def split_by_date_issue(
 
 
 def date_issue_profile(sales: DataFrame, date_col: str = "transaction_date") -> DataFrame:
-    """One row of counts, in one pass."""
-    exact = date_issue(F.col(date_col))
-    return sales.agg(
+    """One row of counts, in one pass that parses each date once."""
+    issue = F.col("issue")
+    return sales.select(date_issue(F.col(date_col)).alias("issue")).agg(
         F.count("*").alias("total_records"),
-        F.count(exact).alias("bad_dates"),
-        F.count_if(exact.isNull()).alias("good_dates"),
-        F.count_if(exact == DATE_NULL).alias("null_dates"),
-        F.count_if(exact == DATE_EMPTY).alias("empty_dates"),
-        F.count_if(exact == DATE_INVALID).alias("invalid_dates"),
+        F.count(issue).alias("bad_dates"),
+        F.count_if(issue.isNull()).alias("good_dates"),
+        F.count_if(issue == DATE_NULL).alias("null_dates"),
+        F.count_if(issue == DATE_EMPTY).alias("empty_dates"),
+        F.count_if(issue == DATE_INVALID).alias("invalid_dates"),
     )
 
 

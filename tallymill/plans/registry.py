@@ -50,7 +50,7 @@ from tallymill.plans.batch import (
 )
 from tallymill.plans.star import Star
 from tallymill.schemas import AUDIT, FEEDS, WAREHOUSE
-from tallymill.session import apply_settings, new_work_path, settle
+from tallymill.session import apply_settings, in_parallel, new_work_path, settle
 from tallymill.sinks.audit import PIPELINE_NAME, SUCCESS, upsert
 from tallymill.sinks.quarantine import STAGE_OF_FEED, quality_counts, write_rejects
 from tallymill.sources.csv_files import read_rejected_csv
@@ -107,11 +107,10 @@ def _prepared_sales(spark, d):
 
 
 def _classified_sales(spark, d):
-    return classify_batch_sales(
-        _staged(spark, d, "sales_transactions_stage"),
-        _customers(spark, d)[0],
-        _products(spark, d)[0],
+    (customers, _), (products, _) = in_parallel(
+        spark, lambda: _customers(spark, d), lambda: _products(spark, d)
     )
+    return classify_batch_sales(_staged(spark, d, "sales_transactions_stage"), customers, products)
 
 
 def _clean_sales(spark, d):

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 RUNTIME_SETTINGS = {
@@ -83,3 +86,13 @@ def settle(df: DataFrame, name: str, partition_by: str | None = None) -> DataFra
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def in_parallel(spark: SparkSession, *calls: Callable) -> list:
+    """Run calls that start Spark jobs side by side, so that one's tail does not idle the cluster.
+
+    All calls end before the first error, if any, is raised.
+    """
+    with ThreadPoolExecutor(max_workers=len(calls)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(call)) for call in calls]
+    return [call.result() for call in running]

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tallymill.schemas import AUDIT
-from tallymill.sources.tables import path_exists, read_table
+from tallymill.sources.tables import empty_table, path_exists, read_table, single_row
 
 # ---- fixed values ----
 PIPELINE_NAME = "sales_etl"
@@ -32,7 +32,7 @@ def upsert(existing: DataFrame, changes: DataFrame, key: str) -> DataFrame:
 
 def _versions(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
     if not path_exists(spark, path):
-        return spark.createDataFrame([], _VERSIONED), 0
+        return empty_table(spark, _VERSIONED), 0
     table = read_table(spark, path, _VERSIONED)
     return table, table.agg(F.max("version")).first()[0] or 0
 
@@ -73,7 +73,16 @@ def record_run(
     pipeline_name: str = PIPELINE_NAME,
 ) -> None:
     """Set the pipeline's counts, status and watermark. A failed run passes the old watermark."""
-    row = (pipeline_name, watermark, processed, rejected, loaded, status, datetime.min)
     now = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()).cast("timestamp_ntz")
-    changes = spark.createDataFrame([row], AUDIT).withColumn("updated_at", now)
-    write_audit(spark, path, changes)
+    row = single_row(
+        spark,
+        AUDIT,
+        pipeline_name=pipeline_name,
+        last_processed_ingest_date=watermark.isoformat(" "),
+        records_processed=processed,
+        records_rejected=rejected,
+        records_loaded=loaded,
+        run_status=status,
+        updated_at=None,
+    )
+    write_audit(spark, path, row.withColumn("updated_at", now))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallymill.schemas import QUALITY_REPORT
 
+LOADED = "LOADED"
 STAGE_OF_FEED = {
     "customers_stage": "customer_duplicates",
     "products_stage": "product_duplicates",
@@ -56,7 +57,7 @@ def quality_counts(
     """Rows per outcome: ``reject_reason`` or LOADED."""
     return (
         classified.groupBy(
-            stage.alias("stage"), F.coalesce("reject_reason", F.lit("LOADED")).alias("reason")
+            stage.alias("stage"), F.coalesce("reject_reason", F.lit(LOADED)).alias("reason")
         )
         .agg(F.count("*").alias("row_count"))
         .withColumns({"run_id": F.lit(run_id), "table_name": F.lit(table_name)})

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
@@ -14,13 +16,16 @@ from tallymill.operators.incremental import (
 )
 from tallymill.operators.shaping import to_dimension, to_fact
 from tallymill.schemas import DIMENSION_KEYS, WAREHOUSE
+from tallymill.session import in_parallel
 from tallymill.sources.tables import (
     FACT_LAYOUT,
     FACT_PARTITION,
+    empty_table,
     path_exists,
     read_dimension_keys,
     read_fact_grain,
     read_table,
+    single_row,
 )
 
 LOADS = StructType(
@@ -30,15 +35,17 @@ LOADS = StructType(
 
 def create_tables(spark: SparkSession, warehouse: str) -> None:
     """Empty tables with their schemas where there are none yet."""
-    for name in WAREHOUSE:
-        path = f"{warehouse}/{name}"
-        if path_exists(spark, path):
-            continue
+
+    def create(name: str) -> None:
         layout = FACT_LAYOUT if name == "fact_sales" else WAREHOUSE[name]
-        writer = spark.createDataFrame([], layout).write.mode("append")
+        writer = empty_table(spark, layout).write.mode("append")
         if name == "fact_sales":
             writer = writer.partitionBy(FACT_PARTITION)
-        writer.parquet(path)
+        writer.parquet(f"{warehouse}/{name}")
+
+    absent = [name for name in WAREHOUSE if not path_exists(spark, f"{warehouse}/{name}")]
+    if absent:
+        in_parallel(spark, *[partial(create, name) for name in absent])
 
 
 def load_dimension(spark: SparkSession, warehouse: str, df: DataFrame, table: str) -> None:
@@ -54,7 +61,8 @@ def next_load_number(spark: SparkSession, warehouse: str, run_id: str) -> int:
     """Reserve a number for a load before it writes; a failed load leaves a gap, no repeat."""
     path = f"{warehouse}/fact_sales_loads"
     number = (read_table(spark, path, LOADS).agg(F.max("load_number")).first()[0] or 0) + 1
-    spark.createDataFrame([(number, run_id)], LOADS).coalesce(1).write.mode("append").parquet(path)
+    load = single_row(spark, LOADS, load_number=number, run_id=run_id)
+    load.write.mode("append").parquet(path)
     return number
 
 

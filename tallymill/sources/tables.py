@@ -42,10 +42,21 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def empty_table(spark: SparkSession, schema: StructType) -> DataFrame:
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
+
+
+def single_row(spark: SparkSession, schema: StructType, **values) -> DataFrame:
+    """One row of literals; starts no Python worker, as a frame made of Python rows would."""
+    return spark.range(1).select(
+        *[F.lit(values[f.name]).cast(f.dataType).alias(f.name) for f in schema]
+    )
+
+
 def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Scan of a Parquet folder with a given schema; a folder that is not there yet is empty."""
     if not path_exists(spark, path):
-        return spark.createDataFrame([], schema)
+        return empty_table(spark, schema)
     return spark.read.schema(schema).parquet(path)
 
 
