@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymill.schemas import QUALITY_REPORT
+from tallymill.sources.csv_files import CSV_WRITE_OPTIONS
 
 LOADED = "LOADED"
 STAGE_OF_FEED = {
@@ -34,7 +35,7 @@ def write_rejects(
     tagged = tagged.hint("rebalance", F.col("reject_stage"))
     writer = tagged.write.mode("append").partitionBy("reject_stage", "run_id")
     if file_format == "csv":
-        writer.option("header", "true").option("escape", '"').csv(folder)
+        writer.options(**CSV_WRITE_OPTIONS).csv(folder)
     else:
         writer.parquet(folder)
 

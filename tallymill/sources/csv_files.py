@@ -36,6 +36,12 @@ CSV_OPTIONS = {
     "ignoreTrailingWhiteSpace": "false",
     "escape": '"',
 }
+CSV_WRITE_OPTIONS = {
+    "header": "true",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+    "escape": '"',
+}
 
 
 def staging_table_of(file_name: Column) -> Column:

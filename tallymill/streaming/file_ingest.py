@@ -19,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tallymill.schemas import FEEDS, STAGING
 from tallymill.sources.csv_files import (
     CSV_OPTIONS,
+    CSV_WRITE_OPTIONS,
     feed_glob,
     raw_schema,
     staging_table_of,
@@ -113,30 +114,38 @@ def ingest(
     where they are and are listed.
     """
     report = IngestReport()
+
+    def failed(table: str, error: Exception) -> None:
+        logger.error("ingestion of %s failed: %s", table, error)
+        report.failed[table] = str(error)
+
     running: dict[str, StreamingQuery] = {}
     for table in FEEDS:
-        running[table] = start_feed(
-            spark,
-            folder,
-            staging,
-            checkpoints,
-            table,
-            archive,
-            max_files_per_batch,
-            None if seconds is None else poll_seconds,
-        )
-    deadline = None if seconds is None else time.monotonic() + seconds
+        try:
+            running[table] = start_feed(
+                spark,
+                folder,
+                staging,
+                checkpoints,
+                table,
+                archive,
+                max_files_per_batch,
+                None if seconds is None else poll_seconds,
+            )
+        except Exception as error:  # one feed's trouble is no reason to stop the others
+            failed(table, error)
+
+    if seconds is not None:
+        deadline = time.monotonic() + seconds
+        while time.monotonic() < deadline and any(q.isActive for q in running.values()):
+            time.sleep(min(1, poll_seconds))
+        for query in running.values():
+            query.stop()
     for table, query in running.items():
         try:
-            if deadline is None:
-                query.awaitTermination()
-            else:
-                query.awaitTermination(max(0, deadline - time.monotonic()))
+            query.awaitTermination()
         except StreamingQueryException as error:
-            logger.error("ingestion of %s failed: %s", table, error)
-            report.failed[table] = str(error)
-        finally:
-            query.stop()
+            failed(table, error)
     report.unknown_files = [r[0] for r in unknown_files(spark, folder).collect()]  # names only
     for name in report.unknown_files:
         logger.warning("unknown file type, skipped: %s", name)
@@ -150,7 +159,7 @@ def drop_csv(df: DataFrame, folder: str, name: str) -> None:
     """
     spark = df.sparkSession
     beside = f"{folder}-writing/{name}"
-    df.write.mode("errorifexists").option("header", "true").option("escape", '"').csv(beside)
+    df.write.mode("errorifexists").options(**CSV_WRITE_OPTIONS).csv(beside)
     hadoop = spark._jvm.org.apache.hadoop.fs
     source, target = hadoop.Path(beside), hadoop.Path(folder)
     files = source.getFileSystem(spark._jsc.hadoopConfiguration())
