@@ -40,8 +40,6 @@ def main() -> None:
         extra={
             "spark.driver.memory": "12g",
             "spark.ui.showConsoleProgress": "false",
-            # Test files are small: cut them for all threads, not into 4 MB and up.
-            "spark.sql.files.openCostInBytes": "262144",
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -99,38 +99,42 @@ def category_revenue_share(star: Star) -> DataFrame:
     )
 
 
-def _customer_months(star: Star) -> DataFrame:
-    return _with_month(star, "customer_id").distinct()
+def _retained(star: Star, follows: Column) -> DataFrame:
+    """Customers per month for whom ``follows`` holds against their last month before it.
 
-
-def customer_retention(star: Star) -> DataFrame:
-    """Customers of a month that also bought in the month before, within the same year.
-
-    One row per customer and month is left after the distinct, so no key is hot in the join
-    and counting rows counts customers.
+    One row per customer and month is left after the distinct, so a customer's months are few,
+    the month before on record is the one to test, and counting rows counts customers. Joining
+    the months to themselves would read the whole fact twice.
     """
-    months = _customer_months(star)
-    before = months.select("customer_id", "year", (F.col("month") + 1).alias("month"))
+    by_time = Window.partitionBy("customer_id").orderBy("year", "month")
     return (
-        months.join(before, ["customer_id", "year", "month"], "left_semi")
+        _with_month(star, "customer_id")
+        .distinct()
+        .where(F.col("customer_id").isNotNull())
+        .withColumns(
+            {
+                "prev_year": F.lag("year").over(by_time),
+                "prev_month": F.lag("month").over(by_time),
+            }
+        )
+        .where(follows)
         .groupBy("year", "month")
         .agg(F.count("*").alias("retained_customers"))
         .orderBy("year", "month")
     )
 
 
+def customer_retention(star: Star) -> DataFrame:
+    """Customers of a month that also bought in the month before, within the same year."""
+    same_year = F.col("year") == F.col("prev_year")
+    return _retained(star, same_year & (F.col("month") == F.col("prev_month") + 1))
+
+
 def customer_retention_fixed(star: Star) -> DataFrame:
     """As above, but December counts as the month before January."""
-    months = _customer_months(star)
     index = F.col("year") * 12 + F.col("month")
-    after = months.select("customer_id", (index + 1).alias("month_index"))
-    return (
-        months.withColumn("month_index", index)
-        .join(after, ["customer_id", "month_index"], "left_semi")
-        .groupBy("year", "month")
-        .agg(F.count("*").alias("retained_customers"))
-        .orderBy("year", "month")
-    )
+    prev_index = F.col("prev_year") * 12 + F.col("prev_month")
+    return _retained(star, index == prev_index + 1)
 
 
 def rolling_3_month_avg(star: Star) -> DataFrame:

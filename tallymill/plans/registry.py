@@ -41,8 +41,11 @@ from tallymill.operators.splits import (
 )
 from tallymill.plans import analytics, checks
 from tallymill.plans.batch import (
+    SALES_CLEAN,
+    Batch,
+    Cleaned,
     append_staging,
-    classify_batch_sales,
+    clean_batch,
     clean_customers,
     clean_products,
     prepare_sales,
@@ -106,15 +109,13 @@ def _prepared_sales(spark, d):
     return prepare_sales(_staged(spark, d, "sales_transactions_stage"))
 
 
-def _classified_sales(spark, d):
-    (customers, _), (products, _) = in_parallel(
-        spark, lambda: _customers(spark, d), lambda: _products(spark, d)
-    )
-    return classify_batch_sales(_staged(spark, d, "sales_transactions_stage"), customers, products)
+def _cleaned(spark, d) -> Cleaned:
+    """All three feeds cleaned, the sales classified and written once."""
+    return clean_batch(Batch(*[_staged(spark, d, table) for table in KEY_OF_FEED]))
 
 
 def _clean_sales(spark, d):
-    return _classified_sales(spark, d).where(F.col("reject_reason").isNull())
+    return _cleaned(spark, d).sales.where(F.col("outcome") == SALES_CLEAN)
 
 
 def _facts(spark, d):
@@ -145,7 +146,7 @@ def _staged_star(spark, d) -> Star:
 
 def _rejected_union(spark, d) -> DataFrame:
     """Rejects exported as CSV per batch, then read back with one glob."""
-    rejected = _classified_sales(spark, d).where(F.col("reject_reason").isNotNull())
+    rejected = _cleaned(spark, d).rejects["sales_transactions_stage"]
     numbered = rejected.select(
         batch_number(F.col("reject_reason")).alias("batch_idx"),
         *[c for c in FEEDS["sales_transactions_stage"].fieldNames()],
@@ -216,26 +217,29 @@ def _audit_upsert(spark, d) -> DataFrame:
 
 def _dq_report(spark, d) -> DataFrame:
     none = F.lit(None).cast("string")
-    parts = []
-    cleaned = {
-        "customers_stage": _customers(spark, d),
-        "products_stage": _products(spark, d),
-    }
-    for table, (clean, bad) in cleaned.items():
-        parts.append(
-            quality_counts(clean.withColumn("reject_reason", none), RUN_ID, table, F.lit("load"))
-        )
-        parts.append(quality_counts(bad, RUN_ID, table, F.lit(STAGE_OF_FEED[table])))
-    sales = classify_batch_sales(
-        _staged(spark, d, "sales_transactions_stage"),
-        cleaned["customers_stage"][0],
-        cleaned["products_stage"][0],
-    )
+    cleaned = _cleaned(spark, d)
     stage = F.coalesce(F.lower("reject_reason"), F.lit("load"))
-    parts.append(quality_counts(sales, RUN_ID, "sales_transactions_stage", stage))
+    parts = [quality_counts(cleaned.sales, RUN_ID, "sales_transactions_stage", stage)]
+    for table, clean in (
+        ("customers_stage", cleaned.customers),
+        ("products_stage", cleaned.products),
+    ):
+        loaded, bad = clean.withColumn("reject_reason", none), cleaned.rejects[table]
+        parts.append(quality_counts(loaded, RUN_ID, table, F.lit("load")))
+        parts.append(quality_counts(bad, RUN_ID, table, F.lit(STAGE_OF_FEED[table])))
     return reduce(DataFrame.unionByName, parts)
 
 
+def _orphan_sales(spark, d) -> DataFrame:
+    (customers, _), (products, _), prepared = in_parallel(
+        spark,
+        lambda: _customers(spark, d),
+        lambda: _products(spark, d),
+        lambda: _prepared_sales(spark, d),
+    )
+    return detect_orphan_sales(detect_corrupt_sales(prepared)[0], customers, products)[1]
+
+
 def _schema_report(spark, d) -> DataFrame:
     """Could staging be loaded as it is? Against the warehouse schemas."""
     return checks.schema_report(
@@ -391,9 +395,7 @@ QUERIES: dict[str, Query] = {
     "multi_customer_transactions": _on_view(
         "sales_transactions_stage", lambda df: detect_multi_customer_transactions(df)[1]
     ),
-    "orphan_sales": lambda s, d: detect_orphan_sales(
-        detect_corrupt_sales(_prepared_sales(s, d))[0], _customers(s, d)[0], _products(s, d)[0]
-    )[1],
+    "orphan_sales": _orphan_sales,
     # warehouse tables and loading
     "dim_customer": lambda s, d: to_dimension(
         transform_customers(_customers(s, d)[0], AS_OF), "dim_customer"
