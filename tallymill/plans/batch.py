@@ -43,6 +43,7 @@ from tallymill.sinks.warehouse import create_tables, load_dimension, load_fact
 from tallymill.sources.tables import (
     CORRUPT_TEXT,
     ROW_OK,
+    path_exists,
     read_dimension_keys,
     read_staging,
     read_table,
@@ -309,7 +310,13 @@ def _write_quality_report(
 
 
 def append_staging(df: DataFrame, staging: str, table: str) -> None:
-    """Batch append to staging in the layout the ingestion stream writes."""
+    """Batch append to staging in the layout the ingestion stream writes.
+
+    A table is filled one way or the other: once a stream owns it, readers go by the stream's
+    commit log and would not see files put beside it.
+    """
+    if path_exists(df.sparkSession, f"{staging}/{table}/_spark_metadata"):
+        raise ValueError(f"{staging}/{table} is filled by a stream")
     columns = STAGING[table].fieldNames()
     (
         df.select(*columns)
