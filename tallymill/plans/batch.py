@@ -33,10 +33,10 @@ from tallymill.operators.shaping import (
     transform_products,
     transform_sales,
 )
-from tallymill.operators.splits import classify_sales, parse_transaction_date
+from tallymill.operators.splits import batch_number, classify_sales, parse_transaction_date
 from tallymill.operators.statistics import exact_median
 from tallymill.schemas import DIMENSION_KEYS, QUALITY_REPORT, STAGING
-from tallymill.session import apply_settings, in_parallel, settle
+from tallymill.session import apply_settings, in_parallel, settle, work_scope
 from tallymill.sinks.audit import FAILED, SUCCESS, last_watermark, record_run
 from tallymill.sinks.quarantine import LOADED, STAGE_OF_FEED, quality_counts, write_rejects
 from tallymill.sinks.warehouse import create_tables, load_dimension, load_fact
@@ -170,7 +170,9 @@ def clean_batch(
     rejects = {
         "customers_stage": bad_customers,
         "products_stage": bad_products,
-        "sales_transactions_stage": sales.where(F.col("outcome") != SALES_CLEAN).drop("outcome"),
+        "sales_transactions_stage": sales.where(F.col("outcome") != SALES_CLEAN)
+        .drop("outcome")
+        .withColumn("batch_idx", batch_number(F.col("reject_reason"))),
     }
     return Cleaned(customers, products, sales, rejects)
 
@@ -207,6 +209,32 @@ def load(
     load_fact(spark, warehouse, transform_sales(enforce_sales_types(clean_sales)), run_id)
 
 
+def _clean_and_load(
+    batch: Batch,
+    warehouse: str,
+    run_id: str,
+    as_of: date | None,
+    batch_only: bool,
+    quarantine: str,
+    csv_rejects: str | None,
+) -> int:
+    """Returns the number of clean sales."""
+    spark = batch.sales.sparkSession
+    loaded_keys = [
+        None if batch_only else read_dimension_keys(spark, warehouse, table)
+        for table in ("dim_customer", "dim_product")
+    ]
+    cleaned = clean_batch(batch, *loaded_keys)
+    steps = [
+        lambda: load(spark, warehouse, cleaned, run_id, as_of),
+        lambda: write_all_rejects(cleaned, quarantine, run_id, "parquet"),
+    ]
+    if csv_rejects:
+        steps.append(lambda: write_all_rejects(cleaned, csv_rejects, run_id, "csv"))
+    in_parallel(spark, *steps)
+    return _write_quality_report(spark, warehouse, quarantine, run_id, cleaned)
+
+
 def _count_and_newest(df: DataFrame) -> tuple[int, datetime | None]:
     row = df.agg(F.count("*").alias("n"), F.max("ingest_date").alias("newest")).first()
     return row["n"], row["newest"]
@@ -246,22 +274,10 @@ def run(
         processed = sum(n for n, _ in sizes)
         newest = max([watermark, *[t for _, t in sizes if t is not None]])
         if processed:
-            known = ("dim_customer", "dim_product")
-            cleaned = clean_batch(
-                batch,
-                *[None if batch_only else read_dimension_keys(spark, warehouse, t) for t in known],
-            )
-            in_parallel(
-                spark,
-                lambda: load(spark, warehouse, cleaned, run_id, as_of),
-                lambda: write_all_rejects(cleaned, quarantine, run_id, "parquet"),
-                *(
-                    [lambda: write_all_rejects(cleaned, csv_rejects, run_id, "csv")]
-                    if csv_rejects
-                    else []
-                ),
-            )
-            loaded = _write_quality_report(spark, warehouse, quarantine, run_id, cleaned)
+            with work_scope(spark, run_id):
+                loaded = _clean_and_load(
+                    batch, warehouse, run_id, as_of, batch_only, quarantine, csv_rejects
+                )
         rejected = sizes[2][0] - loaded
         record_run(spark, audit, newest, processed, rejected, loaded, SUCCESS)
         return RunReport(run_id, processed, rejected, loaded, newest)

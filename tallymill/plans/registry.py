@@ -33,7 +33,6 @@ from tallymill.operators.shaping import (
 )
 from tallymill.operators.splits import (
     RAW_DATE,
-    batch_number,
     detect_corrupt_sales,
     detect_multi_customer_transactions,
     detect_orphan_sales,
@@ -146,12 +145,15 @@ def _staged_star(spark, d) -> Star:
 
 def _rejected_union(spark, d) -> DataFrame:
     """Rejects exported as CSV per batch, then read back with one glob."""
-    rejected = _cleaned(spark, d).rejects["sales_transactions_stage"]
-    numbered = rejected.select(
-        batch_number(F.col("reject_reason")).alias("batch_idx"),
-        *[c for c in FEEDS["sales_transactions_stage"].fieldNames()],
-        RAW_DATE,
-        "reject_reason",
+    numbered = (
+        _cleaned(spark, d)
+        .rejects["sales_transactions_stage"]
+        .select(
+            "batch_idx",
+            *FEEDS["sales_transactions_stage"].fieldNames(),
+            RAW_DATE,
+            "reject_reason",
+        )
     )
     folder = new_work_path(spark, "rejects")
     write_rejects(numbered, folder, RUN_ID, F.lower("reject_reason"), "csv")

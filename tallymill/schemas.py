@@ -117,12 +117,3 @@ QUALITY_REPORT = _struct(
     reason=StringType(),
     row_count=LongType(),
 )
-
-# Helper columns of the run that never reach a warehouse table.
-ETL_ONLY_COLUMNS = [
-    "ingest_date",
-    "is_valid_name",
-    "valid_price",
-    "has_category",
-    "has_brand",
-]

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +26,7 @@ RUNTIME_SETTINGS = {
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 _LOCAL_WORK: dict[str, str] = {}
+_SCOPE: ContextVar[str] = ContextVar("work_scope", default="shared")
 
 
 def apply_settings(spark: SparkSession) -> SparkSession:
@@ -68,7 +71,25 @@ def work_folder(spark: SparkSession) -> str:
 
 
 def new_work_path(spark: SparkSession, name: str) -> str:
-    return f"{work_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    app = spark.sparkContext.applicationId
+    return f"{work_folder(spark)}/{app}/{_SCOPE.get()}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def work_scope(spark: SparkSession, name: str) -> Iterator[None]:
+    """Intermediate tables written inside are dropped at the end; nothing lazy may outlive it.
+
+    Outside a scope, frames handed to the caller still read theirs, so they stay until the
+    shared folder's own clean-up.
+    """
+    token = _SCOPE.set(f"{name}-{uuid.uuid4().hex}")
+    path = f"{work_folder(spark)}/{spark.sparkContext.applicationId}/{_SCOPE.get()}"
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def settle(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
@@ -94,5 +115,8 @@ def in_parallel(spark: SparkSession, *calls: Callable) -> list:
     All calls end before the first error, if any, is raised.
     """
     with ThreadPoolExecutor(max_workers=len(calls)) as pool:
-        running = [pool.submit(inheritable_thread_target(spark)(call)) for call in calls]
+        running = [
+            pool.submit(copy_context().run, inheritable_thread_target(spark)(call))
+            for call in calls
+        ]
     return [call.result() for call in running]

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,18 +38,6 @@ def write_rejects(
         writer.parquet(folder)
 
 
-def rejected_batches(batches: list[DataFrame | None]) -> DataFrame | None:
-    """One frame of numbered batches; a missing batch keeps its number free."""
-    numbered = [
-        batch.withColumn("batch_idx", F.lit(index))
-        for index, batch in enumerate(batches, start=1)
-        if batch is not None
-    ]
-    if not numbered:
-        return None
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), numbered)
-
-
 def quality_counts(
     classified: DataFrame, run_id: str, table_name: str, stage: Column
 ) -> DataFrame:

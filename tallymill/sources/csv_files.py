@@ -108,6 +108,7 @@ def unknown_files(spark: SparkSession, folder: str) -> DataFrame:
     return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.csv")
+        .option("ignoreMissingFiles", "true")  # staged files may be moved away meanwhile
         .load(folder)
         .select(F.element_at(F.split("path", "/"), -1).alias("file_name"))
         .where(staging_table_of(F.col("file_name")).isNull())

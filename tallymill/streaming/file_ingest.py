@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import logging
 import time
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
@@ -31,10 +31,15 @@ from tallymill.sources.tables import CORRUPT_TEXT, ROW_CORRUPT, ROW_OK
 logger = logging.getLogger(__name__)
 
 
+LOGGED_NAMES = 20
+
+
 @dataclass
 class IngestReport:
-    failed: dict[str, str] = field(default_factory=dict)
-    unknown_files: list[str] = field(default_factory=list)
+    """``unknown_files``: all names that belong to no feed. ``failed``: error by feed."""
+
+    unknown_files: DataFrame
+    failed: dict[str, str]
 
 
 def feed_stream(
@@ -111,13 +116,13 @@ def ingest(
     """Stage what lies in ``folder``; with ``seconds``, keep watching for that long.
 
     A feed that fails is logged and reported, the others go on. Files of no known feed stay
-    where they are and are listed.
+    where they are, are reported, and the first of them are logged.
     """
-    report = IngestReport()
+    errors: dict[str, str] = {}
 
     def failed(table: str, error: Exception) -> None:
         logger.error("ingestion of %s failed: %s", table, error)
-        report.failed[table] = str(error)
+        errors[table] = str(error)
 
     running: dict[str, StreamingQuery] = {}
     for table in FEEDS:
@@ -146,9 +151,9 @@ def ingest(
             query.awaitTermination()
         except StreamingQueryException as error:
             failed(table, error)
-    report.unknown_files = [r[0] for r in unknown_files(spark, folder).collect()]  # names only
-    for name in report.unknown_files:
-        logger.warning("unknown file type, skipped: %s", name)
+    report = IngestReport(unknown_files(spark, folder), errors)
+    for row in report.unknown_files.take(LOGGED_NAMES):
+        logger.warning("unknown file type, skipped: %s", row["file_name"])
     return report
 
 

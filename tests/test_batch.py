@@ -1,3 +1,4 @@
+import os
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -8,6 +9,7 @@ from tallymill.plans import batch
 from tallymill.plans.analytics import top_products_by_revenue
 from tallymill.plans.star import Star
 from tallymill.schemas import STAGING, WAREHOUSE
+from tallymill.session import work_folder
 from tallymill.sinks.audit import read_audit
 from tallymill.sources.csv_files import read_rejected_csv
 from tallymill.sources.tables import path_exists, read_staging, read_warehouse
@@ -82,9 +84,9 @@ def test_a_whole_run(spark, places, folder):
         assert read_warehouse(spark, warehouse, table).schema == schema
 
     rejects = spark.read.parquet(f"{warehouse}/quarantine/sales_transactions_stage")
-    assert values(rejects, "transaction_id", "reject_stage", "run_id") == [
-        (102, "invalid_date", "r1"), (103, "corrupt_value", "r1"), (104, "orphan_key", "r1"),
-        (105, "orphan_key", "r1"), (106, "null_key", "r1"),
+    assert values(rejects, "transaction_id", "reject_stage", "run_id", "batch_idx") == [
+        (102, "invalid_date", "r1", 1), (103, "corrupt_value", "r1", 2),
+        (104, "orphan_key", "r1", 3), (105, "orphan_key", "r1", 3), (106, "null_key", "r1", 4),
     ]
     products = spark.read.parquet(f"{warehouse}/quarantine/products_stage")
     assert values(products, "product_name", "reject_reason", "is_valid_name") == [
@@ -123,6 +125,13 @@ def test_a_whole_run(spark, places, folder):
     ]
 
 
+def test_intermediate_tables_are_dropped(spark, places):
+    staging, warehouse = places
+    work = f"{work_folder(spark)}/{spark.sparkContext.applicationId}"
+    batch.run(spark, staging, warehouse, "dropped-run", AS_OF)
+    assert not [name for name in os.listdir(work) if name.startswith("dropped-run")]
+
+
 def test_a_second_run_without_news_changes_nothing(spark, places):
     staging, warehouse = places
     batch.run(spark, staging, warehouse, "r1", AS_OF)
