@@ -17,10 +17,9 @@ def new_dimension_rows(batch: DataFrame, existing: DataFrame, key: str) -> DataF
     return batch.join(existing.select(key), key, "left_anti")
 
 
-def date_month(date_id: Column | str) -> Column:
-    return F.floor(F.col(date_id) / 100).cast("int") if isinstance(date_id, str) else F.floor(
-        date_id / 100
-    ).cast("int")
+def date_month(date_id: str) -> Column:
+    """yyyymm of a yyyymmdd column."""
+    return F.expr(f"CAST({date_id} DIV 100 AS INT)")
 
 
 def new_fact_rows(batch: DataFrame, existing: DataFrame) -> DataFrame:

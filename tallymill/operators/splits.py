@@ -24,6 +24,9 @@ BATCH_OF_REASON = {INVALID_DATE: 1, CORRUPT_VALUE: 2, ORPHAN_KEY: 3, NULL_KEY: 4
 
 RAW_DATE = "raw_transaction_date"
 
+# Key sets up to this many rows are joined as they are, larger ones by what they lack.
+SMALL_KEY_SET = 1_000_000
+
 
 def _known(test: Column) -> Column:
     return F.coalesce(test, F.lit(False))
@@ -78,35 +81,70 @@ def detect_multi_customer_transactions(df: DataFrame) -> tuple[DataFrame, DataFr
     )
 
 
-def mark_orphans(sales: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
-    """``is_orphan``: the customer or the product is not among the given keys.
+def _mark_unknown(
+    sales: DataFrame, known: DataFrame, key: str, marker: str, small_rows: int
+) -> DataFrame:
+    """``marker``: true where the key is not among ``known``, a written table of distinct keys."""
+    if known.count() <= small_rows:
+        # Few keys: the planner broadcasts them and the sales stay where they are.
+        found = known.select(key, F.lit(True).alias(marker))
+        return sales.join(found, key, "left").withColumn(marker, F.col(marker).isNull())
+    # Many keys: find the unknown ones among the distinct keys of the sales, a shuffle of one
+    # column that is combined first. They are few as a rule, so joining them spares the shuffle
+    # of the whole rows; where they are many, that join is split like any other.
+    unknown = settle(
+        sales.select(key).where(F.col(key).isNotNull()).distinct().join(known, key, "left_anti"),
+        f"{key}-unknown",
+    ).withColumn(marker, F.lit(True))
+    return sales.join(unknown, key, "left").withColumn(
+        marker, F.col(marker).isNotNull() | F.col(key).isNull()
+    )
+
+
+def mark_orphans(
+    sales: DataFrame,
+    customers: DataFrame,
+    products: DataFrame,
+    small_rows: int = SMALL_KEY_SET,
+) -> DataFrame:
+    """``is_orphan``: the customer or the product is missing or not among the given keys.
 
     The key frames must be scans (tables or settled frames) with one row per key: the planner
     then broadcasts a small one, and AQE splits hot keys of the sales side otherwise.
     """
-    known_customers = customers.select("customer_id", F.lit(True).alias("has_customer"))
-    known_products = products.select("product_id", F.lit(True).alias("has_product"))
-    return (
-        sales.join(known_customers, "customer_id", "left")
-        .join(known_products, "product_id", "left")
-        .withColumn("is_orphan", F.col("has_customer").isNull() | F.col("has_product").isNull())
-        .select(*sales.columns, "is_orphan")
+    marked = _mark_unknown(
+        sales, customers.select("customer_id"), "customer_id", "no_customer", small_rows
+    )
+    marked = _mark_unknown(
+        marked, products.select("product_id"), "product_id", "no_product", small_rows
+    )
+    return marked.select(
+        *sales.columns, (F.col("no_customer") | F.col("no_product")).alias("is_orphan")
     )
 
 
 def detect_orphan_sales(
-    sales: DataFrame, customers: DataFrame, products: DataFrame
+    sales: DataFrame,
+    customers: DataFrame,
+    products: DataFrame,
+    small_rows: int = SMALL_KEY_SET,
 ) -> tuple[DataFrame, DataFrame]:
     marked = mark_orphans(
         sales,
         settle(customers.select("customer_id").distinct(), "customer-keys"),
         settle(products.select("product_id").distinct(), "product-keys"),
+        small_rows,
     )
     clean, rejected = split(marked, F.col("is_orphan"))
     return clean.drop("is_orphan"), rejected.drop("is_orphan")
 
 
-def classify_sales(sales: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
+def classify_sales(
+    sales: DataFrame,
+    customers: DataFrame,
+    products: DataFrame,
+    small_rows: int = SMALL_KEY_SET,
+) -> DataFrame:
     """``reject_reason`` of the first test a row fails: date, values, missing ids, unknown ids.
 
     Expects cleaned numbers and dates parsed by ``parse_transaction_date``. One pass over the
@@ -124,7 +162,7 @@ def classify_sales(sales: DataFrame, customers: DataFrame, products: DataFrame)
         .when(F.col("is_orphan"), ORPHAN_KEY)
     )
     return (
-        mark_orphans(sales, customers, products)
+        mark_orphans(sales, customers, products, small_rows)
         .withColumn("reject_reason", reason)
         .drop("is_orphan")
     )

@@ -25,6 +25,11 @@ def test_new_fact_rows_keeps_repeats_of_the_batch(frame):
     assert values(new_fact_rows(batch, loaded)) == [(1, 1, 20240101, 5), (1, 1, 20240101, 6)]
 
 
+def test_month_of_a_date_key(frame):
+    df = frame("d int", (20240131,), (99991231,), (None,))
+    assert values(df.select(incremental.date_month("d"))) == [(202401,), (999912,), (None,)]
+
+
 def test_surrogate_ids_are_unique_over_loads_and_tasks(spark):
     ids = [
         r[0]

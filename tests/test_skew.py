@@ -66,6 +66,17 @@ def test_orphans(spark, sales):
         assert clean.count() + rejected.count() == ROWS
 
 
+def test_many_known_keys_spare_the_shuffle_of_the_sales(spark, sales):
+    """Key sets too big to broadcast: only distinct keys are shuffled, the unknown ones broadcast."""
+    customers = sales.where("customer_id <> 20000").select("customer_id").distinct()
+    products = sales.where("product_id <> 20000").select("product_id").distinct()
+    clean, rejected = detect_orphan_sales(sales, customers, products, small_rows=1000)
+    plan = executed(clean)
+    assert plan.split("Initial Plan")[0].count("BroadcastHashJoin") == 2
+    assert "hashpartitioning" not in plan
+    assert (clean.count(), rejected.count()) == (ROWS - 2, 2)
+
+
 def test_imputed_dates(spark, sales):
     customers = sales.select("customer_id", F.lit("2020-01-01").alias("signup_date"))
     with small_thresholds(spark):

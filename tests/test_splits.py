@@ -1,5 +1,7 @@
 from datetime import date
 
+import pytest
+
 from tallymill.operators.splits import (
     CORRUPT_VALUE,
     INVALID_DATE,
@@ -57,18 +59,22 @@ SALES = (
 )
 
 
-def test_orphans(frame):
+@pytest.mark.parametrize("small_rows", [1000, 0])
+def test_orphans(frame, small_rows):
     sales = frame(
         "transaction_id int, customer_id int, product_id int",
-        (1, 1, 1), (2, 9, 1), (3, 1, 9), (4, 9, 9), (5, 2, 1),
+        (1, 1, 1), (2, 9, 1), (3, 1, 9), (4, 9, 9), (5, 2, 1), (6, None, 1), (7, 1, None),
     )
     customers = frame("customer_id int", (1,), (2,), (2,))
-    clean, rejected = detect_orphan_sales(sales, customers, frame("product_id int", (1,)))
+    clean, rejected = detect_orphan_sales(
+        sales, customers, frame("product_id int", (1,)), small_rows
+    )
     assert values(clean, "transaction_id") == [(1,), (5,)]
-    assert values(rejected, "transaction_id") == [(2,), (3,), (4,)]
+    assert values(rejected, "transaction_id") == [(2,), (3,), (4,), (6,), (7,)]
 
 
-def test_first_failed_test_names_the_reason(frame):
+@pytest.mark.parametrize("small_rows", [1000, 0])
+def test_first_failed_test_names_the_reason(frame, small_rows):
     sales = parse_transaction_date(
         frame(
             SALES,
@@ -80,7 +86,9 @@ def test_first_failed_test_names_the_reason(frame):
             (None, 1, 1, "2024-01-01", 1, 1.0),
         )
     )
-    got = classify_sales(sales, frame("customer_id int", (1,)), frame("product_id int", (1,)))
+    got = classify_sales(
+        sales, frame("customer_id int", (1,)), frame("product_id int", (1,)), small_rows
+    )
     assert values(got, "transaction_id", "reject_reason") == [
         (1, None), (2, INVALID_DATE), (3, CORRUPT_VALUE), (4, ORPHAN_KEY), (5, NULL_KEY),
         (None, NULL_KEY),
