@@ -35,11 +35,17 @@ from tallymill.operators.shaping import (
 )
 from tallymill.operators.splits import batch_number, classify_sales, parse_transaction_date
 from tallymill.operators.statistics import exact_median
-from tallymill.schemas import DIMENSION_KEYS, QUALITY_REPORT, STAGING
+from tallymill.schemas import DIMENSION_KEYS, STAGING
 from tallymill.session import apply_settings, in_parallel, settle, work_scope
 from tallymill.sinks.audit import FAILED, SUCCESS, last_watermark, record_run
 from tallymill.sinks.quarantine import LOADED, STAGE_OF_FEED, quality_counts, write_rejects
-from tallymill.sinks.warehouse import create_tables, load_dimension, load_fact
+from tallymill.sinks.warehouse import (
+    create_tables,
+    fact_months,
+    load_dimension,
+    load_fact,
+    next_load_number,
+)
 from tallymill.sources.tables import (
     CORRUPT_TEXT,
     ROW_OK,
@@ -194,6 +200,7 @@ def load(
 ) -> None:
     """Dimensions side by side, then the fact that refers to them."""
     clean_sales = cleaned.sales.where(F.col("outcome") == SALES_CLEAN)
+    facts = transform_sales(enforce_sales_types(clean_sales))
 
     def customers():
         rows = transform_customers(cleaned.customers, as_of)
@@ -205,8 +212,15 @@ def load(
     def days():
         load_dimension(spark, warehouse, build_dim_date(clean_sales), "dim_date")
 
-    in_parallel(spark, customers, products, days)
-    load_fact(spark, warehouse, transform_sales(enforce_sales_types(clean_sales)), run_id)
+    *_, months, load_number = in_parallel(
+        spark,
+        customers,
+        products,
+        days,
+        lambda: fact_months(facts),
+        lambda: next_load_number(spark, warehouse, run_id),
+    )
+    load_fact(spark, warehouse, facts, months, load_number)
 
 
 def _clean_and_load(
@@ -225,14 +239,20 @@ def _clean_and_load(
         for table in ("dim_customer", "dim_product")
     ]
     cleaned = clean_batch(batch, *loaded_keys)
-    steps = [
-        lambda: load(spark, warehouse, cleaned, run_id, as_of),
-        lambda: write_all_rejects(cleaned, quarantine, run_id, "parquet"),
-    ]
+
+    def quarantine_and_report() -> DataFrame:
+        write_all_rejects(cleaned, quarantine, run_id, "parquet")
+        return settle(quality_report(spark, quarantine, run_id, cleaned), "quality")
+
+    steps = [quarantine_and_report, lambda: load(spark, warehouse, cleaned, run_id, as_of)]
     if csv_rejects:
         steps.append(lambda: write_all_rejects(cleaned, csv_rejects, run_id, "csv"))
-    in_parallel(spark, *steps)
-    return _write_quality_report(spark, warehouse, quarantine, run_id, cleaned)
+    report, *_ = in_parallel(spark, *steps)
+    report.coalesce(1).write.mode("append").parquet(f"{warehouse}/etl_data_quality_report")
+    clean_sales = report.where(F.col("table_name") == "sales_transactions_stage").where(
+        F.col("reason") == LOADED
+    )
+    return clean_sales.agg(F.coalesce(F.sum("row_count"), F.lit(0))).first()[0]
 
 
 def _count_and_newest(df: DataFrame) -> tuple[int, datetime | None]:
@@ -287,12 +307,12 @@ def run(
         raise
 
 
-def _write_quality_report(
-    spark: SparkSession, warehouse: str, quarantine: str, run_id: str, cleaned: Cleaned
-) -> int:
-    """Append rows per table, stage and reason; returns the clean sales.
+def quality_report(
+    spark: SparkSession, quarantine: str, run_id: str, cleaned: Cleaned
+) -> DataFrame:
+    """Rows per table, stage and reason of a run whose rejects are written.
 
-    Counted from written tables, whose footers and reason columns are all that is read; metrics
+    Counted from written tables, of which only footers and reason columns are read; metrics
     gathered on the way would count the rows of repeated tasks again.
     """
 
@@ -314,15 +334,7 @@ def _write_quality_report(
         ("products_stage", cleaned.products),
     ):
         report = report.unionByName(clean_part(clean, table)).unionByName(reject_part(table))
-    path = f"{warehouse}/etl_data_quality_report"
-    report.coalesce(1).write.mode("append").parquet(path)
-    clean_sales = (
-        spark.read.schema(QUALITY_REPORT)
-        .parquet(path)
-        .where((F.col("run_id") == run_id) & (F.col("reason") == LOADED))
-        .where(F.col("table_name") == "sales_transactions_stage")
-    )
-    return clean_sales.agg(F.coalesce(F.max("row_count"), F.lit(0))).first()[0]
+    return report
 
 
 def append_staging(df: DataFrame, staging: str, table: str) -> None:

@@ -66,22 +66,26 @@ def next_load_number(spark: SparkSession, warehouse: str, run_id: str) -> int:
     return number
 
 
-def load_fact(spark: SparkSession, warehouse: str, df: DataFrame, run_id: str) -> None:
+def fact_months(facts: DataFrame) -> list[int]:
+    """Months of the batch: at most the months of the calendar."""
+    months = facts.select(date_month("date_id").alias("month")).distinct()
+    return [row["month"] for row in months.collect()]
+
+
+def load_fact(
+    spark: SparkSession, warehouse: str, df: DataFrame, months: list[int], load_number: int
+) -> None:
     """Append the rows whose grain is not there yet.
 
-    ``df`` must be a scan of a written table: it is read for its months first. Only these
-    months of the fact are read to find what is loaded already.
+    Of the loaded fact, only the grain columns of the batch's months are read.
     """
-    batch = to_fact(df)
-    with_month = batch.withColumn(FACT_PARTITION, date_month("date_id"))
-    months = [r[0] for r in with_month.select(FACT_PARTITION).distinct().collect()]
     if not months:
         return
-    delta = new_fact_rows(with_month, read_fact_grain(spark, warehouse, months))
-    load_number = next_load_number(spark, warehouse, run_id)
+    batch = to_fact(df).withColumn(FACT_PARTITION, date_month("date_id"))
+    delta = new_fact_rows(batch, read_fact_grain(spark, warehouse, months))
     (
         delta.hint("rebalance", F.col(FACT_PARTITION))
-        .select(surrogate_id(load_number).alias("sales_id"), *batch.columns, FACT_PARTITION)
+        .select(surrogate_id(load_number).alias("sales_id"), *batch.columns)
         .write.mode("append")
         .partitionBy(FACT_PARTITION)
         .parquet(f"{warehouse}/fact_sales")
