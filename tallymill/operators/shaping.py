@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymill.functions.dates import date_key, utc_today, weekday_name
-from tallymill.functions.numbers import money, round_cents
+from tallymill.functions.numbers import money, nan_to_null, round_cents
 from tallymill.functions.text import strip
 from tallymill.operators.statistics import modes
 from tallymill.schemas import FACT_COLUMNS, WAREHOUSE
@@ -57,7 +57,7 @@ def transform_products(
 def transform_sales(df: DataFrame) -> DataFrame:
     """Line totals, the flat discount taken off, and the parts of the date."""
     total = round_cents(F.col("quantity") * F.col("unit_price"))
-    discount = F.coalesce("discount", F.lit(0.0))
+    discount = F.coalesce(nan_to_null(F.col("discount").cast("double")), F.lit(0.0))
     day = F.col("transaction_date")
     return df.withColumns(
         {

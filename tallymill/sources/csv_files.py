@@ -31,6 +31,8 @@ CSV_OPTIONS = {
     "header": "true",
     "mode": "PERMISSIVE",
     "columnNameOfCorruptRecord": MALFORMED,
+    # A file with other columns, or in another order, must fail and not be staged wrongly.
+    "enforceSchema": "false",
     # Blanks are data here; cleaning decides about them later.
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
@@ -93,9 +95,18 @@ def type_feed(raw: DataFrame, table: str) -> DataFrame:
 
 
 def read_feed_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """One delivered file or folder, typed, misfit rows marked in ``corrupt_text``."""
-    raw = spark.read.options(**CSV_OPTIONS).schema(raw_schema(table)).csv(path)
-    return type_feed(raw, table)
+    """One delivered file, typed, misfit rows marked in ``corrupt_text``.
+
+    Columns go by the file's own header: their order is free, a missing one is null.
+    """
+    header = spark.read.options(header="true", escape='"').csv(path).columns
+    delivered = StructType([StructField(c, StringType(), True) for c in (*header, MALFORMED)])
+    raw = spark.read.options(**CSV_OPTIONS).schema(delivered).csv(path)
+    columns = [
+        F.col(f"`{c}`") if c in header else F.lit(None).cast("string").alias(c)
+        for c in FEEDS[table].fieldNames()
+    ]
+    return type_feed(raw.select(*columns, MALFORMED), table)
 
 
 def read_rejected_csv(spark: SparkSession, pattern: str, schema: StructType) -> DataFrame:

@@ -54,6 +54,7 @@ def feed_stream(
         spark.readStream.options(**CSV_OPTIONS)
         .schema(raw_schema(table))
         .option("pathGlobFilter", feed_glob(table))
+        .option("ignoreMissingFiles", "true")  # a file that failed may be taken out again
     )
     if max_files_per_batch:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
@@ -115,7 +116,8 @@ def ingest(
 ) -> IngestReport:
     """Stage what lies in ``folder``; with ``seconds``, keep watching for that long.
 
-    A feed that fails is logged and reported, the others go on. Files of no known feed stay
+    A feed that fails is logged and reported, the others go on. A file whose header is not its
+    feed's makes the feed fail until the file is taken out. Files of no known feed stay
     where they are, are reported, and the first of them are logged.
     """
     errors: dict[str, str] = {}

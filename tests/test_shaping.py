@@ -56,10 +56,12 @@ def test_sales_measures(frame):
         "customer_id long, product_id long, transaction_date date, quantity int,"
         "unit_price double, discount double",
         (1, 2, date(2024, 3, 9), 4, 229.835, None), (1, 2, date(2024, 3, 9), 1, 1.015, 5.0),
+        (1, 2, date(2024, 3, 9), 1, 7.0, float("nan")),
     )
     got = transform_sales(df)
     assert values(got, "total_sale_amount", "net_sale_amount", "discount_amount", "date_id") == [
         (Decimal("1.01"), Decimal("-3.99"), 5.0, 20240309),
+        (Decimal("7.00"), Decimal("7.00"), 0.0, 20240309),
         (Decimal("919.34"), Decimal("919.34"), 0.0, 20240309),
     ]
     assert values(got, "order_year", "order_month", "order_day")[0] == (2024, 3, 9)

@@ -109,6 +109,29 @@ def test_a_failing_feed_does_not_stop_the_others(spark, places):
     assert read_staging(spark, staging, "customers_stage").count() == 1
 
 
+def test_a_file_with_another_header_fails_until_it_is_taken_out(spark, places):
+    drop, staging, checkpoints = places
+    put(drop, "customers_1.csv", CUSTOMER_HEADER + "1,N,,Rome,ny,\n")
+    put(drop, "customers_2.csv", CUSTOMER_HEADER.replace("city,state", "state,city") + "2,N,,ny,Rome,\n")
+    put(drop, "products.csv", PRODUCT_HEADER + "1,Lamp,a,b,1\n")
+    report = ingest(spark, drop, staging, checkpoints)
+    assert list(report.failed) == ["customers_stage"]
+    assert read_staging(spark, staging, "products_stage").count() == 1
+    assert read_staging(spark, staging, "customers_stage").count() == 0
+    os.rename(f"{drop}/customers_2.csv", f"{drop}/customers_2.bad")
+    assert ingest(spark, drop, staging, checkpoints).failed == {}
+    assert values(read_staging(spark, staging, "customers_stage"), "customer_id", "city") == [(1, "Rome")]
+
+
+def test_batch_read_goes_by_the_header(spark, folder):
+    put(folder, "p.csv", "unit_price,color,product_id,product_name\n2.5,red,7,Lamp\nx,red,8,Desk\n")
+    got = read_feed_csv(spark, f"{folder}/p.csv", "products_stage")
+    assert values(got, "product_id", "product_name", "brand", "unit_price") == [
+        (7, "Lamp", None, 2.5), (8, "Desk", None, None)
+    ]
+    assert [r[0] is None for r in got.orderBy("product_id").select("corrupt_text").collect()] == [True, False]
+
+
 def test_batch_read_of_one_file(spark, folder):
     put(folder, "products.csv", PRODUCT_HEADER + "1,Lamp,null,b,1.5\n")
     got = read_feed_csv(spark, f"{folder}/products.csv", "products_stage")
