@@ -10,7 +10,7 @@ from tallymill.plans import analytics, checks
 from tallymill.plans.batch import run
 from tallymill.plans.star import Star
 from tallymill.session import build_session
-from tallymill.streaming.file_ingest import ingest
+from tallymill.streaming.file_ingest import FILES_PER_BATCH, ingest
 
 # ---- fixed values ----
 WATCH_SECONDS = 60
@@ -56,7 +56,7 @@ def main(argv: list[str] | None = None) -> None:
     watch.add_argument("--archive")
     watch.add_argument("--seconds", type=int, default=WATCH_SECONDS)
     watch.add_argument("--once", action="store_true", help="stage what is there and stop")
-    watch.add_argument("--max-files-per-batch", type=int)
+    watch.add_argument("--max-files-per-batch", type=int, default=FILES_PER_BATCH)
 
     load = commands.add_parser("load", help="staging to warehouse")
     load.add_argument("staging")

@@ -13,8 +13,13 @@ TASK_BITS = 17
 
 
 def new_dimension_rows(batch: DataFrame, existing: DataFrame, key: str) -> DataFrame:
-    """Rows of ``batch`` whose key is not loaded yet."""
-    return batch.join(existing.select(key), key, "left_anti")
+    """Rows of ``batch`` whose key is not loaded yet.
+
+    The loaded keys are cut down to those of the batch first: a small batch is broadcast to
+    them, and a dimension of any size is scanned without a shuffle.
+    """
+    repeated = existing.select(key).join(batch.select(key), key, "left_semi")
+    return batch.join(repeated, key, "left_anti")
 
 
 def date_month(date_id: str) -> Column:

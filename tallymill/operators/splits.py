@@ -6,6 +6,8 @@ would lose the row from both sides.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -82,20 +84,26 @@ def detect_multi_customer_transactions(df: DataFrame) -> tuple[DataFrame, DataFr
 
 
 def _mark_unknown(
-    sales: DataFrame, known: DataFrame, key: str, marker: str, small_rows: int
+    sales: DataFrame, known: list[DataFrame], key: str, marker: str, small_rows: int
 ) -> DataFrame:
-    """``marker``: true where the key is not among ``known``, a written table of distinct keys."""
-    if known.count() <= small_rows:
+    """``marker``: true where the key is missing or in none of the ``known`` tables."""
+    keys = [table.select(key) for table in known]
+    if sum(table.count() for table in keys) <= small_rows:
         # Few keys: the planner broadcasts them and the sales stay where they are.
-        found = known.select(key, F.lit(True).alias(marker))
+        every = settle(reduce(DataFrame.unionByName, keys).distinct(), f"{key}-known")
+        found = every.select(key, F.lit(True).alias(marker))
         return sales.join(found, key, "left").withColumn(marker, F.col(marker).isNull())
-    # Many keys: find the unknown ones among the distinct keys of the sales, a shuffle of one
-    # column that is combined first. They are few as a rule, so joining them spares the shuffle
-    # of the whole rows; where they are many, that join is split like any other.
-    unknown = settle(
-        sales.select(key).where(F.col(key).isNotNull()).distinct().join(known, key, "left_anti"),
-        f"{key}-unknown",
-    ).withColumn(marker, F.lit(True))
+    # Many keys: start from the distinct keys of the sales, one column, combined before its
+    # shuffle. The big tables are only filtered by these. What is left over is unknown, few as a
+    # rule, so joining it spares the shuffle of whole rows; where it is much, that join is split
+    # like any other.
+    wanted = settle(
+        sales.select(key).where(F.col(key).isNotNull()).distinct(), f"{key}-wanted"
+    )
+    unknown = wanted
+    for table in keys:
+        unknown = unknown.join(table.join(wanted, key, "left_semi"), key, "left_anti")
+    unknown = settle(unknown, f"{key}-unknown").withColumn(marker, F.lit(True))
     return sales.join(unknown, key, "left").withColumn(
         marker, F.col(marker).isNotNull() | F.col(key).isNull()
     )
@@ -103,21 +111,16 @@ def _mark_unknown(
 
 def mark_orphans(
     sales: DataFrame,
-    customers: DataFrame,
-    products: DataFrame,
+    customers: list[DataFrame],
+    products: list[DataFrame],
     small_rows: int = SMALL_KEY_SET,
 ) -> DataFrame:
-    """``is_orphan``: the customer or the product is missing or not among the given keys.
+    """``is_orphan``: the customer or the product is missing or in none of the given tables.
 
-    The key frames must be scans (tables or settled frames) with one row per key: the planner
-    then broadcasts a small one, and AQE splits hot keys of the sales side otherwise.
+    The tables are counted first, so they should be scans.
     """
-    marked = _mark_unknown(
-        sales, customers.select("customer_id"), "customer_id", "no_customer", small_rows
-    )
-    marked = _mark_unknown(
-        marked, products.select("product_id"), "product_id", "no_product", small_rows
-    )
+    marked = _mark_unknown(sales, customers, "customer_id", "no_customer", small_rows)
+    marked = _mark_unknown(marked, products, "product_id", "no_product", small_rows)
     return marked.select(
         *sales.columns, (F.col("no_customer") | F.col("no_product")).alias("is_orphan")
     )
@@ -129,20 +132,15 @@ def detect_orphan_sales(
     products: DataFrame,
     small_rows: int = SMALL_KEY_SET,
 ) -> tuple[DataFrame, DataFrame]:
-    marked = mark_orphans(
-        sales,
-        settle(customers.select("customer_id").distinct(), "customer-keys"),
-        settle(products.select("product_id").distinct(), "product-keys"),
-        small_rows,
-    )
+    marked = mark_orphans(sales, [customers], [products], small_rows)
     clean, rejected = split(marked, F.col("is_orphan"))
     return clean.drop("is_orphan"), rejected.drop("is_orphan")
 
 
 def classify_sales(
     sales: DataFrame,
-    customers: DataFrame,
-    products: DataFrame,
+    customers: list[DataFrame],
+    products: list[DataFrame],
     small_rows: int = SMALL_KEY_SET,
 ) -> DataFrame:
     """``reject_reason`` of the first test a row fails: date, values, missing ids, unknown ids.

@@ -35,13 +35,13 @@ from tallymill.operators.shaping import (
 )
 from tallymill.operators.splits import batch_number, classify_sales, parse_transaction_date
 from tallymill.operators.statistics import exact_median
-from tallymill.schemas import DIMENSION_KEYS, STAGING
+from tallymill.schemas import STAGING
 from tallymill.session import apply_settings, in_parallel, settle, work_scope
 from tallymill.sinks.audit import FAILED, SUCCESS, last_watermark, record_run
 from tallymill.sinks.quarantine import LOADED, STAGE_OF_FEED, quality_counts, write_rejects
 from tallymill.sinks.warehouse import (
     create_tables,
-    fact_months,
+    fact_days,
     load_dimension,
     load_fact,
     next_load_number,
@@ -110,34 +110,6 @@ def prepare_sales(staged: DataFrame, median: float | None = None) -> DataFrame:
     return parse_transaction_date(numbers)
 
 
-def known_keys(batch_rows: DataFrame, table: str, loaded: DataFrame | None) -> DataFrame:
-    """Distinct keys of the cleaned batch and, if given, of the warehouse, as a written table."""
-    key = DIMENSION_KEYS[table]
-    keys = batch_rows.select(key)
-    if loaded is not None:
-        keys = keys.unionByName(loaded.select(key))
-    return settle(keys.distinct(), f"{key}-known")
-
-
-def classify_batch_sales(
-    staged: DataFrame,
-    customers: DataFrame,
-    products: DataFrame,
-    loaded_customers: DataFrame | None = None,
-    loaded_products: DataFrame | None = None,
-    median: float | None = None,
-) -> DataFrame:
-    """Prepared sales with ``reject_reason``, null for a clean row."""
-    return classify_sales(
-        prepare_sales(staged, median),
-        *in_parallel(
-            staged.sparkSession,
-            lambda: known_keys(customers, "dim_customer", loaded_customers),
-            lambda: known_keys(products, "dim_product", loaded_products),
-        ),
-    )
-
-
 # --- the run ---
 
 
@@ -165,8 +137,10 @@ def clean_batch(
         lambda: clean_products(batch.products),
         lambda: exact_median(batch.sales, "unit_price"),
     )
-    classified = classify_batch_sales(
-        batch.sales, customers, products, loaded_customers, loaded_products, median
+    classified = classify_sales(
+        prepare_sales(batch.sales, median),
+        [customers, *([loaded_customers] if loaded_customers else [])],
+        [products, *([loaded_products] if loaded_products else [])],
     )
     sales = settle(
         classified.withColumn("outcome", F.coalesce("reject_reason", F.lit(SALES_CLEAN))),
@@ -212,15 +186,15 @@ def load(
     def days():
         load_dimension(spark, warehouse, build_dim_date(clean_sales), "dim_date")
 
-    *_, months, load_number = in_parallel(
+    *_, days_in_batch, load_number = in_parallel(
         spark,
         customers,
         products,
         days,
-        lambda: fact_months(facts),
+        lambda: fact_days(facts),
         lambda: next_load_number(spark, warehouse, run_id),
     )
-    load_fact(spark, warehouse, facts, months, load_number)
+    load_fact(spark, warehouse, facts, days_in_batch, load_number)
 
 
 def _clean_and_load(

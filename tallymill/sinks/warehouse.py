@@ -66,26 +66,27 @@ def next_load_number(spark: SparkSession, warehouse: str, run_id: str) -> int:
     return number
 
 
-def fact_months(facts: DataFrame) -> list[int]:
-    """Months of the batch: at most the months of the calendar."""
-    months = facts.select(date_month("date_id").alias("month")).distinct()
-    return [row["month"] for row in months.collect()]
+def fact_days(facts: DataFrame) -> list[int]:
+    """Date keys of the batch: at most the days of the calendar."""
+    return [row["date_id"] for row in facts.select("date_id").distinct().collect()]
 
 
 def load_fact(
-    spark: SparkSession, warehouse: str, df: DataFrame, months: list[int], load_number: int
+    spark: SparkSession, warehouse: str, df: DataFrame, days: list[int], load_number: int
 ) -> None:
     """Append the rows whose grain is not there yet.
 
-    Of the loaded fact, only the grain columns of the batch's months are read.
+    Of the loaded fact, only the grain columns of the batch's days are read. Rows are sorted by
+    day within their month, so that later loads can skip what they do not need.
     """
-    if not months:
+    if not days:
         return
     batch = to_fact(df).withColumn(FACT_PARTITION, date_month("date_id"))
-    delta = new_fact_rows(batch, read_fact_grain(spark, warehouse, months))
+    delta = new_fact_rows(batch, read_fact_grain(spark, warehouse, days))
     (
         delta.hint("rebalance", F.col(FACT_PARTITION))
         .select(surrogate_id(load_number).alias("sales_id"), *batch.columns)
+        .sortWithinPartitions(FACT_PARTITION, "date_id")
         .write.mode("append")
         .partitionBy(FACT_PARTITION)
         .parquet(f"{warehouse}/fact_sales")

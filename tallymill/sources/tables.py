@@ -19,6 +19,8 @@ ROW_OK = "ok"
 ROW_CORRUPT = "corrupt"
 CORRUPT_TEXT = "corrupt_text"
 FACT_PARTITION = "date_month"
+# A list of days longer than this makes the plan heavy; the months are filter enough then.
+LISTED_DAYS = 1000
 
 STAGING_LAYOUT = {
     name: StructType(
@@ -105,10 +107,10 @@ def read_dimension_keys(spark: SparkSession, warehouse: str, table: str) -> Data
     return read_warehouse(spark, warehouse, table).select(DIMENSION_KEYS[table])
 
 
-def read_fact_grain(spark: SparkSession, warehouse: str, months: list[int]) -> DataFrame:
-    """Grain columns of the given months only."""
-    return (
-        read_fact(spark, warehouse)
-        .where(F.col(FACT_PARTITION).isin(months))
-        .select(*FACT_GRAIN, FACT_PARTITION)
-    )
+def read_fact_grain(spark: SparkSession, warehouse: str, days: list[int]) -> DataFrame:
+    """Grain columns of the given days: their months' folders, and in these their days."""
+    months = sorted({day // 100 for day in days})
+    rows = read_fact(spark, warehouse).where(F.col(FACT_PARTITION).isin(months))
+    if len(days) <= LISTED_DAYS:
+        rows = rows.where(F.col("date_id").isin(days))
+    return rows.select(*FACT_GRAIN)

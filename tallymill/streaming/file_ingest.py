@@ -32,6 +32,8 @@ logger = logging.getLogger(__name__)
 
 
 LOGGED_NAMES = 20
+# A backlog of any size is staged in steps of this many files.
+FILES_PER_BATCH = 10_000
 
 
 @dataclass
@@ -47,7 +49,7 @@ def feed_stream(
     folder: str,
     table: str,
     archive: str | None = None,
-    max_files_per_batch: int | None = None,
+    max_files_per_batch: int = FILES_PER_BATCH,
 ) -> DataFrame:
     """New files of one feed, typed and stamped with the time (UTC) their micro-batch started."""
     reader = (
@@ -55,9 +57,8 @@ def feed_stream(
         .schema(raw_schema(table))
         .option("pathGlobFilter", feed_glob(table))
         .option("ignoreMissingFiles", "true")  # a file that failed may be taken out again
+        .option("maxFilesPerTrigger", max_files_per_batch)
     )
-    if max_files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
     if archive:
         # Files move once a later batch has committed; the checkpoint, not the move, is what
         # keeps them from being read twice.
@@ -87,7 +88,7 @@ def start_feed(
     checkpoints: str,
     table: str,
     archive: str | None = None,
-    max_files_per_batch: int | None = None,
+    max_files_per_batch: int = FILES_PER_BATCH,
     poll_seconds: int | None = None,
 ) -> StreamingQuery:
     stream = feed_stream(spark, folder, table, archive, max_files_per_batch)
@@ -110,7 +111,7 @@ def ingest(
     staging: str,
     checkpoints: str,
     archive: str | None = None,
-    max_files_per_batch: int | None = None,
+    max_files_per_batch: int = FILES_PER_BATCH,
     seconds: int | None = None,
     poll_seconds: int = 5,
 ) -> IngestReport:

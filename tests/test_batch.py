@@ -12,7 +12,12 @@ from tallymill.schemas import STAGING, WAREHOUSE
 from tallymill.session import work_folder
 from tallymill.sinks.audit import read_audit
 from tallymill.sources.csv_files import read_rejected_csv
-from tallymill.sources.tables import path_exists, read_staging, read_warehouse
+from tallymill.sources.tables import (
+    path_exists,
+    read_fact_grain,
+    read_staging,
+    read_warehouse,
+)
 from tests.conftest import values
 
 AS_OF = date(2024, 2, 1)
@@ -221,6 +226,18 @@ def test_increment_prunes_days(spark, places):
     assert newer.count() == 1
 
 
+def test_loading_reads_the_days_of_the_batch_only(spark, places):
+    staging, warehouse = places
+    batch.run(spark, staging, warehouse, "r1", AS_OF)
+    grain = read_fact_grain(spark, warehouse, [20240105, 20230101])
+    assert values(grain) == [(1, 10, 20240105)]
+    plan = grain._jdf.queryExecution().executedPlan().toString()
+    assert "date_month" in plan.split("PartitionFilters")[1][:200]
+    assert "In(date_id" in plan
+    schema = plan.split("ReadSchema")[1]
+    assert "unit_price" not in schema and "sales_id" not in schema
+
+
 def test_conservation(spark, places):
     staging, _ = places
     rows = batch.extract(spark, staging, datetime(1900, 1, 1))

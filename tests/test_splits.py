@@ -12,6 +12,7 @@ from tallymill.operators.splits import (
     detect_corrupt_sales,
     detect_multi_customer_transactions,
     detect_orphan_sales,
+    mark_orphans,
     parse_transaction_date,
     validate_transaction_dates,
 )
@@ -73,6 +74,16 @@ def test_orphans(frame, small_rows):
     assert values(rejected, "transaction_id") == [(2,), (3,), (4,), (6,), (7,)]
 
 
+@pytest.mark.parametrize("small_rows", [1000, 0])
+def test_orphans_of_several_key_tables(frame, small_rows):
+    sales = frame("transaction_id int, customer_id int, product_id int", (1, 1, 1), (2, 2, 1), (3, 3, 1), (4, 4, 1))
+    tables = [frame("customer_id int", (1,), (2,)), frame("customer_id int", (2,), (3,))]
+    marked = mark_orphans(sales, tables, [frame("product_id int", (1,))], small_rows)
+    assert values(marked, "transaction_id", "is_orphan") == [
+        (1, False), (2, False), (3, False), (4, True)
+    ]
+
+
 @pytest.mark.parametrize("small_rows", [1000, 0])
 def test_first_failed_test_names_the_reason(frame, small_rows):
     sales = parse_transaction_date(
@@ -87,7 +98,7 @@ def test_first_failed_test_names_the_reason(frame, small_rows):
         )
     )
     got = classify_sales(
-        sales, frame("customer_id int", (1,)), frame("product_id int", (1,)), small_rows
+        sales, [frame("customer_id int", (1,))], [frame("product_id int", (1,))], small_rows
     )
     assert values(got, "transaction_id", "reject_reason") == [
         (1, None), (2, INVALID_DATE), (3, CORRUPT_VALUE), (4, ORPHAN_KEY), (5, NULL_KEY),
