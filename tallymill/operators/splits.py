@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymill.functions.dates import parse_day
-from tallymill.session import settle
+from tallymill.session import in_parallel, settle
 
 INVALID_DATE = "INVALID_DATE"
 CORRUPT_VALUE = "CORRUPT_VALUE"
@@ -83,16 +83,15 @@ def detect_multi_customer_transactions(df: DataFrame) -> tuple[DataFrame, DataFr
     )
 
 
-def _mark_unknown(
+def _key_check(
     sales: DataFrame, known: list[DataFrame], key: str, marker: str, small_rows: int
-) -> DataFrame:
-    """``marker``: true where the key is missing or in none of the ``known`` tables."""
+) -> tuple[DataFrame, Column]:
+    """A table to left-join by ``key``, and the test that then tells rows with no known key."""
     keys = [table.select(key) for table in known]
     if sum(table.count() for table in keys) <= small_rows:
         # Few keys: the planner broadcasts them and the sales stay where they are.
         every = settle(reduce(DataFrame.unionByName, keys).distinct(), f"{key}-known")
-        found = every.select(key, F.lit(True).alias(marker))
-        return sales.join(found, key, "left").withColumn(marker, F.col(marker).isNull())
+        return every.withColumn(marker, F.lit(True)), F.col(marker).isNull()
     # Many keys: start from the distinct keys of the sales, one column, combined before its
     # shuffle. The big tables are only filtered by these. What is left over is unknown, few as a
     # rule, so joining it spares the shuffle of whole rows; where it is much, that join is split
@@ -104,9 +103,7 @@ def _mark_unknown(
     for table in keys:
         unknown = unknown.join(table.join(wanted, key, "left_semi"), key, "left_anti")
     unknown = settle(unknown, f"{key}-unknown").withColumn(marker, F.lit(True))
-    return sales.join(unknown, key, "left").withColumn(
-        marker, F.col(marker).isNotNull() | F.col(key).isNull()
-    )
+    return unknown, F.col(marker).isNotNull() | F.col(key).isNull()
 
 
 def mark_orphans(
@@ -119,10 +116,15 @@ def mark_orphans(
 
     The tables are counted first, so they should be scans.
     """
-    marked = _mark_unknown(sales, customers, "customer_id", "no_customer", small_rows)
-    marked = _mark_unknown(marked, products, "product_id", "no_product", small_rows)
-    return marked.select(
-        *sales.columns, (F.col("no_customer") | F.col("no_product")).alias("is_orphan")
+    (customer_side, no_customer), (product_side, no_product) = in_parallel(
+        sales.sparkSession,
+        lambda: _key_check(sales, customers, "customer_id", "customer_mark", small_rows),
+        lambda: _key_check(sales, products, "product_id", "product_mark", small_rows),
+    )
+    return (
+        sales.join(customer_side, "customer_id", "left")
+        .join(product_side, "product_id", "left")
+        .select(*sales.columns, (no_customer | no_product).alias("is_orphan"))
     )
 
 
