@@ -2,8 +2,10 @@
 
 The winner of a key is found by ``max`` of a struct, an aggregate that is combined before the
 shuffle, so a key that holds a third of all rows sends one row per map task. The winners are
-written once (they are the clean table anyway) and joined back by key, where AQE splits a hot
-key over many tasks. A ``row_number`` over the key would put all of a hot key in one task.
+written once (they are the clean table anyway). To find the losers, rows are joined with the
+winners of contested keys only: few as a rule, so they are broadcast and the rows stay where they
+are; where they are many, AQE splits a hot key over many tasks. A ``row_number`` over the key
+would put all of a hot key in one task.
 """
 
 from __future__ import annotations
@@ -16,6 +18,8 @@ from tallymill.functions.text import is_valid_product_name, strip
 from tallymill.session import settle
 
 ROW_ID = "row_id"
+ROWS_OF_KEY = "rows_of_key"
+HELPERS = (ROW_ID, ROWS_OF_KEY)
 NULL_KEY = "NULL_KEY"
 DUPLICATE_CUSTOMER = "DUPLICATE_CUSTOMER_ID"
 
@@ -41,7 +45,7 @@ def with_row_id(df: DataFrame, name: str = "rows") -> DataFrame:
 
 
 def best_per_key(df: DataFrame, key: str, ranking: list[Column]) -> DataFrame:
-    """One whole row per non-null key: highest by ``ranking``, nulls last.
+    """One whole row per non-null key: highest by ``ranking``, nulls last; and its row count.
 
     Ties go by the remaining columns, then by row identity, so any run picks the same row.
     """
@@ -51,18 +55,23 @@ def best_per_key(df: DataFrame, key: str, ranking: list[Column]) -> DataFrame:
         F.struct(*rest).alias("row"),
         F.col(ROW_ID),
     )
-    best = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.max(order).alias("best"))
-    return best.select(key, "best.row.*", f"best.{ROW_ID}")
+    best = (
+        df.where(F.col(key).isNotNull())
+        .groupBy(key)
+        .agg(F.max(order).alias("best"), F.count("*").alias(ROWS_OF_KEY))
+    )
+    return best.select(key, "best.row.*", f"best.{ROW_ID}", ROWS_OF_KEY)
 
 
-def _without(df: DataFrame, best: DataFrame, key: str, *carried: str) -> DataFrame:
-    """``df`` with ``best_id`` and the carried columns of its key's winner."""
-    winners = best.select(
-        key,
-        F.col(ROW_ID).alias("best_id"),
-        *[F.col(c).alias(f"best_{c}") for c in carried],
+def _rejected(rows: DataFrame, winners: DataFrame, key: str, reason: Column) -> DataFrame:
+    """Rows with a reason, given the winners (as ``best_id`` and such) that decide about them."""
+    winners = settle(winners, f"{key}-contested")
+    return (
+        rows.join(winners, key, "left")
+        .withColumn("reject_reason", F.when(F.col(key).isNull(), NULL_KEY).otherwise(reason))
+        .where(F.col("reject_reason").isNotNull())
+        .drop(ROW_ID, *[c for c in winners.columns if c != key])
     )
-    return df.join(winners, key, "left")
 
 
 # --- customers: the latest readable signup wins ---
@@ -77,14 +86,12 @@ def best_customers(prepared: DataFrame) -> DataFrame:
 
 
 def rejected_customers(prepared: DataFrame, best: DataFrame) -> DataFrame:
-    reason = F.when(F.col("customer_id").isNull(), NULL_KEY).when(
-        F.col(ROW_ID) != F.col("best_id"), DUPLICATE_CUSTOMER
-    )
-    return (
-        _without(prepared, best, "customer_id")
-        .withColumn("reject_reason", reason)
-        .where(F.col("reject_reason").isNotNull())
-        .drop("best_id", ROW_ID)
+    contested = best.where(F.col(ROWS_OF_KEY) > 1)
+    return _rejected(
+        prepared,
+        contested.select("customer_id", F.col(ROW_ID).alias("best_id")),
+        "customer_id",
+        F.when(F.col(ROW_ID) != F.col("best_id"), DUPLICATE_CUSTOMER),
     )
 
 
@@ -122,16 +129,18 @@ def best_products(prepared: DataFrame) -> DataFrame:
 
 
 def rejected_products(prepared: DataFrame, best: DataFrame) -> DataFrame:
-    reason = (
-        F.when(F.col("product_id").isNull(), NULL_KEY)
-        .when(~F.col("best_is_valid_name"), INVALID_PRODUCT_NAME)
-        .when(F.col(ROW_ID) != F.col("best_id"), DUPLICATE_PRODUCT_ID)
-    )
-    return (
-        _without(prepared, best, "product_id", "is_valid_name")
-        .withColumn("reject_reason", reason)
-        .where(F.col("reject_reason").isNotNull())
-        .drop("best_id", "best_is_valid_name", ROW_ID)
+    contested = best.where((F.col(ROWS_OF_KEY) > 1) | ~F.col("is_valid_name"))
+    return _rejected(
+        prepared,
+        contested.select(
+            "product_id",
+            F.col(ROW_ID).alias("best_id"),
+            F.col("is_valid_name").alias("any_valid_name"),
+        ),
+        "product_id",
+        F.when(~F.col("any_valid_name"), INVALID_PRODUCT_NAME).when(
+            F.col(ROW_ID) != F.col("best_id"), DUPLICATE_PRODUCT_ID
+        ),
     )
 
 

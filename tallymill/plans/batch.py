@@ -19,7 +19,7 @@ from tallymill.operators.cleaning import (
     normalize_blank_strings,
 )
 from tallymill.operators.duplicates import (
-    ROW_ID,
+    HELPERS,
     best_customers,
     best_products,
     prepare_customers,
@@ -94,14 +94,14 @@ def clean_customers(staged: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(clean and typed, rejected with reason); the clean side is a written table."""
     prepared = prepare_customers(normalize_blank_strings(staged))
     best = settle(best_customers(prepared), "customers-best")
-    return enforce_customer_types(best.drop(ROW_ID)), rejected_customers(prepared, best)
+    return enforce_customer_types(best.drop(*HELPERS)), rejected_customers(prepared, best)
 
 
 def clean_products(staged: DataFrame) -> tuple[DataFrame, DataFrame]:
     priced = clean_product_prices(normalize_blank_strings(staged))
     prepared = prepare_products(priced)
     best = settle(best_products(prepared), "products-best")
-    clean = best.where("is_valid_name").drop(ROW_ID)
+    clean = best.where("is_valid_name").drop(*HELPERS)
     return enforce_product_types(clean), rejected_products(prepared, best)
 
 

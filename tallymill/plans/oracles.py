@@ -410,7 +410,8 @@ FROM sales_totals"""),
     "fact_sales": _chain(f"SELECT {_FACT}, {_AMOUNTS} FROM facts"),
     "new_dimension_rows": _chain(f"""
 SELECT * FROM customers_dim d WHERE NOT EXISTS (
-  SELECT 1 FROM customers_stage s WHERE s.customer_id = d.customer_id AND s.{_on_day('customers_stage', 1)})"""),
+  SELECT 1 FROM customers_stage s
+  WHERE s.customer_id = d.customer_id AND s.{_on_day('customers_stage', 1)})"""),
     "new_fact_rows": _chain(f"""
 SELECT {_FACT}, {_AMOUNTS} FROM facts n WHERE {_SECOND_DAY} AND NOT EXISTS (
   SELECT 1 FROM facts o WHERE o.{_FIRST_DAY} AND o.customer_id = n.customer_id

@@ -137,3 +137,44 @@ def test_hot_key_is_split(spark, folder):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+product_rows = st.lists(
+    st.tuples(
+        st.integers(0, 3),
+        st.sampled_from(["Lamp", " Lamp", "Oil", "Up", None, "Table"]),
+        st.sampled_from(["a", None]),
+        st.sampled_from(["b", None]),
+        st.sampled_from([5.0, 7.0, 0.0, None]),
+    ),
+    min_size=1,
+    max_size=25,
+)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(product_rows)
+def test_products_against_brute_force(frame, rows):
+    clean, rejected = resolve_duplicate_products(frame(PRODUCTS, *rows))
+    stripped = [(k, n.strip() if n else n, c, b, p) for k, n, c, b, p in rows]
+    expected_clean, expected_rejected = Counter(), Counter()
+    for key in {r[0] for r in stripped}:
+        group = [r for r in stripped if r[0] == key]
+        valid = [r for r in group if r[1] in ("Lamp", "Table")]
+        if not valid:
+            expected_rejected.update((*r, INVALID_PRODUCT_NAME) for r in group)
+            continue
+        winner = max(
+            valid,
+            key=lambda r: (
+                (r[4] or 0) > 0, r[2] is not None, r[3] is not None,
+                -1 if r[4] is None else r[4], r[1], r[2] or "", r[3] or "",
+            ),
+        )
+        expected_clean[winner] += 1
+        group.remove(winner)
+        expected_rejected.update((*r, DUPLICATE_PRODUCT_ID) for r in group)
+    columns = ["product_id", "product_name", "category", "brand", "unit_price"]
+    assert Counter(tuple(r) for r in clean.select(*columns).collect()) == expected_clean
+    got = Counter(tuple(r) for r in rejected.select(*columns, "reject_reason").collect())
+    assert got == expected_rejected

@@ -6,7 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallymill.operators.cleaning import impute_transaction_dates
-from tallymill.operators.duplicates import resolve_duplicate_products, rows_with_duplicated_key
+from tallymill.operators.duplicates import (
+    file_row_id,
+    resolve_duplicate_customers,
+    resolve_duplicate_products,
+    rows_with_duplicated_key,
+)
 from tallymill.operators.incremental import new_fact_rows
 from tallymill.operators.splits import (
     detect_multi_customer_transactions,
@@ -117,6 +122,28 @@ def test_products(spark, sales):
         assert (clean.count(), rejected.count()) == (ROWS - ROWS // 3 + 1, ROWS // 3 - 1)
 
 
+def test_few_contested_keys_spare_the_shuffle(spark, sales, folder):
+    """One contested key, a third of all rows: the join that finds its losers shuffles nothing."""
+    sales.select("customer_id", F.col("payload").alias("customer_name"), F.lit("2020-01-01").alias("signup_date")).write.parquet(f"{folder}/c")
+    rows = spark.read.parquet(f"{folder}/c").select("*", file_row_id().alias("row_id"))
+    clean, rejected = resolve_duplicate_customers(rows)
+    plan = executed(rejected)
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    assert (clean.count(), rejected.count()) == (ROWS - ROWS // 3 + 1, ROWS // 3 - 1)
+
+
+def test_null_keys(spark, sales):
+    """A third of the rows without a key."""
+    rows = sales.select(
+        F.nullif("customer_id", F.lit(7)).alias("customer_id"),
+        F.col("payload").alias("customer_name"),
+        F.lit("2020-01-01").alias("signup_date"),
+    )
+    with small_thresholds(spark):
+        clean, rejected = resolve_duplicate_customers(rows)
+        assert (clean.count(), rejected.count()) == (ROWS - ROWS // 3, ROWS // 3)
+
+
 @pytest.mark.parametrize("loaded_too", [False, True])
 def test_new_fact_rows(spark, sales, loaded_too):
     """Hot in the batch, and hot on both sides."""
