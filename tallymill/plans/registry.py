@@ -52,7 +52,7 @@ from tallymill.plans.batch import (
 )
 from tallymill.plans.star import Star
 from tallymill.schemas import AUDIT, FEEDS, WAREHOUSE
-from tallymill.session import apply_settings, in_parallel, new_work_path, settle
+from tallymill.session import apply_settings, in_parallel, new_work_path
 from tallymill.sinks.audit import PIPELINE_NAME, SUCCESS, upsert
 from tallymill.sinks.quarantine import STAGE_OF_FEED, quality_counts, write_rejects
 from tallymill.sources.csv_files import read_rejected_csv
@@ -178,7 +178,7 @@ def _new_dimension_rows(spark, d) -> DataFrame:
 
 def _new_fact_rows(spark, d) -> DataFrame:
     sales = in_two_days(_clean_sales(spark, d), "sales_transactions_stage")
-    facts = settle(transform_sales(enforce_sales_types(sales)), "facts-two-days")
+    facts = transform_sales(enforce_sales_types(sales))
     first = F.col("ingest_date") <= F.lit(FIRST_DAY).cast("timestamp_ntz")
     return new_fact_rows(to_fact(facts.where(~first)), to_fact(facts.where(first)))
 
