@@ -49,10 +49,12 @@ from tallymill.sinks.warehouse import (
 from tallymill.sources.tables import (
     CORRUPT_TEXT,
     ROW_OK,
+    folder_names,
+    is_streamed,
     path_exists,
     read_dimension_keys,
+    read_folders,
     read_staging,
-    read_table,
 )
 
 logger = logging.getLogger(__name__)
@@ -296,10 +298,11 @@ def quality_report(
 
     def reject_part(table: str) -> DataFrame:
         columns = StructType.fromDDL("reject_reason string, reject_stage string, run_id string")
-        rows = read_table(spark, f"{quarantine}/{table}", columns)
-        return quality_counts(
-            rows.where(F.col("run_id") == run_id), run_id, table, F.col("reject_stage")
-        )
+        path = f"{quarantine}/{table}"
+        of_run = [f"{stage}/run_id={run_id}" for stage in folder_names(spark, path)]
+        present = [folder for folder in of_run if path_exists(spark, f"{path}/{folder}")]
+        rows = read_folders(spark, path, columns, present)
+        return quality_counts(rows, run_id, table, F.col("reject_stage"))
 
     stage = F.coalesce(F.lower("reject_reason"), F.lit("load"))
     report = quality_counts(cleaned.sales, run_id, "sales_transactions_stage", stage)
@@ -317,7 +320,7 @@ def append_staging(df: DataFrame, staging: str, table: str) -> None:
     A table is filled one way or the other: once a stream owns it, readers go by the stream's
     commit log and would not see files put beside it.
     """
-    if path_exists(df.sparkSession, f"{staging}/{table}/_spark_metadata"):
+    if is_streamed(df.sparkSession, f"{staging}/{table}"):
         raise ValueError(f"{staging}/{table} is filled by a stream")
     columns = STAGING[table].fieldNames()
     (

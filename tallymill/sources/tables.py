@@ -62,6 +62,44 @@ def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    if not path_exists(spark, path):
+        return []
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in files.listStatus(folder) if s.isDirectory())
+
+
+def read_folders(
+    spark: SparkSession, path: str, schema: StructType, folders: list[str]
+) -> DataFrame:
+    """Some partition folders of a table. Unlike a filter, this spares listing all other files."""
+    if not folders:
+        return empty_table(spark, schema)
+    paths = [f"{path}/{folder}" for folder in folders]
+    return spark.read.schema(schema).option("basePath", path).parquet(*paths)
+
+
+def is_streamed(spark: SparkSession, path: str) -> bool:
+    """Whether a stream owns the table; readers then go by its commit log and list no files."""
+    return path_exists(spark, f"{path}/_spark_metadata")
+
+
+def _staged_since(
+    spark: SparkSession, path: str, table: str, after: datetime | None
+) -> DataFrame | None:
+    """Scan of the day folders that may hold rows ingested later, None if there are none."""
+    layout = STAGING_LAYOUT[table]
+    if not path_exists(spark, path):
+        return None
+    if after is None or is_streamed(spark, path):
+        return read_table(spark, path, layout)
+    status = f"row_status={ROW_OK}"
+    first = f"ingest_day={after.date().isoformat()}"
+    days = [day for day in folder_names(spark, f"{path}/{status}") if day >= first]
+    return read_folders(spark, path, layout, [f"{status}/{day}" for day in days]) if days else None
+
+
 def read_staging(
     spark: SparkSession,
     staging: str,
@@ -69,14 +107,19 @@ def read_staging(
     after: datetime | None = None,
     row_ids: bool = False,
 ) -> DataFrame:
-    """Staged rows, all columns; ``after`` keeps the rows ingested strictly later."""
-    path = f"{staging}/{table}"
-    rows = read_table(spark, path, STAGING_LAYOUT[table]).where(F.col("row_status") == ROW_OK)
+    """Staged rows, all columns; ``after`` keeps the rows ingested strictly later.
+
+    With ``row_ids``, a table with files also gives each row's identity.
+    """
+    rows = _staged_since(spark, f"{staging}/{table}", table, after)
+    if rows is None:
+        return empty_table(spark, STAGING[table])
+    rows = rows.where(F.col("row_status") == ROW_OK)
     if after is not None:
         rows = newer_than(rows.where(F.col("ingest_day") >= F.lit(after.date())), after)
-    columns = STAGING[table].fieldNames()
-    if row_ids and path_exists(spark, path):
-        return rows.select(*columns, file_row_id().alias(ROW_ID))
+    columns = [F.col(c) for c in STAGING[table].fieldNames()]
+    if row_ids:
+        columns.append(file_row_id().alias(ROW_ID))
     return rows.select(*columns)
 
 
@@ -109,8 +152,10 @@ def read_dimension_keys(spark: SparkSession, warehouse: str, table: str) -> Data
 
 def read_fact_grain(spark: SparkSession, warehouse: str, days: list[int]) -> DataFrame:
     """Grain columns of the given days: their months' folders, and in these their days."""
-    months = sorted({day // 100 for day in days})
-    rows = read_fact(spark, warehouse).where(F.col(FACT_PARTITION).isin(months))
+    path = f"{warehouse}/fact_sales"
+    months = [f"{FACT_PARTITION}={month}" for month in sorted({day // 100 for day in days})]
+    present = sorted(set(months).intersection(folder_names(spark, path)))
+    rows = read_folders(spark, path, FACT_LAYOUT, present)
     if len(days) <= LISTED_DAYS:
         rows = rows.where(F.col("date_id").isin(days))
     return rows.select(*FACT_GRAIN)
