@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymill.llm import compression, hamming, minhash, packing, quality, sharding, toxicity, urls
+from tallymill.llm import compression, hamming, licenses, minhash, packing, pieces, quality, sharding, toxicity, urls
 
 #: The sites that the URL query lists.
 SITES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
@@ -47,6 +47,14 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_packing(table(spark, sf_dir, "documents"))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(table(spark, sf_dir, "documents"))
+
+
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(table(spark, sf_dir, "documents"))
+
+
 def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hamming.near_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -59,7 +67,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
     found = [
-        op1_toxicity, op2_compression_bands, op4_quality_classifier, op5_url_filter, op7_embedding_near_dedup, op8_minhash,
+        op1_toxicity, op2_compression_bands, op3_license_scan, op4_quality_classifier, op5_url_filter, op6_sentencepiece,
+        op7_embedding_near_dedup, op8_minhash,
         op9_best_fit_packing, op10_sharding,
     ]
     return {f.__name__: f for f in found} | {"pipeline": corpus_pipeline.run}

@@ -21,6 +21,8 @@ THRESHOLD = 0.7
 FIT_ROWS = 2500
 #: A word counts if it is in so many of the fit's documents; the most telling ones are weighted.
 LEAST_DOCS, MOST_WORDS = 5, 4096
+#: Deviations by which a word's count in toxic documents must exceed the expected one.
+LEAST_EXCESS = 4.0
 STEPS = 300
 SENTENCE = re.compile(r"[^.!?\n]+")
 WORD = re.compile(r"[^\W\d_]+")
@@ -77,12 +79,10 @@ def fit(rows: list[tuple[str, int]]) -> Model:
     for bag, label in zip(bags, y, strict=True):
         for w in set().union(*bag):
             counts.setdefault(w, [0, 0])[int(label)] += 1
-    odds = {
-        w: math.log((b + 0.5) / (toxic + 1)) - math.log((a + 0.5) / (n - toxic + 1))
-        for w, (a, b) in counts.items()
-        if a + b >= LEAST_DOCS
+    excess = {
+        w: (b - (a + b) * toxic / n) / math.sqrt((a + b) * toxic / n) for w, (a, b) in counts.items() if a + b >= LEAST_DOCS
     }
-    tell = sorted((w for w in odds if odds[w] > 1), key=lambda w: (-odds[w] * counts[w][1], w))[:MOST_WORDS]
+    tell = sorted((w for w in excess if excess[w] >= LEAST_EXCESS), key=lambda w: (-excess[w], w))[:MOST_WORDS]
     number = {w: k for k, w in enumerate(tell)}
     # One row per weighted word of a sentence; sentences without one cannot differ and are left out.
     sentence, word, owner = [], [], []
