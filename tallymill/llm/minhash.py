@@ -67,7 +67,7 @@ def signatures(bags: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
     low = 1
     while (more := weight > low).any():
         doc, hashes, weight = doc[more], hashes[more], weight[more]
-        parts.append((doc, mixed(hashes + np.uint64(low)), weight, np.full(len(doc), low), np.full(len(doc), low)))
+        parts.append((doc, mixed(hashes ^ mixed(np.uint64([low]))), weight, np.full(len(doc), low), np.full(len(doc), low)))
         low *= 2
     doc, seed, weight, start, length = (np.concatenate(x) for x in zip(*parts, strict=True))
     time = np.zeros(len(doc))

@@ -1,7 +1,7 @@
 """Sharding by balanced label propagation, in DataFrame operations only.
 
 Documents of equal texts are linked. They start in the shard of their id's hash; in each round a group's documents turn
-to the shard that holds most of them, as far as that shard's quota has room. At last all documents, ordered by shard and
+to the shard that holds most of them (ties: by hash), as far as that shard's quota has room. At last all documents, ordered by shard and
 group, are cut into shards of equal counts (at most one apart), which splits a group only where a quota demands it.
 Null texts have size 1, no links and the checksum of an empty text. Repeated rows are documents of their own; a group
 of any size is ranked in salted buckets, so none meets in one task.
@@ -14,19 +14,19 @@ from pyspark.sql import functions as F
 
 from tallymill.session import settle
 
-ROUNDS = 3
+ROUNDS = 5
 #: Rows that are ranked together, and the number of such buckets aimed at for small tables.
 MOST_RANKED, BUCKETS = 50_000, 2048
 
 
-def _share(*columns: Column) -> Column:
+def _share(*columns: Column | str) -> Column:
     """A number in [0, 1) by hash."""
     return F.pmod(F.xxhash64(*columns), F.lit(1_000_003)) / F.lit(1_000_003.0)
 
 
 def _round(state: DataFrame, number: int, shards: int, quota: float) -> DataFrame:
     held = settle(state.groupBy("key", "copies", "shard").agg(F.count("*").alias("n")), "held")
-    goals = held.where("copies > 1").groupBy("key").agg(F.max(F.struct("n", "shard")).alias("best"))
+    goals = held.where("copies > 1").groupBy("key").agg(F.max(F.struct("n", _share("key", "shard").alias("draw"), "shard")).alias("best"))
     goals = settle(goals.select("key", F.col("best.shard").alias("goal")), "goals")
     moves = held.where("copies > 1").join(goals, "key").where("shard != goal")
     came = moves.groupBy(F.col("goal").alias("shard")).agg(F.sum("n").alias("wanted"))

@@ -1,0 +1,229 @@
+"""The operators of the subpackage against brute force, on small tables with nulls, empty and repeated rows."""
+
+from __future__ import annotations
+
+import zlib
+from collections import Counter
+from itertools import combinations
+
+import numpy as np
+import pytest
+import zstandard
+
+from tallymill.llm import compression, hamming, licenses, minhash, packing, pieces, quality, sharding, toxicity, urls
+
+BASE = " ".join(f"word{k}" for k in range(60))
+TEXTS = [
+    None,
+    "",
+    "",
+    BASE,
+    BASE,
+    BASE + " tail",
+    "start " + BASE,
+    " ".join(f"other{k}" for k in range(40)),
+    "loop " * 100,
+    "Ünïcode 日本語 🙂\n\nline\nline\n",
+    "one two",
+]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = [(k, t, k, "x") for k, t in enumerate(TEXTS)]
+    return spark.createDataFrame(rows, "doc_id long, text string, shard int, bucket string")
+
+
+@pytest.fixture(scope="module")
+def none(docs):
+    return docs.where("doc_id < 0")
+
+
+def test_compression_counts(docs, none):
+    found = {r["doc_id"]: r for r in compression.compression_rules(docs).collect()}
+    for k, text in enumerate(TEXTS):
+        text = text or ""
+        split = text.encode().split()
+        at = [tuple(split[i : i + 8]) for i in range(len(split) - 7)]
+        many = Counter(at)
+        inside = {i + j for i, w in enumerate(at) if many[w] > 1 for j in range(8)}
+        lines = [x for x in text.split("\n") if x.strip(" \t\n\x0b\x0c\r")]
+        row = found[k]
+        assert row["n_words"] == len(split)
+        assert row["n_repeat_words"] == len(inside)
+        assert row["n_dup_lines"] == len(lines) - len(set(lines))
+        assert row["base_failed"] == (len(split) < 20 or 100 * len(inside) > 30 * len(split))
+    assert found[3]["kept"] and not found[8]["kept"]
+    assert compression.compression_rules(none).count() == 0
+
+
+def test_noise_is_outside_its_band():
+    rng = np.random.default_rng(1)
+    press = zstandard.ZstdCompressor(level=3)
+    assert compression.outside(rng.bytes(3000), press)[0]
+    assert compression.outside(b"a" * 3000, press)[0]
+
+
+def test_urls(spark):
+    rules = [urls.site_rule(v, n) for v, n in (("block", "net/"), ("allow", "example.net/en/"), ("allow", "org/fr/"))]
+    cases = [
+        (1, "http://A.Example.NET/en/x?q", "a.example.net", "/en/x", "example.net/en/", "allow"),
+        (2, "http://x.net", "x.net", "", None, "allow"),
+        (3, "http://x.net/", "x.net", "/", "net/", "block"),
+        (4, "http://xnet/", "xnet", "/", None, "allow"),
+        (5, "https://org/fr/1#a", "org", "/fr/1", "org/fr/", "allow"),
+        (6, None, "", "", None, "allow"),
+        (7, "no scheme", "", "", None, "allow"),
+        (8, "http://a.com/casino/1", "a.com", "/casino/1", None, "block"),
+        (8, "http://a.com/casinos", "a.com", "/casinos", None, "allow"),
+    ]
+    pages = spark.createDataFrame([(c[0], c[1], "h") for c in cases], "page_id long, url string, html string")
+    found = sorted(tuple(r) for r in urls.url_filter(pages, [*rules, *urls.PATTERNS]).collect() if r["page_id"] != 8)
+    assert found == sorted((c[0], *c[2:]) for c in cases if c[0] != 8)
+    last = [r["verdict"] for r in urls.url_filter(pages, list(urls.PATTERNS)).where("page_id = 8").collect()]
+    assert sorted(last) == ["allow", "block"]
+    assert urls.url_filter(pages.where("page_id < 0"), rules).count() == 0
+
+
+def test_sentencepiece_equals_its_library(docs):
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
+    for row in pieces.encode(docs).collect():
+        text = TEXTS[row["doc_id"]] or ""
+        assert row["ids"] == sp.encode(text)
+        assert row["decoded"] == text
+    odd = [" ", "  a  b", "a\0b", "\t▁x", "aaaaaaaaaaaaaaaaaa", "        x", "1234567 🙂🙂", "ﬁ½\r\n"]
+    assert [x.tolist() for x in pieces.model(pieces.MODEL).encode(odd)] == sp.encode(odd)
+
+
+def test_packing(docs, none):
+    from tokenizers import Tokenizer
+
+    long = docs.unionByName(docs.selectExpr("doc_id + 100 as doc_id", "repeat(text, 40) as text", "shard", "bucket"))
+    rows = packing.best_fit_packing(long).collect()
+    plain = Tokenizer.from_file(packing.VOCABULARY)
+    texts = {k: t or "" for k, t in enumerate(TEXTS)} | {k + 100: (t or "") * 40 for k, t in enumerate(TEXTS)}
+    for doc_id, text in texts.items():
+        ids = [*plain.encode(text, add_special_tokens=False).ids, packing.END]
+        own = sorted((r for r in rows if r["doc_id"] == doc_id), key=lambda r: r["piece"])
+        assert [r["piece"] for r in own] == list(range(len(own)))
+        assert sum(r["length"] for r in own) == len(ids)
+        for r in own:
+            part = np.array(ids[r["start"] : r["start"] + r["length"]], "<u4").tobytes()
+            assert zlib.crc32(part) == r["ids_crc32"]
+        assert all(r["length"] == packing.CAPACITY for r in own[1:])
+    by: dict[int, list] = {}
+    for r in rows:
+        by.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for placed in by.values():
+        at = 0
+        for offset, length in sorted(placed):
+            assert offset == at
+            at += length
+        assert at <= packing.CAPACITY
+    assert len(by) >= packing.least_bins(np.array([r["length"] for r in rows]))
+    assert packing.best_fit_packing(none).count() == 0
+
+
+def test_bins_reach_their_bound():
+    lengths = np.random.default_rng(3).integers(1, 300, 4000)
+    assert len(packing.best_fit(lengths)[1]) == packing.least_bins(lengths)
+    assert packing.least_bins(np.array([600] * 5)) == 5
+
+
+def test_sharding(docs, none):
+    rows = sharding.sharding(docs).collect()
+    counts = Counter(r["shard"] for r in rows)
+    assert len(rows) == len(TEXTS) and max(counts.values()) - min(counts[k] for k in range(8)) <= 1
+    for shard in counts:
+        assert sorted(r["slot"] for r in rows if r["shard"] == shard) == list(range(counts[shard]))
+    for r in rows:
+        data = (TEXTS[r["doc_id"]] or "").encode()
+        assert (r["size"], r["text_crc32"]) == (len(data) + 1, zlib.crc32(data))
+    assert sharding.sharding(none).count() == 0
+
+
+def test_copies_share_a_shard(spark):
+    rows = [(k, f"text {k % 100}") for k in range(800)]
+    found = {r["doc_id"]: r["shard"] for r in sharding.sharding(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    split = sum(len({found[k] for k in range(g, 800, 100)}) - 1 for g in range(100))
+    assert split <= 7 + 20
+    assert set(Counter(found.values()).values()) == {100}
+
+
+def test_near_dedup_equals_brute_force(docs, none):
+    out, links = minhash.near_dedup(docs)
+    rows = {r["doc_id"]: r for r in out.collect()}
+    want = {
+        (a, b)
+        for a, b in combinations([k for k, t in enumerate(TEXTS) if t], 2)
+        if TEXTS[a] != TEXTS[b] and minhash.similarity(TEXTS[a], TEXTS[b]) >= 0.8 and a != 4 and b != 4
+    }
+    assert {(r["a"], r["b"]) for r in links.collect()} <= want
+    assert rows[0]["kept"] and rows[0]["component_id"] == 0
+    assert [rows[k]["component_id"] for k in (1, 2, 3, 4, 5, 6)] == [1, 1, 3, 3, 3, 3]
+    assert minhash.near_dedup(none)[0].count() == 0
+
+
+def test_signatures_estimate_weighted_jaccard():
+    a = (np.arange(300, dtype=np.uint64), np.full(300, 3))
+    b = (np.arange(100, 400, dtype=np.uint64), np.full(300, 5))
+    sig = minhash.signatures([a, b])
+    # minimum 200 * 3, maximum 100 * 3 + 200 * 5 + 100 * 5
+    assert abs((sig[0] == sig[1]).mean() - 600 / 1800) < 0.1
+
+
+def test_near_vectors_equal_brute_force(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(300, 64))
+    x[100:200] = x[:100] + 0.3 * rng.normal(size=(100, 64))
+    x[200:210] = x[0]
+    bad = [(300, None), (301, [0.0] * 64), (302, [float("nan")] * 64), (303, [])]
+    frame = spark.createDataFrame([*((k, v.tolist()) for k, v in enumerate(x)), *bad], "vec_id long, embedding array<float>")
+    rows = {r["vec_id"]: r for r in hamming.near_vectors(frame).collect()}
+    y = x.astype(np.float32).astype(float)
+    y /= np.linalg.norm(y, axis=1, keepdims=True)
+    near = y @ y.T >= 0.9
+    np.fill_diagonal(near, False)
+    found = np.array([rows[k]["n_links"] for k in range(300)])
+    assert (found <= near.sum(1)).all() and found.sum() >= 0.9 * near.sum()
+    assert all(rows[k]["kept"] and not rows[k]["n_links"] for k in (300, 301, 302, 303))
+    assert rows[205]["component_id"] == 0
+
+
+def test_toxicity_learns_from_documents(spark):
+    rng = np.random.default_rng(7)
+    plain = [f"w{a}" for a in "abcdefghijklmnop"]
+    rows = []
+    for k in range(600):
+        lines = [" ".join(rng.choice(list("abcdefghij"), 6)) for _ in range(5)]
+        if k % 3 == 0:
+            lines[2] += " moron" if k % 2 else " scum"
+        rows.append((k, ". ".join(lines), int(k % 3 == 0)))
+    assert plain
+    docs = spark.createDataFrame([(k, t) for k, t, _ in rows] + [(1000, None), (1001, "")], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, y) for k, _, y in rows], "doc_id long, toxic int")
+    found = {r["doc_id"]: r for r in toxicity.toxicity(docs, labels).collect()}
+    for k, _, y in rows:
+        assert found[k]["held_out"] == (zlib.crc32(str(k).encode()) % 3 == 1)
+        assert found[k]["predicted"] == y
+        assert len(found[k]["offending"]) == y
+    assert found[1000]["score"] == found[1001]["score"] == 0
+
+
+def test_quality_shrinks_sites(spark):
+    rows = [(k, f"{BASE} {k}." if k % 4 else "AB!! " * 40, f"h{k % 3}", "en") for k in range(200)]
+    docs = spark.createDataFrame([*rows, (500, None, None, None)], "doc_id long, text string, source string, lang string")
+    labels = spark.createDataFrame([(k, int(k % 4 > 0)) for k in range(200)], "doc_id long, quality int")
+    found = {r["row"]["doc_id"]: r for r in quality.quality(docs, labels).collect()}
+    assert len(found) == 201
+    assert all(found[k]["kept"] == (k % 4 > 0) for k in range(200))
+    assert 0 <= found[500]["path_posterior"] <= 1
+
+
+def test_licenses(spark):
+    texts = [None, "", "x", f"{BASE} Released under the MIT License. {BASE}", f"{BASE}\nlicensed under the apache license version 2 0\n"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r["licenses"] for r in licenses.license_scan(docs).collect()}
+    assert found == {0: [], 1: [], 2: [], 3: ["MIT"], 4: ["Apache-2.0"]}
