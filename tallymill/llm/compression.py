@@ -14,6 +14,8 @@ import pandas as pd
 import zstandard
 from pyspark.sql import DataFrame
 
+from tallymill.llm.batches import in_small_batches
+
 #: Least length in bytes, least and greatest ratio of plain to compressed size.
 BANDS = ((0, 0.0, 30.0), (200, 1.05, 8.0), (1000, 1.2, 8.0), (5000, 1.4, 9.0), (20000, 1.5, 12.0))
 CHUNK = 4096
@@ -98,4 +100,4 @@ def compression_rules(docs: DataFrame) -> DataFrame:
             rows = [(i, *judge(t, compressor)) for i, t in zip(batch["doc_id"].astype("Int64"), batch["text"], strict=True)]
             yield pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
 
-    return docs.select("doc_id", "text").mapInPandas(run, SCHEMA)
+    return in_small_batches(docs).select("doc_id", "text").mapInPandas(run, SCHEMA)

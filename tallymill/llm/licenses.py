@@ -16,6 +16,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 
+from tallymill.llm.batches import in_small_batches
 from tallymill.llm.minhash import MIX, mixed
 
 SHINGLE, WINDOW, STEP, HASHES, CONTAINMENT = 5, 8, 4, 64, 0.8
@@ -112,4 +113,4 @@ def license_scan(docs: DataFrame, templates: dict[str, str] | None = None) -> Da
                 found = [index.matches(s, shingles(s, number)) for s in split]
             yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "licenses": found})
 
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, licenses array<string>")
+    return in_small_batches(docs).select("doc_id", "text").mapInPandas(run, "doc_id long, licenses array<string>")

@@ -21,6 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallymill.llm.batches import in_small_batches
 from tallymill.llm.components import components
 from tallymill.session import settle
 
@@ -116,7 +117,7 @@ def signed(docs: DataFrame) -> DataFrame:
                 )
 
     schema = "doc_id long, key binary, bands array<long>, bits array<long>"
-    return docs.select("doc_id", "text").mapInPandas(run, schema)
+    return in_small_batches(docs).select("doc_id", "text").mapInPandas(run, schema)
 
 
 def similarity(a: str, b: str) -> float:

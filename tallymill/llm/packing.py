@@ -20,6 +20,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallymill.llm.batches import in_small_batches
 from tallymill.session import new_work_path
 
 CAPACITY = 1024
@@ -27,7 +28,7 @@ END = 2
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 PIECES_A_PARTITION = 50_000
 ROUNDS = 4
-WORDS_KEPT = 500_000
+WORDS_KEPT = 150_000
 CHUNKS = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 #: Texts with these go to the tokenizer whole: white space differs there, or a special token may be meant.
 ODD = re.compile(r"[\x1c-\x1f]|<\|")
@@ -101,7 +102,7 @@ def pieces(docs: DataFrame, path: str = VOCABULARY) -> DataFrame:
                         rows.append((doc_id, k, a, b - a, crc, crc * 31 + (0 if doc_id is pd.NA else int(doc_id)) * 7 + k))
             yield pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
 
-    return docs.select("doc_id", "text").mapInPandas(run, PIECES)
+    return in_small_batches(docs).select("doc_id", "text").mapInPandas(run, PIECES)
 
 
 def best_fit(lengths: np.ndarray) -> tuple[np.ndarray, list[int]]:

@@ -19,9 +19,11 @@ import pandas as pd
 import public_tokenizers
 from pyspark.sql import DataFrame
 
+from tallymill.llm.batches import in_small_batches
+
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 SPACE = "▁"
-WORDS_KEPT = 300_000
+WORDS_KEPT = 150_000
 
 
 def suffixes(text: np.ndarray, depth: int) -> np.ndarray:
@@ -173,4 +175,4 @@ def encode(docs: DataFrame, path: str = MODEL) -> DataFrame:
             ids = own.encode([t or "" for t in batch["text"]])
             yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "ids": ids, "decoded": [own.decode(i.tolist()) for i in ids]})
 
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, ids array<int>, decoded string")
+    return in_small_batches(docs).select("doc_id", "text").mapInPandas(run, "doc_id long, ids array<int>, decoded string")

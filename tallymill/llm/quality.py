@@ -21,7 +21,7 @@ from tallymill.llm.toxicity import fit_rows
 from tallymill.session import settle
 
 #: Labelled rows of each label that the fit may use.
-FIT_ROWS = 4000
+FIT_ROWS = 1500
 KEEP = 0.3
 SYMBOL = re.compile(r"[#*$%&|<>]")
 

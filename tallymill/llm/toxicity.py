@@ -16,9 +16,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallymill.llm.batches import in_small_batches
+
 THRESHOLD = 0.7
 #: Labelled rows of each label that the fit may use; chosen by the hash of their id.
-FIT_ROWS = 2500
+FIT_ROWS = 1500
 #: A word counts if it is in so many of the fit's documents; the most telling ones are weighted.
 LEAST_DOCS, MOST_WORDS = 5, 4096
 #: Deviations by which a word's count in toxic documents must exceed the expected one.
@@ -34,6 +36,7 @@ def held_out(doc_id: Column) -> Column:
 
 def fit_rows(docs: DataFrame, labels: DataFrame, label: str, rows: int) -> list[tuple[str, int]]:
     """(text, label) of at most `rows` labelled documents of each label outside the held-out fold."""
+    docs = in_small_batches(docs)
     usable = (
         labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
         .groupBy("doc_id")
