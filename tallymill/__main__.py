@@ -6,6 +6,8 @@ import argparse
 import logging
 from datetime import date, datetime, timezone
 
+from pyspark.sql import DataFrame
+
 from tallymill.plans import analytics, checks
 from tallymill.plans.batch import run
 from tallymill.plans.star import Star
@@ -16,6 +18,8 @@ from tallymill.streaming.file_ingest import FILES_PER_BATCH, ingest
 WATCH_SECONDS = 60
 # ---- end of fixed values ----
 
+PRINTED_ROWS = 100
+
 REPORTS = [
     "top_products_by_revenue",
     "monthly_revenue",
@@ -44,6 +48,16 @@ FACT_CHECKS = [
 ]
 
 
+def print_rows(rows: DataFrame, limit: int) -> None:
+    """The first rows, separated by tabs, and a line that says so if there are more."""
+    found = rows.take(limit + 1)
+    print(*rows.columns, sep="\t")
+    for row in found[:limit]:
+        print(*("" if value is None else value for value in row), sep="\t")
+    if len(found) > limit:
+        print(f"only the first {limit} rows; --limit prints more, --output writes all")
+
+
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="tallymill")
     parser.add_argument("--master", help="only outside spark-submit")
@@ -69,6 +83,8 @@ def main(argv: list[str] | None = None) -> None:
     report = commands.add_parser("report", help="show one report or check")
     report.add_argument("warehouse")
     report.add_argument("name", choices=[*REPORTS, *STAR_CHECKS, *FACT_CHECKS])
+    report.add_argument("--limit", type=int, default=PRINTED_ROWS, help="rows to print")
+    report.add_argument("--output", help="folder for all rows, as CSV, instead of printing some")
 
     args = parser.parse_args(argv)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s | %(levelname)s | %(message)s")
@@ -99,11 +115,15 @@ def main(argv: list[str] | None = None) -> None:
     else:
         star = Star.from_warehouse(spark, args.warehouse)
         if args.name in REPORTS:
-            getattr(analytics, args.name)(star).show(100, truncate=False)
+            rows = getattr(analytics, args.name)(star)
         elif args.name in STAR_CHECKS:
-            getattr(checks, args.name)(star).show(100, truncate=False)
+            rows = getattr(checks, args.name)(star)
+        else:
+            rows = getattr(checks, args.name)(star.fact_sales)
+        if args.output:
+            rows.write.mode("errorifexists").option("header", True).csv(args.output)
         else:
-            getattr(checks, args.name)(star.fact_sales).show(100, truncate=False)
+            print_rows(rows, args.limit)
 
 
 if __name__ == "__main__":

@@ -192,7 +192,10 @@ def impute_transaction_dates(
     date_col: str = "transaction_date",
     as_of: date | None = None,
 ) -> DataFrame:
-    """Missing or unreadable date: the customer's earliest signup, else ``as_of`` (today, UTC)."""
+    """Missing or unreadable date: the customer's earliest signup, else ``as_of`` (today, UTC).
+
+    Only rows without a date are joined; the others stay where they are. The sales are read twice.
+    """
     earliest = settle(
         customers.select("customer_id", _as_day(customers, "signup_date").alias("first_signup"))
         .where(F.col("customer_id").isNotNull() & F.col("first_signup").isNotNull())
@@ -201,9 +204,10 @@ def impute_transaction_dates(
         "earliest-signup",
     )
     fallback = F.lit(as_of) if as_of else utc_today()
-    return (
-        sales.withColumn(date_col, _as_day(sales, date_col))
+    days = sales.withColumn(date_col, _as_day(sales, date_col))
+    imputed = (
+        days.where(F.col(date_col).isNull())
         .join(earliest, "customer_id", "left")
-        .withColumn(date_col, F.coalesce(F.col(date_col), F.col("first_signup"), fallback))
-        .select(*sales.columns)
+        .withColumn(date_col, F.coalesce("first_signup", fallback))
     )
+    return days.where(F.col(date_col).isNotNull()).unionByName(imputed.select(*sales.columns))

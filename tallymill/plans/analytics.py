@@ -2,8 +2,8 @@
 
 The fact is summed by its own key before it meets a dimension: partial sums are made before the
 shuffle, so a hot product or customer sends one row per map task, and the join handles one row
-per key instead of the whole fact. Where a month is part of the grouping, the calendar is joined
-first; it has one row per day. Joins carry no hints: the planner broadcasts by measured size.
+per key instead of the whole fact. Where a month is part of the grouping, the fact is summed by key
+and day before it meets the calendar. Joins carry no hints: the planner broadcasts by measured size.
 """
 
 from __future__ import annotations
@@ -30,9 +30,10 @@ def _net_by(star: Star, key: str) -> DataFrame:
     return star.fact_sales.groupBy(key).agg(F.sum(zero_if_null(_net())).alias("net"))
 
 
-def _with_month(star: Star, *columns: str) -> DataFrame:
+def _by_day(star: Star, key: str, total: Column) -> DataFrame:
+    """The fact summed by key and day, with the day's month: raw rows never meet the calendar."""
     days = star.dim_date.select("date_id", "year", "month")
-    return star.fact_sales.select("date_id", *columns).join(days, "date_id").drop("date_id")
+    return star.fact_sales.groupBy(key, "date_id").agg(total).join(days, "date_id").drop("date_id")
 
 
 def top_products_by_revenue(star: Star, k: int = TOP_PRODUCTS) -> DataFrame:
@@ -108,9 +109,10 @@ def _retained(star: Star, follows: Column) -> DataFrame:
     """
     by_time = Window.partitionBy("customer_id").orderBy("year", "month")
     return (
-        _with_month(star, "customer_id")
-        .distinct()
+        _by_day(star, "customer_id", F.count("*").alias("n"))
         .where(F.col("customer_id").isNotNull())
+        .select("customer_id", "year", "month")
+        .distinct()
         .withColumns(
             {
                 "prev_year": F.lag("year").over(by_time),
@@ -162,9 +164,9 @@ def best_product_per_month(star: Star) -> DataFrame:
     products are never gathered whole.
     """
     by_name = (
-        _with_month(star, "product_id", "net_sale_amount")
+        _by_day(star, "product_id", F.sum(_net()).alias("net"))
         .groupBy("year", "month", "product_id")
-        .agg(F.sum(_net()).alias("net"))
+        .agg(F.sum("net").alias("net"))
         .join(star.dim_product.select("product_id", "product_name"), "product_id")
         .groupBy("year", "month", "product_name")
         .agg(money(F.sum("net")).alias("revenue"))
@@ -184,9 +186,9 @@ def declining_customers(star: Star) -> DataFrame:
     After the count, a customer has at most one row per calendar month.
     """
     counts = (
-        _with_month(star, "customer_id")
+        _by_day(star, "customer_id", F.count("*").alias("n"))
         .groupBy("customer_id", "year", "month")
-        .agg(F.count("*").alias("order_count"))
+        .agg(F.sum("n").alias("order_count"))
     )
     by_time = Window.partitionBy("customer_id").orderBy("year", "month")
     return counts.withColumn("prev_orders", F.lag("order_count").over(by_time)).where(

@@ -3,6 +3,7 @@ from decimal import Decimal
 
 import pytest
 
+from tallymill.__main__ import print_rows
 from tallymill.plans import analytics, checks
 from tallymill.plans.star import Star
 from tests.conftest import values
@@ -173,3 +174,24 @@ def test_order_puts_nulls_last(frame):
     assert [tuple(r) for r in checks.total_order(df, "k").collect()] == [
         (1, "c"), (2, "b"), (2, None), (None, "a")
     ]
+
+
+def test_months_meet_summed_rows_only(spark, make_star):
+    star = make_star([(1, 1, JAN, "1.00"), (1, 2, FEB, "2.00")])
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for report in (analytics.customer_retention, analytics.best_product_per_month, analytics.declining_customers):
+            plan = report(star)._jdf.queryExecution().optimizedPlan().toString()
+            under_join = plan[plan.rindex("Join Inner, (date_id") :]
+            assert "Aggregate [" in under_join.split("\n")[1], plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_printing_says_that_there_is_more(spark, capsys):
+    print_rows(spark.range(150), 100)
+    out = capsys.readouterr().out.splitlines()
+    assert len(out) == 102 and "only the first 100 rows" in out[-1]
+    print_rows(spark.range(150), 150)
+    assert len(capsys.readouterr().out.splitlines()) == 151
