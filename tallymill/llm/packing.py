@@ -13,6 +13,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -28,7 +29,8 @@ END = 2
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 PIECES_A_PARTITION = 50_000
 ROUNDS = 4
-WORDS_KEPT = 150_000
+#: Words of a generation that a worker keeps; the one before is kept beside it, so words in use outlive the change.
+WORDS_KEPT = 300_000
 CHUNKS = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 #: Texts with these go to the tokenizer whole: white space differs there, or a special token may be meant.
 ODD = re.compile(r"[\x1c-\x1f]|<\|")
@@ -43,6 +45,7 @@ class Ids:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -67,12 +70,17 @@ class Ids:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > WORDS_KEPT:
-            self.known.clear()
+            self.before, self.known = self.known, {}
         split = [None if ODD.search(t) else CHUNKS.findall(t) for t in texts]
-        self.learn(list({c for chunks in split for c in chunks or () if c not in self.known}))
-        known = self.known
+        known, new = self.known, []
+        for chunk in set(chain.from_iterable(s for s in split if s)).difference(known):
+            if (ids := self.before.get(chunk)) is None:
+                new.append(chunk)
+            else:
+                known[chunk] = ids
+        self.learn(new)
         return [
-            self.whole(t) if chunks is None else b"".join([known[c] for c in chunks])
+            self.whole(t) if chunks is None else b"".join(map(known.__getitem__, chunks))
             for t, chunks in zip(texts, split, strict=True)
         ]
 
