@@ -20,6 +20,8 @@ from tallymill.llm.batches import in_small_batches
 from tallymill.llm.minhash import MIX, mixed
 
 SHINGLE, WINDOW, STEP, HASHES, CONTAINMENT = 5, 8, 4, 64, 0.8
+#: Texts whose windows are hashed in one go.
+TEXTS_TOGETHER = 64
 WORD = re.compile(r"[^\W_]+")
 #: The notices themselves.
 TEMPLATES = {
@@ -39,35 +41,51 @@ def words(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
 
-def shingles(split: list[str], number: dict[str, int]) -> np.ndarray:
-    hashes = np.array([number[w] for w in split], dtype=np.uint64)
-    n = len(hashes) - SHINGLE + 1
-    if n < 1:
-        return np.empty(0, np.uint64)
-    out = np.zeros(n, np.uint64)
-    for k in range(SHINGLE):
-        out = mixed(out * MIX[1] + hashes[k : n + k])
-    return out
-
-
-def numbered(split: list[list[str]]) -> dict[str, int]:
-    return {w: xxhash.xxh3_64_intdigest(w) for w in set().union(*split)}
-
-
-def minima(found: np.ndarray, step: int) -> Iterator[np.ndarray]:
-    """For each hash the minima of the windows; the last window ends with the text."""
-    starts = np.arange(0, max(1, len(found) - WINDOW + step), step)
-    for k in range(HASHES):
-        h = mixed(found ^ np.uint64(k * 0x9E3779B97F4A7C15 % 2**64))
-        yield _sliding(h, starts)
-
-
-def _sliding(h: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    width = 1
-    while width < WINDOW:
-        h = np.minimum(h, np.concatenate([h[width:], np.full(min(width, len(h)), np.uint64(2**64 - 1))]))
-        width *= 2
-    return h[starts]
+def shingles(texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles of all texts one after the other, and where each text's begin (one entry more than texts)."""
+    number = {w: xxhash.xxh3_64_intdigest(w) for w in set().union(*texts)}
+    hashes = np.array([number[w] for split in texts for w in split] + [0] * (SHINGLE - 1), dtype=np.uint64)
+    out = np.zeros(len(hashes) - SHINGLE + 1, np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(SHINGLE):
+            out = mixed(out * MIX[1] + hashes[k : k + len(out)])
+    lengths = np.array([len(split) for split in texts], dtype=np.int64)
+    counts = np.maximum(0, lengths - SHINGLE + 1)
+    # The last words of a text begin no shingle.
+    place = np.arange(len(out)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    return out[place < np.repeat(counts, lengths)], np.concatenate([[0], np.cumsum(counts)])
+
+
+def windows(counts: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray]:
+    """Text and first shingle (from the text's) of every window; a text's last window reaches its end."""
+    many = np.where(counts > 0, np.maximum(1, -(-(counts - WINDOW + step) // step)), 0)
+    text = np.repeat(np.arange(len(counts)), many)
+    return text, step * (np.arange(len(text)) - np.repeat(np.cumsum(many) - many, many))
+
+
+def minima(found: np.ndarray, edges: np.ndarray, step: int) -> tuple[np.ndarray, Iterator[np.ndarray]]:
+    """The text of each window, and for each hash the windows' minima. Room after each text keeps windows inside it."""
+    counts = np.diff(edges)
+    text, first = windows(counts, step)
+    own = np.repeat(np.arange(len(counts)), counts)
+    padded = np.zeros(len(found) + WINDOW * len(counts), np.uint64)
+    blank = np.ones(len(padded), bool)
+    at = np.arange(len(found)) + WINDOW * own
+    padded[at], blank[at] = found, False
+    blank = np.flatnonzero(blank)
+    starts = edges[text] + WINDOW * text + first
+
+    def rows() -> Iterator[np.ndarray]:
+        for k in range(HASHES):
+            h = mixed(padded ^ np.uint64(k * 0x9E3779B97F4A7C15 % 2**64))
+            h[blank] = np.uint64(2**64 - 1)
+            width = 1
+            while width < WINDOW:
+                np.minimum(h[:-width], h[width:], out=h[:-width])
+                width *= 2
+            yield h[starts]
+
+    return text, rows()
 
 
 class Index:
@@ -78,22 +96,26 @@ class Index:
             split = words(templates[name])
             if len(split) < SHINGLE:
                 raise ValueError(f"{name} has fewer than {SHINGLE} words")
-            found = shingles(split, numbered([split]))
             self.sets.append({tuple(split[k : k + SHINGLE]) for k in range(len(split) - SHINGLE + 1)})
-            for k, low in enumerate(minima(found, 1)):
+            for k, low in enumerate(minima(*shingles([split]), 1)[1]):
                 tables[k] += [(int(v), n) for v in low]
         self.tables = [(np.array([v for v, _ in sorted(set(t))], np.uint64), [n for _, n in sorted(set(t))]) for t in tables]
 
-    def candidates(self, found: np.ndarray) -> set[int]:
-        out: set[int] = set()
-        for (values, names), low in zip(self.tables, minima(found, STEP), strict=True):
+    def candidates(self, texts: list[list[str]]) -> list[set[int]]:
+        """For each text the templates that share a band with one of its windows."""
+        out: list[set[int]] = [set() for _ in texts]
+        text, rows = minima(*shingles(texts), STEP)
+        for (values, names), low in zip(self.tables, rows, strict=True):
             left, right = np.searchsorted(values, low, "left"), np.searchsorted(values, low, "right")
-            for a, b in set(zip(left[right > left].tolist(), right[right > left].tolist(), strict=True)):
-                out.update(names[a:b])
+            hit = np.flatnonzero(right > left)
+            for t, a, b in set(zip(text[hit].tolist(), left[hit].tolist(), right[hit].tolist(), strict=True)):
+                out[t].update(names[a:b])
         return out
 
-    def matches(self, split: list[str], found: np.ndarray) -> list[str]:
-        chosen = self.candidates(found) if len(found) else set()
+    def matches(self, texts: list[list[str]]) -> list[list[str]]:
+        return [self.verified(split, chosen) for split, chosen in zip(texts, self.candidates(texts), strict=True)]
+
+    def verified(self, split: list[str], chosen: set[int]) -> list[str]:
         if not chosen:
             return []
         own = {tuple(split[k : k + SHINGLE]) for k in range(len(split) - SHINGLE + 1)}
@@ -107,10 +129,9 @@ def license_scan(docs: DataFrame, templates: dict[str, str] | None = None) -> Da
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         index = Index(chosen)
         for batch in batches:
-            split = [words(t or "") for t in batch["text"]]
-            number = numbered(split)
-            with np.errstate(over="ignore"):
-                found = [index.matches(s, shingles(s, number)) for s in split]
+            found = []
+            for at in range(0, len(batch), TEXTS_TOGETHER):
+                found += index.matches([words(t or "") for t in batch["text"].iloc[at : at + TEXTS_TOGETHER]])
             yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "licenses": found})
 
     return in_small_batches(docs).select("doc_id", "text").mapInPandas(run, "doc_id long, licenses array<string>")
