@@ -12,7 +12,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import cache, lru_cache
+from functools import cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -23,7 +24,10 @@ from tallymill.llm.batches import in_small_batches
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 SPACE = "▁"
-WORDS_KEPT = 150_000
+#: Words of a generation that a worker keeps; the one before is kept beside it, so words in use outlive the change.
+WORDS_KEPT = 300_000
+#: Pairs of neighbours whose answers a worker keeps, and characters up to which words are relaxed side by side.
+PAIRS_KEPT, SHORT = 500_000, 64
 
 
 def suffixes(text: np.ndarray, depth: int) -> np.ndarray:
@@ -64,8 +68,10 @@ class Model:
         for k, p in enumerate(self.order):
             self.chars[k, : len(p)] = [ord(c) for c in p]
         self.numbers = np.array([self.ids[p] for p in self.order])
-        self.known: dict[str, tuple[int, ...]] = {}
-        self.fits = lru_cache(maxsize=1_000_000)(self._fits)
+        self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+        self.size = size
+        self.pairs, self.answers = np.empty(0, np.int64), np.empty(0, bool)
 
     def merged(self, text: str) -> list[str]:
         """A short text's pieces, by merging the best pair again and again."""
@@ -77,12 +83,25 @@ class Model:
             k = min(pairs)[1]
             parts[k : k + 2] = [parts[k] + parts[k + 1]]
 
-    def _fits(self, before: int, piece: int) -> bool:
-        """Whether the piece can follow; before is -1 at a word's start and after a character without a piece."""
-        own = self.text[piece]
-        if before < 0:
-            return self.merged(own) == [own]
-        return self.fits(-1, piece) and self.merged(self.text[before] + own) == [self.text[before], own]
+    def fits(self, before: np.ndarray, piece: np.ndarray) -> np.ndarray:
+        """Whether the pieces can follow; before is -1 at a word's start and after a character without a piece."""
+        pairs, which = np.unique((before + 1) * self.size + piece, return_inverse=True)
+        at = np.searchsorted(self.pairs, pairs)
+        there = at < len(self.pairs)
+        there[there] = self.pairs[at[there]] == pairs[there]
+        if not there.all():
+            if len(self.pairs) > PAIRS_KEPT:
+                self.pairs, self.answers, at = self.pairs[:0], self.answers[:0], np.zeros_like(at)
+                there[:] = False
+            new = [self.stay(a - 1, b) for a, b in zip(*(x.tolist() for x in np.divmod(pairs[~there], self.size)), strict=True)]
+            self.answers = np.insert(self.answers, at[~there], new)
+            self.pairs = np.insert(self.pairs, at[~there], pairs[~there])
+            at = np.searchsorted(self.pairs, pairs)
+        return self.answers[at[which]]
+
+    def stay(self, before: int, piece: int) -> bool:
+        parts = [self.text[i] for i in (before, piece) if i >= 0]
+        return self.merged("".join(parts)) == parts
 
     def edges(self, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Starts and ids of all pieces' occurrences, sorted by start."""
@@ -114,47 +133,70 @@ class Model:
         return starts[by], which[by]
 
     def learn(self, words: list[str]) -> None:
-        """Encodes words together."""
+        """Encodes words together: the edges of all words that start at the same place of theirs are relaxed in one go."""
         if not words:
             return
         joined = "\0".join(words) + "\0"
         text = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
         starts, which = self.edges(text)
-        ends, ids = (starts + self.lengths[which]).tolist(), self.numbers[which].tolist()
-        first = np.searchsorted(starts, np.arange(len(text) + 1)).tolist()
-        # The piece that ends at a position, and where it starts; None: not reached.
-        last: list[int | None] = [None] * (len(text) + 1)
-        back = [0] * (len(text) + 1)
-        at = 0
-        for word in words:
-            end = at + len(word)
-            last[at] = -1
-            for p in range(at, end):
-                if (before := last[p]) is None:
-                    continue
-                for e in range(first[p], first[p + 1]):
-                    if ends[e] <= end and self.fits(before, ids[e]):
-                        last[ends[e]], back[ends[e]] = ids[e], p
-                if joined[p] not in self.ids:
-                    last[p + 1], back[p + 1] = -1, p
-            out, p = [], end
-            while p > at:
-                if last[p] < 0:
-                    out += [self.bytes[b] for b in reversed(joined[p - 1].encode("utf-8", "replace"))]
-                else:
-                    out.append(last[p])
-                p = back[p]
-            self.known[word] = tuple(reversed(out))
-            at = end + 1
+        ids, ends = self.numbers[which], starts + self.lengths[which]
+        sizes = np.array([len(w) for w in words], dtype=np.int64)
+        begins = np.cumsum(sizes + 1) - sizes - 1
+        owner = np.repeat(np.arange(len(words)), sizes + 1)
+        place = np.arange(len(text)) - begins[owner]
+        inside = ends <= (begins + sizes)[owner[starts]]
+        starts, ids, ends = starts[inside], ids[inside], ends[inside]
+        single = np.zeros(len(text), bool)
+        single[starts[ends == starts + 1]] = True
+        skips = np.flatnonzero(~single & (place < sizes[owner]))
+        # The piece that ends at a position, and where it starts; -1: none, -2: not reached.
+        last, back = np.full(len(text) + 1, -2, np.int64), np.zeros(len(text) + 1, np.int64)
+        last[begins] = -1
+        by, skip_by = np.argsort(place[starts], kind="stable"), np.argsort(place[skips], kind="stable")
+        steps = np.arange(int(sizes.max()) + 1)
+        cuts = np.searchsorted(place[starts[by]], steps).tolist()
+        skip_cuts = np.searchsorted(place[skips[skip_by]], steps).tolist()
+        for a, b, c, d in zip(cuts, cuts[1:], skip_cuts, skip_cuts[1:], strict=False):
+            e = by[a:b]
+            e = e[last[starts[e]] > -2]
+            e = e[self.fits(last[starts[e]], ids[e])]
+            last[ends[e]], back[ends[e]] = ids[e], starts[e]
+            p = skips[skip_by[c:d]]
+            p = p[last[p] > -2]
+            last[p + 1], back[p + 1] = -1, p
+        # The paths, from the ends back, again side by side.
+        at, word, found = begins + sizes, np.arange(len(words)), []
+        while len(at := at[on := at > begins[word]]):
+            word = word[on]
+            found.append((word, back[at], last[at]))
+            at = back[at]
+        word, start, piece = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.argsort(start, kind="stable")
+        word, start, piece = word[order], start[order], piece[order]
+        spelled = [[self.bytes[x] for x in joined[p].encode("utf-8", "replace")] for p in start[piece < 0].tolist()]
+        counts = np.ones(len(piece), np.int64)
+        counts[piece < 0] = [len(own) for own in spelled]
+        flat = np.repeat(piece, counts)
+        flat[flat < 0] = list(chain.from_iterable(spelled))
+        edges = np.concatenate([[0], np.cumsum(counts)])[np.searchsorted(word, np.arange(len(words) + 1))].tolist()
+        data = flat.astype(np.int32).tobytes()
+        for w, a, b in zip(words, edges, edges[1:], strict=False):
+            self.known[w] = data[4 * a : 4 * b]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.known) > WORDS_KEPT:
-            self.known.clear()
+            self.before, self.known = self.known, {}
         split = [self.words.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
-        new = {w for s in split for w in s if w not in self.known}
-        self.learn(sorted(new))
-        known = self.known
-        return [np.array([i for w in s for i in known[w]], np.int32) for s in split]
+        known, new = self.known, []
+        for word in set(chain.from_iterable(split)).difference(known):
+            if (ids := self.before.get(word)) is None:
+                new.append(word)
+            else:
+                known[word] = ids
+        # Few words are long; they would multiply the steps of all others.
+        self.learn([w for w in new if len(w) <= SHORT])
+        self.learn([w for w in new if len(w) > SHORT])
+        return [np.frombuffer(b"".join(map(known.__getitem__, s)), np.int32) for s in split]
 
     def decode(self, ids) -> str:
         text = b"".join([self.raw[i] for i in ids]).decode("utf-8", "replace").replace(SPACE, " ")
