@@ -33,7 +33,7 @@ ROUNDS = 4
 WORDS_KEPT = 300_000
 CHUNKS = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 #: Texts with these go to the tokenizer whole: white space differs there, or a special token may be meant.
-ODD = re.compile(r"[\x1c-\x1f]|<\|")
+ODD = ("\x1c", "\x1d", "\x1e", "\x1f", "<|")
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, nonce long"
 
 
@@ -71,7 +71,7 @@ class Ids:
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > WORDS_KEPT:
             self.before, self.known = self.known, {}
-        split = [None if ODD.search(t) else CHUNKS.findall(t) for t in texts]
+        split = [None if any(odd in t for odd in ODD) else CHUNKS.findall(t) for t in texts]
         known, new = self.known, []
         for chunk in set(chain.from_iterable(s for s in split if s)).difference(known):
             if (ids := self.before.get(chunk)) is None:
