@@ -37,7 +37,14 @@ from tallymill.operators.splits import batch_number, classify_sales, parse_trans
 from tallymill.operators.statistics import exact_median
 from tallymill.schemas import STAGING
 from tallymill.session import apply_settings, in_parallel, settle, work_scope
-from tallymill.sinks.audit import FAILED, SUCCESS, last_watermark, record_run
+from tallymill.sinks.audit import (
+    FAILED,
+    SUCCESS,
+    feed_watermarks,
+    last_watermark,
+    record_feeds,
+    record_run,
+)
 from tallymill.sinks.quarantine import LOADED, STAGE_OF_FEED, quality_counts, write_rejects
 from tallymill.sinks.warehouse import (
     create_tables,
@@ -80,12 +87,15 @@ class RunReport:
     watermark: datetime
 
 
-def extract(spark: SparkSession, staging: str, after: datetime) -> Batch:
-    """Rows ingested after the watermark. File lists are fixed here, once for the whole run."""
+def extract(spark: SparkSession, staging: str, after: datetime | dict[str, datetime]) -> Batch:
+    """Rows ingested after the watermark, which may be each feed's own. File lists are fixed here,
+    once for the whole run."""
+    since = after if isinstance(after, dict) else dict.fromkeys(STAGING, after)
+    customers, products, sales = "customers_stage", "products_stage", "sales_transactions_stage"
     return Batch(
-        read_staging(spark, staging, "customers_stage", after, row_ids=True),
-        read_staging(spark, staging, "products_stage", after, row_ids=True),
-        read_staging(spark, staging, "sales_transactions_stage", after),
+        read_staging(spark, staging, customers, since[customers], row_ids=True),
+        read_staging(spark, staging, products, since[products], row_ids=True),
+        read_staging(spark, staging, sales, since[sales]),
     )
 
 
@@ -249,17 +259,20 @@ def run(
     """Load what was ingested since the last successful run.
 
     Dimensions are written before the fact. Each step can be repeated: a run that died half way
-    is followed by one that finds the loaded keys and adds only the rest. The watermark moves to
-    the newest extracted row, and only when the run succeeds. ``batch_only`` checks sales against
+    is followed by one that finds the loaded keys and adds only the rest. Each feed's watermark
+    moves to its newest extracted row, and only when the run succeeds; the log shows the newest of
+    all. ``batch_only`` checks sales against
     the dimensions of this batch alone. ``csv_rejects`` names a folder for CSV copies of rejects.
     """
     apply_settings(spark)
     quarantine = quarantine or f"{warehouse}/quarantine"
     audit = f"{warehouse}/etl_audit_log"
+    feeds = f"{warehouse}/etl_feed_watermarks"
     watermark = last_watermark(spark, audit)
     processed = rejected = loaded = 0
     try:
-        batch = extract(spark, staging, watermark)
+        since = feed_watermarks(spark, feeds, watermark)
+        batch = extract(spark, staging, since)
         *sizes, _ = in_parallel(
             spark,
             lambda: _count_and_newest(batch.customers),
@@ -275,6 +288,14 @@ def run(
                     batch, warehouse, run_id, as_of, batch_only, quarantine, csv_rejects
                 )
         rejected = sizes[2][0] - loaded
+        of_feed = dict(zip(since, sizes, strict=True))
+        if processed:
+            record_feeds(
+                spark,
+                feeds,
+                {feed: t or since[feed] for feed, (_, t) in of_feed.items()},
+                {feed: n for feed, (n, _) in of_feed.items()},
+            )
         record_run(spark, audit, newest, processed, rejected, loaded, SUCCESS)
         return RunReport(run_id, processed, rejected, loaded, newest)
     except Exception:

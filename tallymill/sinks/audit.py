@@ -1,4 +1,4 @@
-"""Audit log: one row per pipeline, upserted.
+"""Audit log: one row per pipeline, upserted; beside it, in the same form, one row per feed.
 
 Plain Parquet has no MERGE. Each upsert writes the whole small table as a new version; readers
 take the newest, so a failed write leaves the last one in force and nothing is overwritten.
@@ -7,12 +7,13 @@ take the newest, so a failed write leaves the last one in force and nothing is o
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from tallymill.schemas import AUDIT
+from tallymill.schemas import AUDIT, STAGING
 from tallymill.sources.tables import empty_table, path_exists, read_table, single_row
 
 # ---- fixed values ----
@@ -62,6 +63,36 @@ def last_watermark(
     return row[0] if row and row[0] else FIRST_WATERMARK
 
 
+def feed_watermarks(spark: SparkSession, path: str, otherwise: datetime) -> dict[str, datetime]:
+    """Each feed's newest loaded row. Feeds are staged on their own, so a late one may be stamped
+    before another's newest row. ``otherwise`` holds for feeds without a row of their own."""
+    rows = read_audit(spark, path).select("pipeline_name", "last_processed_ingest_date").collect()
+    known = {name: newest for name, newest in rows if newest}
+    return {feed: known.get(feed, otherwise) for feed in STAGING}
+
+
+def record_feeds(
+    spark: SparkSession, path: str, watermarks: dict[str, datetime], counts: dict[str, int]
+) -> None:
+    """Set all feeds' watermarks and extracted rows, in one write."""
+    now = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()).cast("timestamp_ntz")
+    rows = [
+        single_row(
+            spark,
+            AUDIT,
+            pipeline_name=feed,
+            last_processed_ingest_date=newest.isoformat(" "),
+            records_processed=counts[feed],
+            records_rejected=None,
+            records_loaded=None,
+            run_status=SUCCESS,
+            updated_at=None,
+        )
+        for feed, newest in watermarks.items()
+    ]
+    write_audit(spark, path, reduce(DataFrame.unionByName, rows).withColumn("updated_at", now))
+
+
 def record_run(
     spark: SparkSession,
     path: str,

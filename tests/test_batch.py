@@ -147,6 +147,17 @@ def test_a_second_run_without_news_changes_nothing(spark, places):
     assert {t: values(read_warehouse(spark, warehouse, t)) for t in WAREHOUSE} == before
 
 
+def test_a_late_feed_with_an_older_stamp_is_loaded_once(spark, folder):
+    staging, warehouse = f"{folder}/staging", f"{folder}/warehouse"
+    stage(spark, staging, [(*r[:-1], TWO) for r in CUSTOMERS], [(*r[:-1], TWO) for r in PRODUCTS])
+    assert batch.run(spark, staging, warehouse, "r1", AS_OF).loaded == 0
+    stage(spark, staging, sales=SALES)
+    late = batch.run(spark, staging, warehouse, "r2", AS_OF)
+    assert (late.processed, late.loaded, late.watermark) == (len(SALES), 2, TWO)
+    assert batch.run(spark, staging, warehouse, "r3", AS_OF).processed == 0
+    assert read_warehouse(spark, warehouse, "fact_sales").count() == 2
+
+
 def test_a_sales_only_batch_uses_the_loaded_dimensions(spark, places):
     staging, warehouse = places
     batch.run(spark, staging, warehouse, "r1", AS_OF)
