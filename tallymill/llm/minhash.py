@@ -6,14 +6,16 @@ the shingle's weight, and each signature component keeps its earliest point. Two
 probability equal to the weighted Jaccard similarity. Points come in ascending order and stop at the signature's maximum.
 
 Equal texts form classes first. Band collisions are checked exactly: each bucket's members against its first one, then
-those that are still in different components against each other, if a one-bit sketch allows it. Links are pairs of
-class representatives of similarity 0.8 or more. Null texts link with nothing; empty texts are copies of each other.
+those that are still in different components against each other, if a one-bit sketch allows it. That gives the components;
+links are all pairs of class representatives of similarity 0.8 or more, and none leads out of a component, so each
+component's texts are compared pairwise, block by block. Null texts link with nothing; empty texts are copies of each other.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -31,6 +33,8 @@ BANDS, ROWS = 36, 7
 SIZE = BANDS * ROWS
 #: Differing bits out of SIZE that a pair of similarity 0.8 exceeds with probability under 0.00001.
 MOST_BITS = 46
+#: Texts of a component that one task compares with as many others.
+BLOCK = 128
 MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 
@@ -144,8 +148,113 @@ def _verified(pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
     return settle(both.select("a", "b", exact("text_a", "text_b").alias("similarity")).where(f"similarity >= {SIMILARITY}"), name)
 
 
+def exact_bags(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct shingles of all texts one after the other, numbered from 0, their counts, and where each text's begin."""
+    number: dict[bytes, int] = {}
+    split = [np.array([number.setdefault(w, len(number)) for w in words(t)], dtype=np.int64) for t in texts]
+    wide = np.array([min(SHINGLE, len(s)) for s in split], dtype=np.int64)
+    many = np.array([len(s) for s in split], dtype=np.int64) - wide + (wide > 0)
+    own = np.repeat(np.arange(len(texts)), many)
+    ids = np.zeros(len(own), np.int64)
+    # Ranks of one word, of two and so on: equal ranks mean equal shingles; a short text's are padded.
+    for k in range(SHINGLE):
+        # No word is numbered -1; it stands where a short text has no further word.
+        step = [s[k : k + m] if k < w else np.full(m, -1) for s, m, w in zip(split, many, wide, strict=True)]
+        ids = np.unique(ids * (len(number) + 1) + np.concatenate(step) + 1, return_inverse=True)[1]
+    pairs, counts = np.unique(own * (ids.max(initial=0) + 1) + ids, return_counts=True)
+    own, ids = np.divmod(pairs, ids.max(initial=0) + 1)
+    return ids, counts, np.searchsorted(own, np.arange(len(texts) + 1))
+
+
+def near_pairs(texts: list[str], left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places (x, y) of texts from left and right with a similarity of SIMILARITY or more, and that similarity, exactly."""
+    ids, counts, edges = exact_bags(texts)
+    total = np.add.reduceat(np.append(counts, 0), edges[:-1]) * (np.diff(edges) > 0)
+    at = np.concatenate([np.arange(edges[y], edges[y + 1]) for y in right]) if len(right) else np.empty(0, np.int64)
+    many = np.diff(edges)[right]
+    starts, right_ids, right_counts = np.cumsum(many) - many, ids[at], counts[at]
+    own = np.zeros(ids.max(initial=0) + 1, np.int64)
+    found = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
+    for x in left:
+        mine = slice(edges[x], edges[x + 1])
+        own[ids[mine]] = counts[mine]
+        both = np.add.reduceat(np.append(np.minimum(own[right_ids], right_counts), 0), starts) * (many > 0)
+        own[ids[mine]] = 0
+        either = total[x] + total[right] - both
+        near = both / np.maximum(either, 1)
+        hit = near >= SIMILARITY
+        found.append((np.full(hit.sum(), x), right[hit], near[hit]))
+    return tuple(np.concatenate(f) for f in zip(*found, strict=True))
+
+
+def _compared(group: pd.DataFrame) -> pd.DataFrame:
+    """The links (a, b, similarity) of one block with itself or with another one."""
+    group = group.sort_values("doc_id", ignore_index=True)
+    low, high = group["low"].iat[0], group["high"].iat[0]
+    place = np.arange(len(group))
+    left, right = (place[group["block"].to_numpy() == k] for k in (low, high))
+    x, y, near = near_pairs(group["text"].tolist(), left, right)
+    if low == high:
+        x, y, near = x[x < y], y[x < y], near[x < y]
+    ids = group["doc_id"].to_numpy()
+    return pd.DataFrame({"a": np.minimum(ids[x], ids[y]), "b": np.maximum(ids[x], ids[y]), "similarity": near})
+
+
+def _ends(group: pd.DataFrame) -> pd.DataFrame:
+    """The links of one pair of blocks, counted by their ends."""
+    links = _compared(group)
+    ids, n = np.unique(np.concatenate([links["a"], links["b"]]).astype(np.int64), return_counts=True)
+    return pd.DataFrame({"class_id": ids, "n": n})
+
+
+@dataclass(frozen=True)
+class Links:
+    """All links: those of components of two texts as found, those of larger ones by comparing their blocks."""
+
+    of_two: DataFrame
+    blocks: DataFrame
+
+    def pairs(self) -> DataFrame:
+        """a, b, similarity."""
+        found = self.blocks.groupBy("component", "low", "high").applyInPandas(_compared, "a long, b long, similarity double")
+        return self.of_two.unionByName(found)
+
+    def counts(self) -> DataFrame:
+        """class_id and the number of its links; counted where they are found, so that no pair leaves its task."""
+        found = self.blocks.groupBy("component", "low", "high").applyInPandas(_ends, "class_id long, n long")
+        two = self.of_two.select(F.explode(F.array("a", "b")).alias("class_id"), F.lit(1).cast("long").alias("n"))
+        return two.unionByName(found).groupBy("class_id").agg(F.sum("n").alias("n"))
+
+
+def _all_links(links: DataFrame, groups: DataFrame, texts: DataFrame) -> Links:
+    """From the links that connect the components and the components of their nodes."""
+    sizes = settle(groups.groupBy("component").agg(F.count("*").alias("n")), "sizes")
+    named = links.join(groups.select(F.col("node").alias("a"), "component"), "a")
+    of_two = named.join(sizes.where("n = 2"), "component").select("a", "b", "similarity")
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    rows = groups.join(sizes.where("n > 2"), "component").select(
+        F.col("node").alias("doc_id"),
+        "component",
+        blocks.alias("blocks"),
+        F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block"),
+    )
+    rows = settle(rows.join(texts, "doc_id"), "blocks")
+    other = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return Links(
+        of_two,
+        other.select(
+            "component", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "doc_id", "text"
+        ),
+    )
+
+
 def near_dedup(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, class_id, component_id, kept) of every document, and the links between class representatives."""
+    """(doc_id, class_id, component_id, kept) of every document, and all links (a, b, similarity) between representatives."""
+    out, links = near_dedup_links(docs)
+    return out, links.pairs()
+
+
+def near_dedup_links(docs: DataFrame) -> tuple[DataFrame, Links]:
     marks = settle(signed(docs), "signatures")
     classes = settle(
         marks.where("key is not null").groupBy("key").agg(F.min(F.struct("doc_id", "bands", "bits")).alias("first")).select(
@@ -186,11 +295,12 @@ def near_dedup(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         .distinct()
     )
     links = settle(links.unionByName(_verified(cross, texts, "cross")), "all_links")
-    groups = components(links).select(F.col("node").alias("class_id"), "component")
+    nodes = components(links)
+    groups = nodes.select(F.col("node").alias("class_id"), "component")
     named = marks.join(classes.select("key", F.col("doc_id").alias("class_id")), "key", "left").select(
         "doc_id", F.coalesce("class_id", "doc_id").alias("class_id")
     )
     out = named.join(groups, "class_id", "left").select(
         "doc_id", "class_id", F.coalesce("component", "class_id").alias("component_id")
     )
-    return out.withColumn("kept", F.col("doc_id") == F.col("component_id")), links
+    return out.withColumn("kept", F.col("doc_id") == F.col("component_id")), _all_links(links, nodes, texts)

@@ -36,9 +36,8 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, links = minhash.near_dedup(table(spark, sf_dir, "documents"))
-    ends = links.select("a").unionByName(links.select(F.col("b").alias("a"))).groupBy(F.col("a").alias("class_id"))
-    return docs.join(ends.agg(F.count("*").alias("n")), "class_id", "left").select(
+    docs, links = minhash.near_dedup_links(table(spark, sf_dir, "documents"))
+    return docs.join(links.counts(), "class_id", "left").select(
         "doc_id", "class_id", F.coalesce("n", F.lit(0)).alias("n_links"), "component_id", "kept"
     )
 

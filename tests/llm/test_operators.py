@@ -167,6 +167,24 @@ def test_near_dedup_equals_brute_force(docs, none):
     assert minhash.near_dedup(none)[0].count() == 0
 
 
+def test_near_dedup_finds_every_link(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK", 4)
+    base = [f"word{k}" for k in range(100)]
+    texts = [" ".join(base[:k] + [f"odd{k}"] + base[k + 1 :]) for k in range(3, 90, 4)]
+    texts += [" ".join(base) + " tail", "one two", "one two three", " ".join(base[:97]) + " again", "a a a a a a a", "a a a a a a a a"]
+    texts += [f"pair{j} " * 3 + " ".join(f"v{k}" for k in range(40)) for j in range(2)] + ["", None, texts[0]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    links = minhash.near_dedup(docs)[1].collect()
+    plain = [k for k, t in enumerate(texts[:-1]) if t]
+    near = {(a, b): minhash.similarity(texts[a], texts[b]) for a, b in combinations(plain, 2)}
+    want = {pair: s for pair, s in near.items() if s >= 0.8}
+    assert len(want) > 200
+    assert {(r["a"], r["b"]): r["similarity"] for r in links} == want and len(links) == len(want)
+    ends = Counter(k for pair in want for k in pair)
+    found = minhash.near_dedup_links(docs)[1].counts().collect()
+    assert {r["class_id"]: r["n"] for r in found} == dict(ends)
+
+
 def test_signatures_estimate_weighted_jaccard():
     a = (np.arange(300, dtype=np.uint64), np.full(300, 3))
     b = (np.arange(100, 400, dtype=np.uint64), np.full(300, 5))
