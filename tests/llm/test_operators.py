@@ -64,6 +64,29 @@ def test_noise_is_outside_its_band():
     assert compression.outside(b"a" * 3000, press)[0]
 
 
+def test_bands_reject_beyond_the_base_rules(spark):
+    rng = np.random.default_rng(11)
+    known = ["".join(rng.choice(list("etaoinshrdlu"), rng.integers(2, 9))) for _ in range(1500)]
+    often = 1 / np.arange(1, 1501) / (1 / np.arange(1, 1501)).sum()
+
+    def prose(n):
+        return " ".join(rng.choice(known, n // 3, p=often))[:n]
+
+    def noise(alphabet, n):
+        return " ".join("".join(rng.choice(list(alphabet), rng.integers(4, 10))) for _ in range(n // 4))[:n]
+
+    good = [prose(n) for n in rng.integers(6000, 8000, 200)]
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    # Its words recur, but no eight of them in the same order.
+    dull = " ".join(rng.choice(["alpha", "beta", "gamma", "delta", "epsilon", "omega"], 1500))[:7000]
+    bad = [noise(letters + letters.upper() + "0123456789+/", 7000), noise(letters, 7000), noise("0123456789abcdef", 7000), dull]
+    docs = spark.createDataFrame(list(enumerate(good + bad)), "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in compression.compression_rules(docs).collect()}
+    assert sum(rows[k]["kept"] for k in range(200)) >= 195
+    assert not any(rows[k]["base_failed"] for k in range(204))
+    assert not any(rows[k]["kept"] for k in range(200, 204))
+
+
 def test_urls(spark):
     rules = [urls.site_rule(v, n) for v, n in (("block", "net/"), ("allow", "example.net/en/"), ("allow", "org/fr/"))]
     cases = [
