@@ -254,6 +254,24 @@ def test_toxicity_learns_from_documents(spark):
     assert found[1000]["score"] == found[1001]["score"] == 0
 
 
+def test_toxicity_keeps_rare_words_of_a_stem(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "FIT_ROWS", 40)
+    rng = np.random.default_rng(9)
+    plain = ["".join(rng.choice(list("abcdefgh"), 7)) for _ in range(300)]
+    rows = []
+    for k in range(900):
+        lines = [" ".join(rng.choice(plain, 6)) for _ in range(5)]
+        if k % 9 == 0:
+            lines[k % 5] += f" {('zachlich', 'reeux')[k % 2]}{''.join(rng.choice(list('abcdefgh'), 8))}"
+        rows.append((k, ". ".join(lines), int(k % 9 == 0)))
+    docs = spark.createDataFrame([(k, t) for k, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, y) for k, _, y in rows], "doc_id long, toxic int")
+    found = toxicity.toxicity(docs, labels).where("held_out").collect()
+    toxic = [r for r in found if r["doc_id"] % 9 == 0]
+    assert len(toxic) > 20 and all(r["predicted"] == 1 and len(r["offending"]) == 1 for r in toxic)
+    assert not any(r["predicted"] for r in found if r["doc_id"] % 9)
+
+
 def test_quality_shrinks_sites(spark):
     rows = [(k, f"{BASE} {k}." if k % 4 else "AB!! " * 40, f"h{k % 3}", "en") for k in range(200)]
     docs = spark.createDataFrame([*rows, (500, None, None, None)], "doc_id long, text string, source string, lang string")
