@@ -41,10 +41,48 @@ def site_rule(verdict: str, name: str) -> Rule:
     return Rule(name, verdict, tokens + tuple(t.lower() for t in whole), pattern, True)
 
 
-#: Beyond the listed sites: adult and gambling words in a host's name or path.
+def word_rules(words: str, place: str = "") -> list[Rule]:
+    """A blocking rule for each word, or words in this order joined by `+`, as whole tokens behind what `place` allows."""
+    return [
+        Rule(name, "block", tuple(name.split("+")), rf"(?i){place}(?<![0-9a-z]){name.replace('+', '[^0-9a-z/]?')}(?![0-9a-z])")
+        for name in words.split()
+    ]
+
+
+#: Words of several meanings count in the host only.
+IN_HOST = r"\A[^/]*"
+#: Beyond the listed sites: words of unwanted kinds in a host's name or path. `casinos` is left out.
 PATTERNS = tuple(
-    Rule(word, "block", (word,), rf"(?i)(?<![0-9a-z]){word}(?![0-9a-z])")
-    for word in ("casino", "porn", "xxx", "viagra", "torrent", "betting")
+    # gambling
+    word_rules(
+        "casino bet bets betting bettor bettors gamble gambler gamblers gambling jackpot jackpots bookie bookies bookmaker "
+        "bookmakers roulette sportsbook sportsbooks blackjack baccarat wager wagers wagering slot+machine slot+machines"
+    )
+    + word_rules("poker slots lottery lotto bingo", IN_HOST)
+    # adult
+    + word_rules(
+        "porn porno pornos pornography pornographic xxx xxxx erotic erotica hentai milf milfs nude nudes camgirl camgirls hookup "
+        "hookups escort+service escort+services sex+cam sex+cams sex+chat sex+video sex+videos"
+    )
+    + word_rules("adult adults sex sexy escort escorts naked", IN_HOST)
+    # pharmacy
+    + word_rules(
+        "viagra cialis levitra tramadol xanax valium phentermine pill pills buy+meds cheap+meds online+pharmacy "
+        "online+pharmacies cheap+drugs"
+    )
+    + word_rules("meds pharmacy pharmacies", IN_HOST)
+    # spam
+    + word_rules(
+        "spam spams spammer spammers spammy spamming phishing malware warez torrent torrents keygen keygens replica+watches "
+        "fake+watches payday+loan payday+loans link+farm link+farms get+rich+quick work+from+home+cash"
+    )
+    # advertising and tracking
+    + word_rules(
+        "ads advert adverts adserver adservers adserve adservice adtech adclick adclicks doubleclick popunder popunders popup+ads "
+        "clickbait banner+ad banner+ads ad+server ad+servers track+click track+clicks click+tracker click+tracking "
+        "tracking+pixel tracking+pixels web+beacon web+beacons"
+    )
+    + word_rules("ad tracker trackers tracking advertising", IN_HOST)
 )
 
 

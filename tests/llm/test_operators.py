@@ -108,6 +108,20 @@ def test_urls(spark):
     assert urls.url_filter(pages.where("page_id < 0"), rules).count() == 0
 
 
+def test_urls_of_every_kind(spark):
+    bad = [
+        "free-bets.example.com", "m.casino-win.example.org", "adult-x.example.org", "sex-cams.example.org", "cheap-pills.example.com",
+        "www.spam-farm.example.com", "m.ads-track.example.com", "web.org/buy/viagra", "web.org/torrents/1", "web.org/img/banner-ads/2",
+    ]
+    good = [
+        "alphabets.example.com", "adulthood.example.com", "pillars.example.com", "spamalot.example.com", "roads.example.com",
+        "essex.example.com", "web.org/music/track/5", "web.org/order/tracking", "web.org/time/slots", "web.org/adult/education",
+    ]
+    pages = spark.createDataFrame([(k, f"https://{u}") for k, u in enumerate(bad + good)], "page_id long, url string")
+    found = {r["page_id"]: r["verdict"] for r in urls.url_filter(pages, list(urls.PATTERNS)).collect()}
+    assert [found[k] for k in range(len(found))] == ["block"] * len(bad) + ["allow"] * len(good)
+
+
 def test_sentencepiece_equals_its_library(docs):
     import sentencepiece
 
