@@ -248,6 +248,18 @@ def test_near_vectors_equal_brute_force(spark):
     assert rows[205]["component_id"] == 0
 
 
+def test_near_vectors_of_several_lengths(spark):
+    rng = np.random.default_rng(6)
+    x, y = rng.normal(size=(100, 64)), rng.normal(size=(3, 65))
+    rows = [(k, v.tolist()) for k, v in enumerate(x)] + [(100 + k, v.tolist()) for k, v in enumerate(y)]
+    rows += [(200, x[0].tolist()), (201, (x[1] + 0.01).tolist()), (202, y[0].tolist()), (203, (y[1] * 1.01 + 0.01).tolist()), (204, [1.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in hamming.near_vectors(frame).collect()}
+    for a, b in ((0, 200), (1, 201), (100, 202), (101, 203)):
+        assert found[a] == found[b] == (1, a)
+    assert found[102] == (0, 102) and found[204] == (0, 204)
+
+
 def test_toxicity_learns_from_documents(spark):
     rng = np.random.default_rng(7)
     plain = [f"w{a}" for a in "abcdefghijklmnop"]
