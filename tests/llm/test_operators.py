@@ -313,3 +313,12 @@ def test_licenses(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     found = {r["doc_id"]: r["licenses"] for r in licenses.license_scan(docs).collect()}
     assert found == {0: [], 1: [], 2: [], 3: ["MIT"], 4: ["Apache-2.0"]}
+
+
+def test_short_notices(spark):
+    texts = [f"{BASE}. All rights reserved. {BASE}", f"{BASE} all rights", "All Rights Reserved", f"{BASE} Released under the MIT License."]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r["licenses"] for r in licenses.license_scan(docs).collect()}
+    assert found == {0: ["All-Rights-Reserved"], 1: [], 2: ["All-Rights-Reserved"], 3: ["MIT"]}
+    one = licenses.license_scan(docs, {"one": "Reserved", "MIT": licenses.TEMPLATES["MIT"]}).collect()
+    assert {r["doc_id"]: r["licenses"] for r in one} == {0: ["one"], 1: [], 2: ["one"], 3: ["MIT"]}
