@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymill.llm import compression, hamming, licenses, minhash, packing, pieces, quality, sharding, toxicity, urls
+from tallymill.llm import (
+    compression,
+    hamming,
+    licenses,
+    minhash,
+    packing,
+    pieces,
+    quality,
+    sharding,
+    token_files,
+    toxicity,
+    urls,
+)
 
 #: The sites that the URL query lists.
 SITES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
@@ -62,13 +74,17 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharding(table(spark, sf_dir, "documents"))
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_output(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
     found = [
         op1_toxicity, op2_compression_bands, op3_license_scan, op4_quality_classifier, op5_url_filter, op6_sentencepiece,
         op7_embedding_near_dedup, op8_minhash,
-        op9_best_fit_packing, op10_sharding,
+        op9_best_fit_packing, op10_sharding, op11_token_files,
     ]
     return {f.__name__: f for f in found} | {"pipeline": corpus_pipeline.run}
 
