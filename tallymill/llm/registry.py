@@ -19,6 +19,7 @@ from tallymill.llm import (
     token_files,
     toxicity,
     urls,
+    whitening,
 )
 
 #: The sites that the URL query lists.
@@ -78,13 +79,19 @@ def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_output(table(spark, sf_dir, "documents"))
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whitened = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    # Null where the exact value doesn't fit.
+    return whitened.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
     found = [
         op1_toxicity, op2_compression_bands, op3_license_scan, op4_quality_classifier, op5_url_filter, op6_sentencepiece,
         op7_embedding_near_dedup, op8_minhash,
-        op9_best_fit_packing, op10_sharding, op11_token_files,
+        op9_best_fit_packing, op10_sharding, op11_token_files, op13_embedding_whitening,
     ]
     return {f.__name__: f for f in found} | {"pipeline": corpus_pipeline.run}
 
