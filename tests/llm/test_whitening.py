@@ -41,7 +41,7 @@ def test_equals_numpy(spark, vectors):
     found, signs = np.zeros((len(vectors), 8)), None
     for r in rows:
         found[r["vec_id"], r["component"] - 1] = r["whitened"]
-        assert r["n"] == n and r["deviation"] == deviation[r["vec_id"]]
+        assert r["n"] == n and r["deviation"] == int(deviation[r["vec_id"]])
         assert r["explained"] == pytest.approx(values[r["component"] - 1] / trace, rel=1e-9)
         assert 0 <= r["identity_error"] < 1e-9
     signs = np.sign((found * want).sum(0))
