@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymill.llm import (
+    alignment,
     compression,
     hamming,
     licenses,
@@ -79,6 +80,10 @@ def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_output(table(spark, sf_dir, "documents"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment(table(spark, sf_dir, "documents"))
+
+
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     whitened = whitening.whiten(table(spark, sf_dir, "embeddings"))
     # Null where the exact value doesn't fit.
@@ -91,7 +96,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_toxicity, op2_compression_bands, op3_license_scan, op4_quality_classifier, op5_url_filter, op6_sentencepiece,
         op7_embedding_near_dedup, op8_minhash,
-        op9_best_fit_packing, op10_sharding, op11_token_files, op13_embedding_whitening,
+        op9_best_fit_packing, op10_sharding, op11_token_files, op12_token_alignment,
+        op13_embedding_whitening,
     ]
     return {f.__name__: f for f in found} | {"pipeline": corpus_pipeline.run}
 
