@@ -37,7 +37,7 @@ from tallymill.session import new_work_path
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 END = 2
 #: Documents encoded in one go, and ids handed to Spark in one batch.
-DOCS_AT_ONCE, IDS_AT_ONCE = 2_000, 4_000_000
+DOCS_AT_ONCE, IDS_AT_ONCE = 1_000, 2_000_000
 MANIFEST = "manifest.json"
 READ = "doc_id long, start long, n_tokens long, ids binary"
 

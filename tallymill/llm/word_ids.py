@@ -11,7 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Words of a generation that a worker keeps; the one before is kept beside it, so words in use outlive the change.
-WORDS_KEPT = 500_000
+WORDS_KEPT = 200_000
 #: Longer words are encoded each time, so that what is kept is bounded in bytes too.
 LONGEST_KEPT = 64
 #: Marks that a letter before them never joins; the apostrophe may.
