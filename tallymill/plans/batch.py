@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import uuid
 from dataclasses import dataclass
 from datetime import date, datetime
 
@@ -46,6 +47,7 @@ from tallymill.sinks.audit import (
     record_run,
 )
 from tallymill.sinks.quarantine import LOADED, STAGE_OF_FEED, quality_counts, write_rejects
+from tallymill.sinks.staging import append_batch
 from tallymill.sinks.warehouse import (
     create_tables,
     fact_days,
@@ -54,10 +56,7 @@ from tallymill.sinks.warehouse import (
     next_load_number,
 )
 from tallymill.sources.tables import (
-    CORRUPT_TEXT,
-    ROW_OK,
     folder_names,
-    is_streamed,
     path_exists,
     read_dimension_keys,
     read_folders,
@@ -335,25 +334,7 @@ def quality_report(
     return report
 
 
-def append_staging(df: DataFrame, staging: str, table: str) -> None:
-    """Batch append to staging in the layout the ingestion stream writes.
-
-    A table is filled one way or the other: once a stream owns it, readers go by the stream's
-    commit log and would not see files put beside it.
-    """
-    if is_streamed(df.sparkSession, f"{staging}/{table}"):
-        raise ValueError(f"{staging}/{table} is filled by a stream")
-    columns = STAGING[table].fieldNames()
-    (
-        df.select(*columns)
-        .withColumns(
-            {
-                CORRUPT_TEXT: F.lit(None).cast("string"),
-                "row_status": F.lit(ROW_OK),
-                "ingest_day": F.to_date("ingest_date"),
-            }
-        )
-        .write.mode("append")
-        .partitionBy("row_status", "ingest_day")
-        .parquet(f"{staging}/{table}")
-    )
+def append_staging(df: DataFrame, staging: str, table: str, batch: str | None = None) -> None:
+    """Batch append to staging. A batch that is named adds its rows once, however often it is
+    appended; an unnamed one is another batch each time."""
+    append_batch(df, staging, table, batch or uuid.uuid4().hex)

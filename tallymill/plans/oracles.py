@@ -178,6 +178,12 @@ _SECOND_DAY = _on_day("sales_transactions_stage", 2)
 
 
 
+def _go(table: str) -> str:
+    """1 for rows of the first day, 2 for those of the second."""
+    key, digits = FIRST_DAY_DIGITS[table]
+    return f"CAST(CASE WHEN {key} % 10 < {digits} THEN 1 ELSE 2 END AS INTEGER)"
+
+
 def _audit(name: str, table: str, bad: str, day: int) -> str:
     return f"""
 SELECT '{name}' AS pipeline_name, '2024-01-0{day} 00:00:00' AS last_processed_ingest_date,
@@ -442,12 +448,19 @@ UNION ALL SELECT 'sales_transactions_stage', coalesce(lower(reject_reason), 'loa
   coalesce(reject_reason, 'LOADED') FROM sales_classified)
 SELECT '20240101_000000' AS run_id, table_name, stage, reason, count(*) AS row_count
 FROM outcomes GROUP BY ALL""").replace(")\n, outcomes", "),\noutcomes", 1),
-    "streamed_staging": _chain("""
-SELECT 'customers_stage' AS table_name, count(*) AS row_count,
-  CAST(sum(customer_id) AS BIGINT) AS key_sum, CAST(2 AS BIGINT) AS drops FROM customers_stage
-UNION ALL SELECT 'products_stage', count(*), CAST(sum(product_id) AS BIGINT), 2
+    "streamed_staging": _chain(f"""
+SELECT 'customers_stage' AS table_name, customer_id AS row_key, customer_name AS text,
+  city AS other, CAST(NULL AS DOUBLE) AS amount, {_go('customers_stage')} AS go FROM customers_stage
+UNION ALL SELECT 'products_stage', product_id, product_name,
+  CASE WHEN {_go('products_stage')} = 1 THEN brand END, unit_price, {_go('products_stage')}
   FROM products_stage
-UNION ALL SELECT 'sales_transactions_stage', count(*), CAST(sum(transaction_id) AS BIGINT), 2
+UNION ALL SELECT 'sales_transactions_stage', transaction_id, transaction_date, NULL, unit_price,
+  {_go('sales_transactions_stage')} FROM sales_transactions_stage"""),
+    "archived_files": _chain("""
+SELECT 'customers_stage' AS table_name, count(*) AS delivered, CAST(0 AS BIGINT) AS misfit,
+  true AS staged_are_archived, false AS files_left FROM customers_stage
+UNION ALL SELECT 'products_stage', count(*), 0, true, false FROM products_stage
+UNION ALL SELECT 'sales_transactions_stage', count(*), 0, true, true
   FROM sales_transactions_stage"""),
     "loaded_warehouse": _chain("""
 SELECT 'dim_customer' AS table_name, count(*) AS row_count,

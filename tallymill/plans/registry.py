@@ -6,6 +6,7 @@ Results use plain types (decimals as doubles, dates as text), so that any client
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 from datetime import date, datetime
 from functools import reduce
 
@@ -55,8 +56,9 @@ from tallymill.schemas import AUDIT, FEEDS, WAREHOUSE
 from tallymill.session import apply_settings, in_parallel, new_work_path
 from tallymill.sinks.audit import PIPELINE_NAME, SUCCESS, upsert
 from tallymill.sinks.quarantine import STAGE_OF_FEED, quality_counts, write_rejects
+from tallymill.sinks.staging import STAGED
 from tallymill.sources.csv_files import read_rejected_csv
-from tallymill.sources.tables import newer_than, read_staging, read_warehouse
+from tallymill.sources.tables import newer_than, read_file_accounts, read_staging, read_warehouse
 from tallymill.sources.testviews import in_two_days, star, view
 from tallymill.streaming.file_ingest import drop_csv, ingest
 
@@ -253,28 +255,92 @@ def _schema_report(spark, d) -> DataFrame:
     )
 
 
-def _streamed_staging(spark, d) -> DataFrame:
-    """Staging as CSV files, dropped in two goes with an unknown file, ingested after each."""
+@dataclass(frozen=True)
+class Delivery:
+    """Folders of a delivery that was ingested, archived, and ingested again without news."""
+
+    drop: str
+    staging: str
+    archive: str
+
+
+def _delivered(spark, d) -> Delivery:
+    """Staging as CSV files, dropped in two goes, ingested after each and once more.
+
+    Beside a file of no feed, the second go holds customers with their columns in reverse, products
+    without brands, and a copy of its sales with a column that is none of the feed's.
+    """
     root = new_work_path(spark, "stream")
-    drop, staging, checkpoints = f"{root}/drop", f"{root}/staging", f"{root}/checkpoints"
+    drop, staging, archive = f"{root}/drop", f"{root}/staging", f"{root}/archive"
     staged = {table: in_two_days(_rows(spark, d, table), table) for table in KEY_OF_FEED}
     later = F.col("ingest_date") > F.lit(FIRST_DAY).cast("timestamp_ntz")
-    for number, part in enumerate((~later, later), start=1):
-        for table, rows in staged.items():
-            drop_csv(rows.where(part).drop("ingest_date"), drop, f"{table.upper()}_{number}")
-        drop_csv(rows.where(part).drop("ingest_date"), drop, f"Unknown_{number}")
-        ingest(spark, drop, staging, checkpoints)
-    parts = [
-        read_staging(spark, staging, table)
-        .agg(
-            F.count("*").alias("row_count"),
-            F.sum(key).alias("key_sum"),
-            F.count_distinct("ingest_date").alias("drops"),
+    first = {table: rows.where(~later).drop("ingest_date") for table, rows in staged.items()}
+    second = {table: rows.where(later).drop("ingest_date") for table, rows in staged.items()}
+    odd = {
+        "customers_stage": second["customers_stage"].select(*reversed(FEEDS["customers_stage"].fieldNames())),
+        "products_stage": second["products_stage"].drop("brand"),
+    }
+    sales = second["sales_transactions_stage"]
+    for number, part in enumerate((first, second | odd), start=1):
+        for table, rows in part.items():
+            drop_csv(rows, drop, f"{table.upper()}_{number}")
+        drop_csv(part["sales_transactions_stage"], drop, f"Unknown_{number}")
+        if number == 2:
+            drop_csv(sales.withColumn("channel", F.lit("web")), drop, "transactions_with_channel")
+        ingest(spark, drop, staging, f"{root}/checkpoints", archive)
+    ingest(spark, drop, staging, f"{root}/checkpoints", archive)
+    return Delivery(drop, staging, archive)
+
+
+def _streamed_staging(spark, d) -> DataFrame:
+    """All rows that a delivery staged, with the number of their go."""
+    staging = _delivered(spark, d).staging
+    none = F.lit(None)
+    shown = {
+        "customers_stage": ("customer_id", "customer_name", "city", none.cast("double")),
+        "products_stage": ("product_id", "product_name", "brand", F.col("unit_price")),
+        "sales_transactions_stage": ("transaction_id", "transaction_date", none.cast("string"), F.col("unit_price")),
+    }
+
+    def rows(table: str) -> DataFrame:
+        key, text, other, amount = shown[table]
+        found = read_staging(spark, staging, table)
+        # A go is the rank of its stamp among the table's two.
+        first = found.agg(F.min("ingest_date").alias("first_stamp"))
+        return found.join(first, F.col("ingest_date") >= F.col("first_stamp")).select(
+            F.lit(table).alias("table_name"),
+            F.col(key).alias("row_key"),
+            F.col(text).alias("text"),
+            (F.col(other) if isinstance(other, str) else other).alias("other"),
+            amount.alias("amount"),
+            F.when(F.col("ingest_date") == F.col("first_stamp"), 1).otherwise(2).alias("go"),
         )
-        .select(F.lit(table).alias("table_name"), "*")
-        for table, key in KEY_OF_FEED.items()
-    ]
-    return reduce(DataFrame.unionByName, parts)
+
+    return reduce(DataFrame.unionByName, [rows(table) for table in shown])
+
+
+def _archived_files(spark, d) -> DataFrame:
+    """Per feed: rows delivered in staged files, rows of them that misfit, whether the staged files
+    are those in the archive, and whether files are left in the folder (those set aside)."""
+    went = _delivered(spark, d)
+
+    def names(folder: str, marker: str) -> DataFrame:
+        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder)
+        return files.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), F.lit(True).alias(marker))
+
+    def account(table: str) -> DataFrame:
+        told = read_file_accounts(spark, went.staging, table)
+        archived = names(f"{went.archive}/{table}", "archived")
+        placed = told.join(archived, "file_name", "full").join(names(went.drop, "left"), "file_name", "left")
+        staged = F.col("verdict") == STAGED
+        return placed.agg(
+            F.sum(F.when(staged, F.col("delivered"))).alias("delivered"),
+            F.sum(F.when(staged, F.col("misfit"))).alias("misfit"),
+            F.bool_and(F.coalesce(staged, F.lit(False)) == F.col("archived").isNotNull()).alias("staged_are_archived"),
+            F.bool_or(F.col("left").isNotNull()).alias("files_left"),
+        ).select(F.lit(table).alias("table_name"), "*")
+
+    return reduce(DataFrame.unionByName, [account(table) for table in KEY_OF_FEED])
 
 
 def _table_sums(spark, warehouse) -> DataFrame:
@@ -432,6 +498,7 @@ QUERIES: dict[str, Query] = {
     "audit_upsert": _audit_upsert,
     "dq_report": _dq_report,
     "streamed_staging": _streamed_staging,
+    "archived_files": _archived_files,
     "loaded_warehouse": _loaded_warehouse,
     "late_feed_load": _late_feed_load,
 }

@@ -1,23 +1,34 @@
 """Parquet tables of staging and warehouse.
 
-Layout: ``<staging>/<table>/row_status=ok|corrupt/ingest_day=...`` and ``<warehouse>/<table>``,
-the fact split by ``date_month``. Increments prune whole ``ingest_day`` folders.
+Layout: ``<staging>/<table>/row_status=ok|corrupt/ingest_day=.../batch=...`` and
+``<warehouse>/<table>/load=...``, the fact split by ``date_month`` first. Increments open the
+folders of the batches that were published on their days and list no others.
 """
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import (
+    DateType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+)
 
 from tallymill.operators.duplicates import ROW_ID, file_row_id
 from tallymill.schemas import DIMENSION_KEYS, FACT_GRAIN, STAGING, WAREHOUSE
+from tallymill.sources.markers import marker_names
 
 ROW_OK = "ok"
 ROW_CORRUPT = "corrupt"
 CORRUPT_TEXT = "corrupt_text"
+SOURCE_FILE = "source_file"
+BATCH = "batch"
 FACT_PARTITION = "date_month"
 # A list of days longer than this makes the plan heavy; the months are filter enough then.
 LISTED_DAYS = 1000
@@ -27,13 +38,27 @@ STAGING_LAYOUT = {
         [
             *table.fields,
             StructField(CORRUPT_TEXT, StringType(), True),
+            StructField(SOURCE_FILE, StringType(), True),
             StructField("row_status", StringType(), True),
             StructField("ingest_day", DateType(), True),
+            StructField(BATCH, StringType(), True),
         ]
     )
     for name, table in STAGING.items()
 }
 
+FILE_ACCOUNTS = StructType(
+    [
+        StructField("file_name", StringType(), True),
+        StructField("verdict", StringType(), True),
+        StructField("detail", StringType(), True),
+        StructField("delivered", LongType(), True),
+        StructField("misfit", LongType(), True),
+        StructField("ingest_day", DateType(), True),
+        StructField(BATCH, StringType(), True),
+    ]
+)
+
 FACT_LAYOUT = StructType(
     [*WAREHOUSE["fact_sales"].fields, StructField(FACT_PARTITION, IntegerType(), True)]
 )
@@ -80,24 +105,44 @@ def read_folders(
     return spark.read.schema(schema).option("basePath", path).parquet(*paths)
 
 
-def is_streamed(spark: SparkSession, path: str) -> bool:
-    """Whether a stream owns the table; readers then go by its commit log and list no files."""
-    return path_exists(spark, f"{path}/_spark_metadata")
+def commit_path(staging: str, table: str, day: date, batch: str) -> str:
+    return f"{staging}/{table}/_commits/ingest_day={day.isoformat()}/{batch}"
+
+
+def published_batches(
+    spark: SparkSession, staging: str, table: str, after: datetime | None = None
+) -> list[tuple[str, str]]:
+    """(day folder, batch) of what was published on the days that may hold rows after ``after``."""
+    first = f"ingest_day={after.date().isoformat()}" if after else ""
+    commits = f"{staging}/{table}/_commits"
+    days = [day for day in marker_names(spark, commits) if day >= first]
+    return [(day, name) for day in days for name in marker_names(spark, f"{commits}/{day}")]
+
+
+def read_batches(spark: SparkSession, staging: str, table: str, folders: list[str]) -> DataFrame:
+    """All columns of some batches' folders."""
+    return read_folders(spark, f"{staging}/{table}", STAGING_LAYOUT[table], folders)
 
 
 def _staged_since(
-    spark: SparkSession, path: str, table: str, after: datetime | None
+    spark: SparkSession, staging: str, table: str, status: str, after: datetime | None
 ) -> DataFrame | None:
-    """Scan of the day folders that may hold rows ingested later, None if there are none."""
-    layout = STAGING_LAYOUT[table]
-    if not path_exists(spark, path):
+    """Scan of the batches that may hold rows ingested later, None if there are none."""
+    folders = []
+    published: dict[str, set[str]] = {}
+    for day, batch in published_batches(spark, staging, table, after):
+        published.setdefault(day, set()).add(f"{BATCH}={batch}")
+    for day, batches in published.items():
+        # A batch without rows of this status has no folder.
+        of_day = f"row_status={status}/{day}"
+        present = folder_names(spark, f"{staging}/{table}/{of_day}")
+        folders += [f"{of_day}/{batch}" for batch in present if batch in batches]
+    if not folders:
         return None
-    if after is None or is_streamed(spark, path):
-        return read_table(spark, path, layout)
-    status = f"row_status={ROW_OK}"
-    first = f"ingest_day={after.date().isoformat()}"
-    days = [day for day in folder_names(spark, f"{path}/{status}") if day >= first]
-    return read_folders(spark, path, layout, [f"{status}/{day}" for day in days]) if days else None
+    rows = read_batches(spark, staging, table, folders)
+    if after is not None:
+        rows = newer_than(rows.where(F.col("ingest_day") >= F.lit(after.date())), after)
+    return rows
 
 
 def read_staging(
@@ -111,22 +156,32 @@ def read_staging(
 
     With ``row_ids``, a table with files also gives each row's identity.
     """
-    rows = _staged_since(spark, f"{staging}/{table}", table, after)
+    rows = _staged_since(spark, staging, table, ROW_OK, after)
     if rows is None:
         return empty_table(spark, STAGING[table])
-    rows = rows.where(F.col("row_status") == ROW_OK)
-    if after is not None:
-        rows = newer_than(rows.where(F.col("ingest_day") >= F.lit(after.date())), after)
     columns = [F.col(c) for c in STAGING[table].fieldNames()]
     if row_ids:
         columns.append(file_row_id().alias(ROW_ID))
     return rows.select(*columns)
 
 
-def read_corrupt_rows(spark: SparkSession, staging: str, table: str) -> DataFrame:
+def read_corrupt_rows(
+    spark: SparkSession, staging: str, table: str, after: datetime | None = None
+) -> DataFrame:
     """Delivered lines that did not fit their feed's types."""
-    rows = read_table(spark, f"{staging}/{table}", STAGING_LAYOUT[table])
-    return rows.where(F.col("row_status") == ROW_CORRUPT).select(CORRUPT_TEXT, "ingest_date")
+    columns = [CORRUPT_TEXT, "ingest_date", SOURCE_FILE]
+    rows = _staged_since(spark, staging, table, ROW_CORRUPT, after)
+    if rows is None:
+        return empty_table(spark, STAGING_LAYOUT[table]).select(*columns)
+    return rows.select(*columns)
+
+
+def read_file_accounts(
+    spark: SparkSession, staging: str, table: str, after: datetime | None = None
+) -> DataFrame:
+    """What became of each delivered file, and how many rows it had; published batches only."""
+    folders = [f"{day}/{BATCH}={b}" for day, b in published_batches(spark, staging, table, after)]
+    return read_folders(spark, f"{staging}/{table}_files", FILE_ACCOUNTS, folders)
 
 
 def newer_than(rows: DataFrame, watermark: datetime) -> DataFrame:

@@ -4,8 +4,14 @@ from datetime import datetime, timedelta, timezone
 import pytest
 from pyspark.sql import functions as F
 
+from tallymill.plans.batch import append_staging
+from tallymill.session import in_parallel
+from tallymill.sinks import staging as staging_sink
+from tallymill.sources import markers
 from tallymill.sources.csv_files import read_feed_csv, staging_table_of
-from tallymill.sources.tables import read_corrupt_rows, read_staging
+from tallymill.sources.markers import create_once, marker_names, read_marker
+from tallymill.sources.tables import read_corrupt_rows, read_file_accounts, read_staging
+from tallymill.streaming import file_ingest
 from tallymill.streaming.file_ingest import drop_csv, ingest
 from tests.conftest import values
 
@@ -82,10 +88,10 @@ def test_files_are_staged_once_and_archived(spark, places, folder):
         ingest(spark, drop, staging, checkpoints, archive=archive)
     ingest(spark, drop, staging, checkpoints, archive=archive)
     assert values(read_staging(spark, staging, "customers_stage"), "customer_id") == [(1,), (2,), (3,)]
-    # the last file moves when a later batch commits
+    # also the files of the last batch
     moved = [name for _, _, names in os.walk(archive) for name in names if name.endswith(".csv")]
-    assert {"customers_1.csv", "customers_2.csv"} <= set(moved)
-    assert "customers_1.csv" not in os.listdir(drop)
+    assert sorted(moved) == ["customers_1.csv", "customers_2.csv", "customers_3.csv"]
+    assert os.listdir(drop) == []
 
 
 def test_time_boxed_watching(spark, places):
@@ -109,18 +115,113 @@ def test_a_failing_feed_does_not_stop_the_others(spark, places):
     assert read_staging(spark, staging, "customers_stage").count() == 1
 
 
-def test_a_file_with_another_header_fails_until_it_is_taken_out(spark, places):
+def test_bad_files_are_set_aside_and_the_others_staged_by_column_name(spark, places, folder):
     drop, staging, checkpoints = places
-    put(drop, "customers_1.csv", CUSTOMER_HEADER + "1,N,,Rome,ny,\n")
-    put(drop, "customers_2.csv", CUSTOMER_HEADER.replace("city,state", "state,city") + "2,N,,ny,Rome,\n")
-    put(drop, "products.csv", PRODUCT_HEADER + "1,Lamp,a,b,1\n")
-    report = ingest(spark, drop, staging, checkpoints)
-    assert list(report.failed) == ["customers_stage"]
-    assert read_staging(spark, staging, "products_stage").count() == 1
+    put(drop, "customers_1.csv", CUSTOMER_HEADER + "1,N,,Rome,ny,\n1b,N,,,,\n")
+    put(drop, "customers_2.csv", '"state","city",customer_name,customer_id\nny,Rome,M,2\n')
+    put(drop, "customers_3.csv", "\ufeffcustomer_id,email\n3,a@b\n4\n")
+    put(drop, "customers_[4],x.csv", CUSTOMER_HEADER)
+    put(drop, "customers_5.csv", CUSTOMER_HEADER.replace("city", "town") + "5,N,,Rome,ny,\n")
+    put(drop, "customers_6.csv", CUSTOMER_HEADER.replace("city", "state") + "6,N,,Rome,ny,\n")
+    put(drop, "customers_7.csv", "\n7,N,,,,\n")
+    put(drop, "customers_8.csv", CUSTOMER_HEADER + "8,N,,Rome,ny,\n")
+    with open(f"{drop}/.customers_8.csv.crc", "wb") as wrong:  # its checksums do not fit
+        wrong.write(b"crc\0\0\0\2\0" + b"\1\2\3\4")
+    with open(f"{drop}/customers_9.csv", "wb") as noise:
+        noise.write(bytes(range(256)) * 20)
+    report = ingest(spark, drop, staging, checkpoints, archive=f"{folder}/archive")
+    assert report.failed == {}
+    assert values(read_staging(spark, staging, "customers_stage"), "customer_id", "customer_name", "city", "state") == [
+        (1, "N", "Rome", "ny"), (2, "M", "Rome", "ny"), (3, None, None, None)
+    ]
+    accounts = read_file_accounts(spark, staging, "customers_stage")
+    assert values(accounts, "file_name", "verdict", "delivered", "misfit") == [
+        ("customers_1.csv", "STAGED", 2, 1),
+        ("customers_2.csv", "STAGED", 1, 0),
+        ("customers_3.csv", "STAGED", 2, 1),
+        ("customers_5.csv", "UNKNOWN_COLUMN", None, None),
+        ("customers_6.csv", "REPEATED_COLUMN", None, None),
+        ("customers_7.csv", "EMPTY", None, None),
+        ("customers_8.csv", "UNREADABLE", None, None),
+        ("customers_9.csv", "UNKNOWN_COLUMN", None, None),
+        ("customers_[4],x.csv", "STAGED", 0, 0),
+    ]
+    left = sorted(name for name in os.listdir(drop) if name.endswith(".csv"))
+    assert left == [f"customers_{k}.csv" for k in (5, 6, 7, 8, 9)]
+    files = values(read_corrupt_rows(spark, staging, "customers_stage"), "source_file")
+    assert files == [("customers_1.csv",), ("customers_3.csv",)]
+
+
+def test_many_headers_are_read_in_steps(spark, places, monkeypatch):
+    drop, staging, checkpoints = places
+    monkeypatch.setattr(file_ingest, "HEADERS_PER_PLAN", 2)
+    columns = CUSTOMER_HEADER.strip().split(",")
+    for k in range(5):
+        turned = columns[k:] + columns[:k]
+        row = [str(k) if c == "customer_id" else c for c in turned]
+        put(drop, f"customers_{k}.csv", ",".join(turned) + "\n" + ",".join(row) + "\n")
+    ingest(spark, drop, staging, checkpoints)
+    assert values(read_staging(spark, staging, "customers_stage"), "customer_id", "city") == [(k, "city") for k in range(5)]
+
+
+def test_a_replayed_batch_adds_nothing(spark, places, folder, monkeypatch):
+    drop, staging, _ = places
+    put(drop, "customers_1.csv", CUSTOMER_HEADER + "1,N,,,,\nx,N,,,,\n")
+    paths, archive = [f"{drop}/customers_1.csv"], f"{folder}/archive"
+
+    def lost(*args, **kwargs):
+        raise RuntimeError("lost before publication")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(staging_sink, "create_once", lost)
+        with pytest.raises(RuntimeError):
+            file_ingest.stage_once(spark, paths, staging, "customers_stage", "b-0", archive)
     assert read_staging(spark, staging, "customers_stage").count() == 0
-    os.rename(f"{drop}/customers_2.csv", f"{drop}/customers_2.bad")
-    assert ingest(spark, drop, staging, checkpoints).failed == {}
-    assert values(read_staging(spark, staging, "customers_stage"), "customer_id", "city") == [(1, "Rome")]
+    assert read_file_accounts(spark, staging, "customers_stage").count() == 0
+
+    with monkeypatch.context() as broken:
+        broken.setattr(file_ingest, "move_file", lost)
+        with pytest.raises(RuntimeError):
+            file_ingest.stage_once(spark, paths, staging, "customers_stage", "b-0", archive)
+    assert os.listdir(drop) == ["customers_1.csv"]
+    before = values(read_staging(spark, staging, "customers_stage"))
+    for _ in range(2):
+        file_ingest.stage_once(spark, paths, staging, "customers_stage", "b-0", archive)
+        assert values(read_staging(spark, staging, "customers_stage")) == before
+        assert read_corrupt_rows(spark, staging, "customers_stage").count() == 1
+        assert values(read_file_accounts(spark, staging, "customers_stage"), "delivered", "misfit") == [(2, 1)]
+    assert os.listdir(drop) == [] and os.listdir(f"{archive}/customers_stage") == ["customers_1.csv"]
+
+
+def test_named_appends_are_added_once(spark, folder, frame):
+    rows = frame(
+        "product_id long, product_name string, category string, brand string, unit_price double, ingest_date timestamp_ntz",
+        (1, "a", None, None, 1.0, datetime(2024, 1, 1)), (2, "b", None, None, 1.0, datetime(2024, 1, 2)), (3, "c", None, None, 1.0, None),
+    )
+    for _ in range(2):
+        append_staging(rows, folder, "products_stage", "monday")
+    assert values(read_staging(spark, folder, "products_stage"), "product_id") == [(1,), (2,), (3,)]
+    assert read_staging(spark, folder, "products_stage", datetime(2024, 1, 1)).count() == 1
+    append_staging(rows, folder, "products_stage")
+    assert read_staging(spark, folder, "products_stage").count() == 6
+
+
+def test_a_marker_has_one_creator(spark, folder, monkeypatch):
+    created = in_parallel(spark, *[lambda k=k: create_once(spark, f"{folder}/one/marker", str(k)) for k in range(12)])
+    assert created.count(True) == 1
+    assert read_marker(spark, f"{folder}/one/marker") == str(created.index(True))
+    assert os.listdir(f"{folder}/one") == ["marker"]
+    assert read_marker(spark, f"{folder}/one/none") is None and marker_names(spark, f"{folder}/none") == []
+
+
+def test_a_rename_replaces_nothing(spark, folder):
+    put(folder, "old", "old")
+    put(folder, "new", "new")
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    with pytest.raises(Exception, match="FileAlreadyExists"):
+        markers._rename_new(spark, path(f"file://{folder}/new"), path(f"file://{folder}/old"))
+    markers._rename_new(spark, path(f"file://{folder}/new"), path(f"file://{folder}/other"))
+    assert open(f"{folder}/old").read() == "old" and open(f"{folder}/other").read() == "new"
 
 
 def test_batch_read_goes_by_the_header(spark, folder):
