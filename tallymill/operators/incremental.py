@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymill.schemas import FACT_GRAIN
 
-# A sales_id is load number, write task and row within the task, side by side in one long.
-ROW_BITS = 27
-TASK_BITS = 17
+FILE, FIRST_ID = "file", "first_id"
 
 
 def new_dimension_rows(batch: DataFrame, existing: DataFrame, key: str) -> DataFrame:
@@ -42,17 +40,24 @@ def new_fact_rows(batch: DataFrame, existing: DataFrame) -> DataFrame:
     return batch.join(loaded, FACT_GRAIN, "left_anti")
 
 
-def surrogate_id(load_number: int) -> Column:
-    """A unique key without a global order or a scan of what is loaded.
+def first_ids(sizes: DataFrame, start: int) -> DataFrame:
+    """(file, first_id) of (file, n): ids follow each other without gaps, in the files' order.
 
-    Each load has its own number and each write task its own range in it. Evaluate it as the
-    last step before the write. A task beyond the ranges fails instead of repeating a key.
+    The window runs over one row per file of a load, not over its rows.
     """
-    position = F.monotonically_increasing_id()  # task in the bits above 33, row below
-    task = F.shiftright(position, 33)
-    row = position.bitwiseAND(F.lit((1 << 33) - 1))
-    fits = (task < (1 << TASK_BITS)) & (row < (1 << ROW_BITS))
-    packed = F.shiftleft(task, ROW_BITS) + row + F.lit(load_number << (ROW_BITS + TASK_BITS))
-    return F.when(fits, packed + 1).otherwise(
-        F.raise_error(F.lit("sales_id range exceeded: write with more, smaller tasks")).cast("long")
-    )
+    before = Window.orderBy(FILE).rowsBetween(Window.unboundedPreceding, -1)
+    return sizes.select(FILE, (F.coalesce(F.sum("n").over(before), F.lit(0)) + start).alias(FIRST_ID))
+
+
+def file_sizes(rows: DataFrame) -> DataFrame:
+    """(file, n) of a written table; read from footers."""
+    return rows.groupBy(F.col("_metadata.file_path").alias(FILE)).agg(F.count("*").alias("n"))
+
+
+def with_ids(rows: DataFrame, firsts: DataFrame, id_column: str) -> DataFrame:
+    """Rows of a written table with the id of their place: their file's first one, and their row.
+
+    The same rows get the same ids after any retry, and any number of files and rows has room.
+    """
+    placed = rows.withColumns({FILE: F.col("_metadata.file_path"), "at": F.col("_metadata.row_index")})
+    return placed.join(firsts, FILE).select((F.col(FIRST_ID) + F.col("at")).alias(id_column), *rows.columns)

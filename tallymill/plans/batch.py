@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import logging
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date, datetime
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,7 +38,9 @@ from tallymill.operators.shaping import (
 )
 from tallymill.operators.splits import batch_number, classify_sales, parse_transaction_date
 from tallymill.operators.statistics import exact_median
-from tallymill.schemas import STAGING
+from tallymill.plans.checks import constraint_violations
+from tallymill.plans.star import Star
+from tallymill.schemas import DIMENSION_KEYS, LEDGER, QUALITY_REPORT, STAGING
 from tallymill.session import apply_settings, in_parallel, settle, work_scope
 from tallymill.sinks.audit import (
     FAILED,
@@ -46,21 +50,34 @@ from tallymill.sinks.audit import (
     record_feeds,
     record_run,
 )
-from tallymill.sinks.quarantine import LOADED, STAGE_OF_FEED, quality_counts, write_rejects
+from tallymill.sinks.publication import LOAD, Snapshot, of_load, publish, read_snapshot, reserve_load
+from tallymill.sinks.quarantine import (
+    LOADED,
+    MISFIT,
+    STAGE_OF_FEED,
+    quality_counts,
+    write_rejects,
+)
 from tallymill.sinks.staging import append_batch
 from tallymill.sinks.warehouse import (
     create_tables,
     fact_days,
     load_dimension,
     load_fact,
-    next_load_number,
 )
 from tallymill.sources.tables import (
+    ROW_CORRUPT,
+    ROW_OK,
     folder_names,
     path_exists,
+    read_delivered,
     read_dimension_keys,
     read_folders,
+    read_load,
     read_staging,
+    read_table,
+    read_warehouse,
+    single_row,
 )
 
 logger = logging.getLogger(__name__)
@@ -168,44 +185,110 @@ def clean_batch(
     return Cleaned(customers, products, sales, rejects)
 
 
-def write_all_rejects(cleaned: Cleaned, folder: str, run_id: str, file_format: str) -> None:
+def write_all_rejects(
+    cleaned: Cleaned, folder: str, run_id: str, file_format: str, number: int
+) -> None:
     """Quarantine of the three feeds."""
 
     def write(table: str):
         stage = STAGE_OF_FEED.get(table) or F.lower("reject_reason")
         return lambda: write_rejects(
-            cleaned.rejects[table], f"{folder}/{table}", run_id, stage, file_format
+            cleaned.rejects[table], f"{folder}/{table}", run_id, stage, file_format, number
         )
 
     in_parallel(cleaned.sales.sparkSession, *[write(table) for table in cleaned.rejects])
 
 
 def load(
-    spark: SparkSession, warehouse: str, cleaned: Cleaned, run_id: str, as_of: date | None
-) -> None:
-    """Dimensions side by side, then the fact that refers to them."""
+    spark: SparkSession,
+    warehouse: str,
+    cleaned: Cleaned,
+    as_of: date | None,
+    snapshot: Snapshot,
+    number: int,
+) -> int:
+    """Write the load's dimensions side by side, then the fact; returns its rows. Nothing of it
+    counts until it is published."""
     clean_sales = cleaned.sales.where(F.col("outcome") == SALES_CLEAN)
     facts = transform_sales(enforce_sales_types(clean_sales))
 
-    def customers():
-        rows = transform_customers(cleaned.customers, as_of)
-        load_dimension(spark, warehouse, rows, "dim_customer")
-
-    def products():
-        load_dimension(spark, warehouse, transform_products(cleaned.products), "dim_product")
+    def dimension(table: str, rows: Callable[[], DataFrame]) -> Callable[[], None]:
+        return lambda: load_dimension(spark, warehouse, rows(), table, snapshot, number)
 
-    def days():
-        load_dimension(spark, warehouse, build_dim_date(clean_sales), "dim_date")
-
-    *_, days_in_batch, load_number = in_parallel(
+    *_, days_in_batch = in_parallel(
         spark,
-        customers,
-        products,
-        days,
+        dimension("dim_customer", lambda: transform_customers(cleaned.customers, as_of)),
+        dimension("dim_product", lambda: transform_products(cleaned.products)),
+        dimension("dim_date", lambda: build_dim_date(clean_sales)),
         lambda: fact_days(facts),
-        lambda: next_load_number(spark, warehouse, run_id),
     )
-    load_fact(spark, warehouse, facts, days_in_batch, load_number)
+    return load_fact(spark, warehouse, facts, days_in_batch, snapshot, number)
+
+
+class ConstraintError(ValueError):
+    """A load's rows would break the warehouse's constraints."""
+
+
+def check_constraints(spark: SparkSession, warehouse: str, snapshot: Snapshot, number: int) -> None:
+    """Refuse a load that is written but not published."""
+    tables = [*DIMENSION_KEYS, "fact_sales"]
+    new = Star(*[read_load(spark, warehouse, table, number) for table in tables])
+    loaded = Star(*[read_warehouse(spark, warehouse, table, snapshot) for table in tables])
+    broken = constraint_violations(new, loaded).where(F.col("violations") > 0).collect()
+    if broken:
+        raise ConstraintError("; ".join(f"{t}: {c}: {n}" for t, c, n in sorted(broken)))
+
+
+class AccountingError(ValueError):
+    """Rows of a feed were lost or counted twice on the way."""
+
+
+def ledger(spark: SparkSession, quality: DataFrame, delivered: dict[str, int], run_id: str, number: int) -> DataFrame:
+    """Per feed what was delivered, and what the quality report says became of it."""
+    counted = F.col("row_count")
+    loaded, misfit = F.col("reason") == LOADED, F.col("reason") == MISFIT
+    found = quality.groupBy("table_name").agg(
+        F.sum(F.when(misfit, counted).otherwise(0)).alias("misfit"),
+        F.sum(F.when(~misfit & ~loaded, counted).otherwise(0)).alias("rejected"),
+        F.sum(F.when(loaded, counted).otherwise(0)).alias("loaded"),
+    )
+    feeds = reduce(
+        DataFrame.unionByName,
+        [
+            spark.range(1).select(F.lit(t).alias("table_name"), F.lit(n).cast("long").alias("delivered"))
+            for t, n in delivered.items()
+        ],
+    )
+    none = {c: F.coalesce(c, F.lit(0)) for c in ("misfit", "rejected", "loaded")}
+    rows = feeds.join(found, "table_name", "left").withColumns(
+        {"run_id": F.lit(run_id), "load": F.lit(number), **none}
+    )
+    return rows.select(*[F.col(f.name).cast(f.dataType) for f in LEDGER.fields])
+
+
+def check_ledger(rows: DataFrame) -> None:
+    lost = rows.where(F.col("delivered") != F.col("misfit") + F.col("rejected") + F.col("loaded")).collect()
+    if lost:
+        raise AccountingError("; ".join(str(row.asDict()) for row in lost))
+
+
+@dataclass(frozen=True)
+class Extracted:
+    """A feed's increment: fitting rows, misfit rows, all rows as they lie in staging, newest stamp."""
+
+    fitting: int
+    misfit: int
+    newest: datetime | None
+
+
+def _extracted(spark: SparkSession, staging: str, table: str, after: datetime) -> Extracted:
+    rows = read_delivered(spark, staging, table, after)
+    row = rows.agg(
+        F.count_if(F.col("row_status") == ROW_OK).alias("fitting"),
+        F.count_if(F.col("row_status") == ROW_CORRUPT).alias("misfit"),
+        F.max("ingest_date").alias("newest"),
+    ).first()
+    return Extracted(*row)
 
 
 def _clean_and_load(
@@ -216,33 +299,41 @@ def _clean_and_load(
     batch_only: bool,
     quarantine: str,
     csv_rejects: str | None,
+    sizes: dict[str, Extracted],
 ) -> int:
-    """Returns the number of clean sales."""
+    """Writes, checks and publishes one load; returns the number of clean sales."""
     spark = batch.sales.sparkSession
+    snapshot = read_snapshot(spark, warehouse)
+    number = reserve_load(spark, warehouse, run_id)
     loaded_keys = [
-        None if batch_only else read_dimension_keys(spark, warehouse, table)
+        None if batch_only else read_dimension_keys(spark, warehouse, table, snapshot)
         for table in ("dim_customer", "dim_product")
     ]
     cleaned = clean_batch(batch, *loaded_keys)
 
     def quarantine_and_report() -> DataFrame:
-        write_all_rejects(cleaned, quarantine, run_id, "parquet")
-        return settle(quality_report(spark, quarantine, run_id, cleaned), "quality")
+        write_all_rejects(cleaned, quarantine, run_id, "parquet", number)
+        misfits = {table: size.misfit for table, size in sizes.items()}
+        return settle(quality_report(spark, quarantine, run_id, cleaned, number, misfits), "quality")
 
-    steps = [quarantine_and_report, lambda: load(spark, warehouse, cleaned, run_id, as_of)]
+    steps = [
+        quarantine_and_report,
+        lambda: load(spark, warehouse, cleaned, as_of, snapshot, number),
+    ]
     if csv_rejects:
-        steps.append(lambda: write_all_rejects(cleaned, csv_rejects, run_id, "csv"))
-    report, *_ = in_parallel(spark, *steps)
-    report.coalesce(1).write.mode("append").parquet(f"{warehouse}/etl_data_quality_report")
-    clean_sales = report.where(F.col("table_name") == "sales_transactions_stage").where(
-        F.col("reason") == LOADED
+        steps.append(lambda: write_all_rejects(cleaned, csv_rejects, run_id, "csv", number))
+    report, new_sales, *_ = in_parallel(spark, *steps)
+    delivered = {table: size.fitting + size.misfit for table, size in sizes.items()}
+    accounts = settle(ledger(spark, report, delivered, run_id, number), "ledger")
+    check_ledger(accounts)
+    check_constraints(spark, warehouse, snapshot, number)
+    of_load(report, number).coalesce(1).write.mode("append").partitionBy(LOAD).parquet(
+        f"{warehouse}/etl_data_quality_report"
     )
-    return clean_sales.agg(F.coalesce(F.sum("row_count"), F.lit(0))).first()[0]
-
-
-def _count_and_newest(df: DataFrame) -> tuple[int, datetime | None]:
-    row = df.agg(F.count("*").alias("n"), F.max("ingest_date").alias("newest")).first()
-    return row["n"], row["newest"]
+    accounts.coalesce(1).write.mode("append").partitionBy(LOAD).parquet(f"{warehouse}/etl_run_ledger")
+    publish(spark, warehouse, snapshot, number, new_sales)
+    clean_sales = accounts.where(F.col("table_name") == "sales_transactions_stage")
+    return clean_sales.select("loaded").first()[0]
 
 
 def run(
@@ -257,11 +348,12 @@ def run(
 ) -> RunReport:
     """Load what was ingested since the last successful run.
 
-    Dimensions are written before the fact. Each step can be repeated: a run that died half way
-    is followed by one that finds the loaded keys and adds only the rest. Each feed's watermark
-    moves to its newest extracted row, and only when the run succeeds; the log shows the newest of
-    all. ``batch_only`` checks sales against
-    the dimensions of this batch alone. ``csv_rejects`` names a folder for CSV copies of rejects.
+    Everything a run writes is published together, by one marker, after its rows were found to
+    add up and to keep the constraints; of a run that died nothing is seen, and the next one takes
+    its rows up again. Of two runs at once one is published and the other fails. Each feed's
+    watermark moves to its newest extracted row, and only when the run succeeds; the log shows the
+    newest of all. ``batch_only`` checks sales against the dimensions of this batch alone.
+    ``csv_rejects`` names a folder for CSV copies of rejects.
     """
     apply_settings(spark)
     quarantine = quarantine or f"{warehouse}/quarantine"
@@ -272,39 +364,55 @@ def run(
     try:
         since = feed_watermarks(spark, feeds, watermark)
         batch = extract(spark, staging, since)
-        *sizes, _ = in_parallel(
+        *found, _ = in_parallel(
             spark,
-            lambda: _count_and_newest(batch.customers),
-            lambda: _count_and_newest(batch.products),
-            lambda: _count_and_newest(batch.sales),
+            *[partial(_extracted, spark, staging, feed, since[feed]) for feed in since],
             lambda: create_tables(spark, warehouse),
         )
-        processed = sum(n for n, _ in sizes)
-        newest = max([watermark, *[t for _, t in sizes if t is not None]])
-        if processed:
+        sizes = dict(zip(since, found, strict=True))
+        processed = sum(size.fitting for size in found)
+        newest = max([watermark, *[size.newest for size in found if size.newest is not None]])
+        if processed or any(size.misfit for size in found):
             with work_scope(spark, run_id):
                 loaded = _clean_and_load(
-                    batch, warehouse, run_id, as_of, batch_only, quarantine, csv_rejects
+                    batch, warehouse, run_id, as_of, batch_only, quarantine, csv_rejects, sizes
                 )
-        rejected = sizes[2][0] - loaded
-        of_feed = dict(zip(since, sizes, strict=True))
-        if processed:
             record_feeds(
                 spark,
                 feeds,
-                {feed: t or since[feed] for feed, (_, t) in of_feed.items()},
-                {feed: n for feed, (n, _) in of_feed.items()},
+                {feed: size.newest or since[feed] for feed, size in sizes.items()},
+                {feed: size.fitting for feed, size in sizes.items()},
             )
+        rejected = sizes["sales_transactions_stage"].fitting - loaded
         record_run(spark, audit, newest, processed, rejected, loaded, SUCCESS)
         return RunReport(run_id, processed, rejected, loaded, newest)
     except Exception:
         logger.exception("run %s failed", run_id)
-        record_run(spark, audit, watermark, processed, rejected, 0, FAILED)
+        # Another run may have moved the watermark meanwhile.
+        record_run(spark, audit, last_watermark(spark, audit), processed, rejected, 0, FAILED)
         raise
 
 
+def read_quality(spark: SparkSession, warehouse: str) -> DataFrame:
+    """The data-quality report of all published runs."""
+    layout = StructType([*QUALITY_REPORT.fields, LEDGER["load"]])
+    rows = read_table(spark, f"{warehouse}/etl_data_quality_report", layout)
+    return rows.where(read_snapshot(spark, warehouse).counts())
+
+
+def read_ledger(spark: SparkSession, warehouse: str) -> DataFrame:
+    """Delivered, misfit, rejected and loaded rows per published load and feed."""
+    rows = read_table(spark, f"{warehouse}/etl_run_ledger", LEDGER)
+    return rows.where(read_snapshot(spark, warehouse).counts())
+
+
 def quality_report(
-    spark: SparkSession, quarantine: str, run_id: str, cleaned: Cleaned
+    spark: SparkSession,
+    quarantine: str,
+    run_id: str,
+    cleaned: Cleaned,
+    load: int,
+    misfits: dict[str, int],
 ) -> DataFrame:
     """Rows per table, stage and reason of a run whose rejects are written.
 
@@ -319,7 +427,7 @@ def quality_report(
     def reject_part(table: str) -> DataFrame:
         columns = StructType.fromDDL("reject_reason string, reject_stage string, run_id string")
         path = f"{quarantine}/{table}"
-        of_run = [f"{stage}/run_id={run_id}" for stage in folder_names(spark, path)]
+        of_run = [f"{stage}/run_id={run_id}/load={load}" for stage in folder_names(spark, path)]
         present = [folder for folder in of_run if path_exists(spark, f"{path}/{folder}")]
         rows = read_folders(spark, path, columns, present)
         return quality_counts(rows, run_id, table, F.col("reject_stage"))
@@ -331,6 +439,10 @@ def quality_report(
         ("products_stage", cleaned.products),
     ):
         report = report.unionByName(clean_part(clean, table)).unionByName(reject_part(table))
+    for table, n in misfits.items():
+        # Their raw lines lie in staging, under row_status=corrupt.
+        told = {"run_id": run_id, "table_name": table, "stage": "staging", "reason": MISFIT, "row_count": n}
+        report = report.unionByName(single_row(spark, QUALITY_REPORT, **told).where("row_count > 0"))
     return report
 
 

@@ -99,6 +99,36 @@ def unique_violations(star: Star) -> DataFrame:
     return reduce(DataFrame.unionAll, parts)
 
 
+def constraint_violations(new: Star, loaded: Star) -> DataFrame:
+    """What would break if the rows of ``new`` were added to ``loaded``, counted per constraint:
+    dimension rows without a key, dimension keys that repeat in ``new`` or are loaded already, fact
+    rows without a key, and fact rows whose key is in no dimension of either.
+
+    Of the loaded dimensions, only the keys are read, and cut down to those of ``new`` first.
+    """
+
+    def told(df: DataFrame, table: str, constraint: str) -> DataFrame:
+        return df.select(F.lit(table).alias("table_name"), F.lit(constraint).alias("constraint_name"), "violations")
+
+    fact, old, parts = new.fact_sales, _dimensions(loaded), []
+    for name, rows in _dimensions(new).items():
+        key = DIMENSION_KEYS[name]
+        parts.append(told(rows.agg(F.count_if(F.col(key).isNull()).alias("violations")), name, f"{key} NOT NULL"))
+        keys = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
+        again = old[name].select(key).join(keys.select(key), key, "left_semi").distinct().withColumn("again", F.lit(True))
+        repeated = (F.col("n") > 1) | F.col("again").isNotNull()
+        found = keys.join(again, key, "left").agg(F.count_if(repeated).alias("violations"))
+        parts.append(told(found, name, f"{key} UNIQUE"))
+        absent = fact.agg(F.count_if(F.col(key).isNull()).alias("violations"))
+        parts.append(told(absent, "fact_sales", f"{key} NOT NULL"))
+        # Keys are counted before they meet the dimension, so none is hot.
+        used = fact.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
+        known = rows.select(key).unionByName(old[name].select(key).join(used, key, "left_semi"))
+        orphans = used.join(known, key, "left_anti").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("violations"))
+        parts.append(told(orphans, "fact_sales", f"{key} REFERENCES {name}"))
+    return reduce(DataFrame.unionAll, parts)
+
+
 # --- staging ---
 
 

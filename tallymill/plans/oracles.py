@@ -184,6 +184,27 @@ def _go(table: str) -> str:
     return f"CAST(CASE WHEN {key} % 10 < {digits} THEN 1 ELSE 2 END AS INTEGER)"
 
 
+def _accounts(key: str, loaded: str) -> str:
+    """Delivered, misfit, rejected and loaded rows."""
+    misfit = f"count(*) FILTER ({key} % 100 = 77)"
+    return (
+        f"count(*) + {misfit} AS delivered, {misfit} AS misfit, "
+        f"count(*) FILTER (NOT ({loaded})) AS rejected, count(*) FILTER ({loaded}) AS loaded"
+    )
+
+
+def _constraints(table: str, key: str, new: str, loaded: str) -> str:
+    named = f"SELECT '{table}' AS table_name, '{key}"
+    of_fact = f"SELECT 'fact_sales', '{key}"
+    return f"""{named} NOT NULL' AS constraint_name, count(*) FILTER ({key} IS NULL) AS violations FROM {new}
+UNION ALL {named} UNIQUE', count(*) FROM (SELECT {key}, count(*) AS n FROM {new} WHERE {key} IS NOT NULL
+  GROUP BY 1) WHERE n > 1 OR {key} IN (SELECT {key} FROM {loaded} WHERE {key} IS NOT NULL)
+UNION ALL {of_fact} NOT NULL', count(*) FILTER ({key} IS NULL) FROM dirty_fact
+UNION ALL {of_fact} REFERENCES {table}', count(*) FROM dirty_fact WHERE {key} IS NOT NULL
+  AND {key} NOT IN (SELECT {key} FROM {new} WHERE {key} IS NOT NULL
+  UNION SELECT {key} FROM {loaded} WHERE {key} IS NOT NULL)"""
+
+
 def _audit(name: str, table: str, bad: str, day: int) -> str:
     return f"""
 SELECT '{name}' AS pipeline_name, '2024-01-0{day} 00:00:00' AS last_processed_ingest_date,
@@ -462,7 +483,10 @@ SELECT 'customers_stage' AS table_name, count(*) AS delivered, CAST(0 AS BIGINT)
 UNION ALL SELECT 'products_stage', count(*), 0, true, false FROM products_stage
 UNION ALL SELECT 'sales_transactions_stage', count(*), 0, true, true
   FROM sales_transactions_stage"""),
-    "loaded_warehouse": _chain("""
+    "loaded_warehouse": _chain(f"""
+SELECT {_FACT}, {_AMOUNTS}, (SELECT count(*) FROM facts) AS id_span FROM facts"""),
+    # However late a feed is staged, the warehouse is the same.
+    "late_feed_load": _chain("""
 SELECT 'dim_customer' AS table_name, count(*) AS row_count,
   count(DISTINCT customer_id) AS distinct_keys, CAST(sum(customer_id) AS DOUBLE) AS total
   FROM customers_dim
@@ -472,9 +496,30 @@ UNION ALL SELECT 'dim_date', count(DISTINCT date_id), count(DISTINCT date_id),
   CAST(sum(DISTINCT date_id) AS DOUBLE) FROM facts
 UNION ALL SELECT 'fact_sales', count(*), count(*), CAST(sum(net_sale_amount) AS DOUBLE)
   FROM facts"""),
+    "run_accounting": _chain(f"""
+SELECT '20240101_000000' AS run_id, * FROM (
+SELECT 1 AS load, 'customers_stage' AS table_name, {_accounts('customer_id', 'rn = 1')}
+  FROM customers_ranked
+UNION ALL SELECT 1, 'products_stage', {_accounts('product_id', 'any_valid AND rn = 1')}
+  FROM products_ranked
+UNION ALL SELECT 1, 'sales_transactions_stage', 0, 0, 0, 0
+UNION ALL SELECT 2, 'customers_stage', 0, 0, 0, 0 UNION ALL SELECT 2, 'products_stage', 0, 0, 0, 0
+UNION ALL SELECT 2, 'sales_transactions_stage',
+  {_accounts('transaction_id', 'reject_reason IS NULL')} FROM sales_classified)"""),
+    "constraint_gate": _with(
+        {**CHAIN, **STAR},
+        "\nUNION ALL ".join(
+            _constraints(*names)
+            for names in (
+                ("dim_customer", "customer_id", "(SELECT nullif(customer_id, 5) AS customer_id FROM customers_stage)",
+                 f"(SELECT customer_id FROM customers_stage s WHERE s.{_on_day('customers_stage', 1)})"),
+                ("dim_product", "product_id", "products_stage",
+                 f"(SELECT product_id FROM products_stage s WHERE s.{_on_day('products_stage', 1)})"),
+                ("dim_date", "date_id", "gapped_dim_date", "(SELECT date_id FROM dim_date WHERE day <= 2)"),
+            )
+        ),
+    ),
 }
-# However late a feed is staged, the warehouse is the same.
-ORACLES["late_feed_load"] = ORACLES["loaded_warehouse"]
 
 
 def oracle_sql() -> dict[str, str]:

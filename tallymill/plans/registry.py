@@ -49,6 +49,7 @@ from tallymill.plans.batch import (
     clean_customers,
     clean_products,
     prepare_sales,
+    read_ledger,
     run,
 )
 from tallymill.plans.star import Star
@@ -56,9 +57,16 @@ from tallymill.schemas import AUDIT, FEEDS, WAREHOUSE
 from tallymill.session import apply_settings, in_parallel, new_work_path
 from tallymill.sinks.audit import PIPELINE_NAME, SUCCESS, upsert
 from tallymill.sinks.quarantine import STAGE_OF_FEED, quality_counts, write_rejects
-from tallymill.sinks.staging import STAGED
+from tallymill.sinks.staging import STAGED, publish_batch
 from tallymill.sources.csv_files import read_rejected_csv
-from tallymill.sources.tables import newer_than, read_file_accounts, read_staging, read_warehouse
+from tallymill.sources.tables import (
+    CORRUPT_TEXT,
+    SOURCE_FILE,
+    newer_than,
+    read_file_accounts,
+    read_staging,
+    read_warehouse,
+)
 from tallymill.sources.testviews import in_two_days, star, view
 from tallymill.streaming.file_ingest import drop_csv, ingest
 
@@ -159,7 +167,7 @@ def _rejected_union(spark, d) -> DataFrame:
     )
     folder = new_work_path(spark, "rejects")
     write_rejects(numbered, folder, RUN_ID, F.lower("reject_reason"), "csv")
-    back = read_rejected_csv(spark, f"{folder}/*/*/*.csv", numbered.schema)
+    back = read_rejected_csv(spark, f"{folder}/*/*/*/*.csv", numbered.schema)
     return back.withColumn(
         "is_nat_text", F.coalesce(F.col(RAW_DATE) == "NaT", F.lit(False))
     )
@@ -365,14 +373,58 @@ def _table_sums(spark, warehouse) -> DataFrame:
 
 
 def _loaded_warehouse(spark, d) -> DataFrame:
-    """Two runs over the same staging; the second finds nothing new. Sizes and sums of the tables."""
+    """The fact after two runs over the same staging, of which the second finds nothing new; and how
+    many ids there are between the lowest and the highest one."""
     root = new_work_path(spark, "load")
     staging, warehouse = f"{root}/staging", f"{root}/warehouse"
     for table in KEY_OF_FEED:
         append_staging(_rows(spark, d, table), staging, table)
     run(spark, staging, warehouse, "first", AS_OF)
     run(spark, staging, warehouse, "second", AS_OF)
-    return _table_sums(spark, warehouse)
+    fact = read_warehouse(spark, warehouse, "fact_sales")
+    span = fact.agg(
+        F.when(F.count_distinct("sales_id") == F.count("*"), F.max("sales_id") - F.min("sales_id") + 1)
+    ).first()[0]
+    return fact.drop("sales_id").withColumn("id_span", F.lit(span).cast("long"))
+
+
+def _run_accounting(spark, d) -> DataFrame:
+    """What became of all delivered rows, per load and feed. Both loads have the same run id: the
+    first takes the dimensions, the second the sales. Rows whose key ends in 77 are misfits."""
+    root = new_work_path(spark, "accounts")
+    staging, warehouse = f"{root}/staging", f"{root}/warehouse"
+
+    def stage(table: str) -> None:
+        rows, key = _rows(spark, d, table), F.col(KEY_OF_FEED[table])
+        append_staging(rows, staging, table)
+        bad = rows.where(key % 100 == 77).withColumns(
+            {CORRUPT_TEXT: key.cast("string"), SOURCE_FILE: F.lit("bad.csv")}
+        )
+        publish_batch(staging, table, "misfits", FIRST_DAY.date(), bad)
+
+    for tables in (("customers_stage", "products_stage"), ("sales_transactions_stage",)):
+        for table in tables:
+            stage(table)
+        run(spark, staging, warehouse, RUN_ID, AS_OF)
+    return read_ledger(spark, warehouse)
+
+
+def _constraint_gate(spark, d) -> DataFrame:
+    """Staged rows as they are, offered to a star that holds the keys of the first day."""
+    new = Star(
+        _rows(spark, d, "customers_stage").withColumn("customer_id", F.expr("nullif(customer_id, 5)")),
+        _rows(spark, d, "products_stage"),
+        view(spark, d, "gapped_dim_date"),
+        view(spark, d, "dirty_fact"),
+    )
+
+    def first_day(table: str) -> DataFrame:
+        staged = in_two_days(_rows(spark, d, table), table)
+        return staged.where(F.col("ingest_date") <= F.lit(FIRST_DAY).cast("timestamp_ntz"))
+
+    calendar = view(spark, d, "dim_date").where("day <= 2")
+    loaded = Star(first_day("customers_stage"), first_day("products_stage"), calendar, view(spark, d, "fact_sales"))
+    return checks.constraint_violations(new, loaded)
 
 
 def _late_feed_load(spark, d) -> DataFrame:
@@ -501,6 +553,8 @@ QUERIES: dict[str, Query] = {
     "archived_files": _archived_files,
     "loaded_warehouse": _loaded_warehouse,
     "late_feed_load": _late_feed_load,
+    "run_accounting": _run_accounting,
+    "constraint_gate": _constraint_gate,
 }
 
 

@@ -117,3 +117,15 @@ QUALITY_REPORT = _struct(
     reason=StringType(),
     row_count=LongType(),
 )
+
+LEDGER = _struct(
+    run_id=StringType(),
+    load=IntegerType(),
+    table_name=StringType(),
+    delivered=LongType(),
+    misfit=LongType(),
+    rejected=LongType(),
+    loaded=LongType(),
+)
+
+CONSTRAINTS = _struct(table_name=StringType(), constraint_name=StringType(), violations=LongType())

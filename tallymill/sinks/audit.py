@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tallymill.schemas import AUDIT, STAGING
+from tallymill.sources.markers import create_once
 from tallymill.sources.tables import empty_table, path_exists, read_table, single_row
 
 # ---- fixed values ----
@@ -46,9 +47,13 @@ def read_audit(spark: SparkSession, path: str) -> DataFrame:
 def write_audit(spark: SparkSession, path: str, changes: DataFrame) -> None:
     table, newest = _versions(spark, path)
     current = table.where(F.col("version") == newest).select(*AUDIT.fieldNames())
+    number = newest + 1
+    # Two writers never share a version's folder; a claim that is not used leaves a gap.
+    while not create_once(spark, f"{path}/_claims/{number}"):
+        number += 1
     upsert(current, changes.select(*AUDIT.fieldNames()), "pipeline_name").coalesce(1).write.mode(
         "errorifexists"
-    ).parquet(f"{path}/version={newest + 1}")
+    ).parquet(f"{path}/version={number}")
 
 
 def last_watermark(

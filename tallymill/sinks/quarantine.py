@@ -6,9 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymill.schemas import QUALITY_REPORT
+from tallymill.sinks.publication import LOAD
 from tallymill.sources.csv_files import CSV_WRITE_OPTIONS
 
 LOADED = "LOADED"
+MISFIT = "MISFIT_ROW"
 STAGE_OF_FEED = {
     "customers_stage": "customer_duplicates",
     "products_stage": "product_duplicates",
@@ -21,17 +23,20 @@ def write_rejects(
     run_id: str,
     stage: Column | str,
     file_format: str = "parquet",
+    load: int = 0,
 ) -> None:
-    """Append rejects, one folder per stage and run. No rows, no files.
+    """Append rejects, one folder per stage, run and load. No rows, no files.
+
+    A run id may come again; the load number, which does not, tells its attempts apart.
 
     ``file_format="csv"`` writes header CSVs for hand inspection and reprocessing.
     """
     tagged = rejected.withColumns(
         {"reject_stage": F.lit(stage) if isinstance(stage, str) else stage, "run_id": F.lit(run_id)}
-    )
+    ).withColumn(LOAD, F.lit(load))
     # Writers fill files to the advisory size, also where one stage has most of the rows.
     tagged = tagged.hint("rebalance", F.col("reject_stage"))
-    writer = tagged.write.mode("append").partitionBy("reject_stage", "run_id")
+    writer = tagged.write.mode("append").partitionBy("reject_stage", "run_id", LOAD)
     if file_format == "csv":
         writer.options(**CSV_WRITE_OPTIONS).csv(folder)
     else:

@@ -1,4 +1,7 @@
-"""Warehouse tables: insert-only dimensions and an incremental fact split by month."""
+"""Warehouse tables: insert-only dimensions and an incremental fact split by month.
+
+Rows are written under their load's number and count once that is published.
+"""
 
 from __future__ import annotations
 
@@ -6,64 +9,52 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from tallymill.operators.incremental import (
     date_month,
+    file_sizes,
+    first_ids,
     new_dimension_rows,
     new_fact_rows,
-    surrogate_id,
+    with_ids,
 )
 from tallymill.operators.shaping import to_dimension, to_fact
-from tallymill.schemas import DIMENSION_KEYS, WAREHOUSE
-from tallymill.session import in_parallel
+from tallymill.schemas import DIMENSION_KEYS, FACT_COLUMNS, WAREHOUSE
+from tallymill.session import in_parallel, settle
+from tallymill.sinks.publication import LOAD, Snapshot, of_load
 from tallymill.sources.tables import (
-    FACT_LAYOUT,
     FACT_PARTITION,
+    WAREHOUSE_LAYOUT,
     empty_table,
     path_exists,
     read_dimension_keys,
     read_fact_grain,
-    read_table,
-    single_row,
-)
-
-LOADS = StructType(
-    [StructField("load_number", IntegerType(), True), StructField("run_id", StringType(), True)]
 )
 
 
 def create_tables(spark: SparkSession, warehouse: str) -> None:
-    """Empty tables with their schemas where there are none yet."""
+    """Empty tables where there are none yet."""
 
     def create(name: str) -> None:
-        layout = FACT_LAYOUT if name == "fact_sales" else WAREHOUSE[name]
-        writer = empty_table(spark, layout).write.mode("append")
-        if name == "fact_sales":
-            writer = writer.partitionBy(FACT_PARTITION)
-        writer.parquet(f"{warehouse}/{name}")
+        by = [FACT_PARTITION, LOAD] if name == "fact_sales" else [LOAD]
+        rows = empty_table(spark, WAREHOUSE_LAYOUT[name])
+        rows.write.mode("append").partitionBy(*by).parquet(f"{warehouse}/{name}")
 
     absent = [name for name in WAREHOUSE if not path_exists(spark, f"{warehouse}/{name}")]
     if absent:
         in_parallel(spark, *[partial(create, name) for name in absent])
 
 
-def load_dimension(spark: SparkSession, warehouse: str, df: DataFrame, table: str) -> None:
-    """Append the rows whose key is not there yet; loaded rows are never changed."""
+def load_dimension(
+    spark: SparkSession, warehouse: str, df: DataFrame, table: str, snapshot: Snapshot, load: int
+) -> None:
+    """Write the rows whose key is not there yet; loaded rows are never changed."""
     key = DIMENSION_KEYS[table]
     batch = to_dimension(df, table)
-    delta = new_dimension_rows(batch, read_dimension_keys(spark, warehouse, table), key)
+    delta = new_dimension_rows(batch, read_dimension_keys(spark, warehouse, table, snapshot), key)
     # Rebalanced, so a small delta does not leave one tiny file per shuffle partition.
-    delta.hint("rebalance").write.mode("append").parquet(f"{warehouse}/{table}")
-
-
-def next_load_number(spark: SparkSession, warehouse: str, run_id: str) -> int:
-    """Reserve a number for a load before it writes; a failed load leaves a gap, no repeat."""
-    path = f"{warehouse}/fact_sales_loads"
-    number = (read_table(spark, path, LOADS).agg(F.max("load_number")).first()[0] or 0) + 1
-    load = single_row(spark, LOADS, load_number=number, run_id=run_id)
-    load.write.mode("append").parquet(path)
-    return number
+    rows = of_load(delta.hint("rebalance"), load)
+    rows.write.mode("append").partitionBy(LOAD).parquet(f"{warehouse}/{table}")
 
 
 def fact_days(facts: DataFrame) -> list[int]:
@@ -72,22 +63,33 @@ def fact_days(facts: DataFrame) -> list[int]:
 
 
 def load_fact(
-    spark: SparkSession, warehouse: str, df: DataFrame, days: list[int], load_number: int
-) -> None:
-    """Append the rows whose grain is not there yet.
-
-    Of the loaded fact, only the grain columns of the batch's days are read. Rows are sorted by
-    day within their month, so that later loads can skip what they do not need.
+    spark: SparkSession,
+    warehouse: str,
+    df: DataFrame,
+    days: list[int],
+    snapshot: Snapshot,
+    load: int,
+) -> int:
+    """Write the rows whose grain is not there yet; returns how many.
+
+    Of the loaded fact, only the grain columns of the batch's days are read. The new rows are
+    written aside first: their number and places then give them ids without gaps. Rows are sorted
+    by day within their month, so that later loads can skip what they do not need.
     """
     if not days:
-        return
+        return 0
     batch = to_fact(df).withColumn(FACT_PARTITION, date_month("date_id"))
-    delta = new_fact_rows(batch, read_fact_grain(spark, warehouse, days))
+    delta = new_fact_rows(batch, read_fact_grain(spark, warehouse, days, snapshot))
+    delta = settle(delta.hint("rebalance", F.col(FACT_PARTITION)), "fact-delta")
+    sizes = settle(file_sizes(delta), "fact-sizes")
+    total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    firsts = settle(first_ids(sizes, snapshot.next_sales_id), "fact-first-ids")
     (
-        delta.hint("rebalance", F.col(FACT_PARTITION))
-        .select(surrogate_id(load_number).alias("sales_id"), *batch.columns)
+        of_load(with_ids(delta, firsts, "sales_id"), load)
+        .select("sales_id", *FACT_COLUMNS, FACT_PARTITION, LOAD)
         .sortWithinPartitions(FACT_PARTITION, "date_id")
         .write.mode("append")
-        .partitionBy(FACT_PARTITION)
+        .partitionBy(FACT_PARTITION, LOAD)
         .parquet(f"{warehouse}/fact_sales")
     )
+    return total

@@ -22,6 +22,7 @@ from pyspark.sql.types import (
 
 from tallymill.operators.duplicates import ROW_ID, file_row_id
 from tallymill.schemas import DIMENSION_KEYS, FACT_GRAIN, STAGING, WAREHOUSE
+from tallymill.sinks.publication import LOAD, Snapshot, read_snapshot
 from tallymill.sources.markers import marker_names
 
 ROW_OK = "ok"
@@ -59,9 +60,12 @@ FILE_ACCOUNTS = StructType(
     ]
 )
 
-FACT_LAYOUT = StructType(
-    [*WAREHOUSE["fact_sales"].fields, StructField(FACT_PARTITION, IntegerType(), True)]
-)
+_LOADED = StructField(LOAD, IntegerType(), True)
+_MONTH = StructField(FACT_PARTITION, IntegerType(), True)
+WAREHOUSE_LAYOUT = {
+    name: StructType([*table.fields, *([_MONTH] if name == "fact_sales" else []), _LOADED])
+    for name, table in WAREHOUSE.items()
+}
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -125,18 +129,19 @@ def read_batches(spark: SparkSession, staging: str, table: str, folders: list[st
 
 
 def _staged_since(
-    spark: SparkSession, staging: str, table: str, status: str, after: datetime | None
+    spark: SparkSession, staging: str, table: str, statuses: tuple[str, ...], after: datetime | None
 ) -> DataFrame | None:
     """Scan of the batches that may hold rows ingested later, None if there are none."""
     folders = []
     published: dict[str, set[str]] = {}
     for day, batch in published_batches(spark, staging, table, after):
         published.setdefault(day, set()).add(f"{BATCH}={batch}")
-    for day, batches in published.items():
-        # A batch without rows of this status has no folder.
-        of_day = f"row_status={status}/{day}"
-        present = folder_names(spark, f"{staging}/{table}/{of_day}")
-        folders += [f"{of_day}/{batch}" for batch in present if batch in batches]
+    for status in statuses:
+        for day, batches in published.items():
+            # A batch without rows of this status has no folder.
+            of_day = f"row_status={status}/{day}"
+            present = folder_names(spark, f"{staging}/{table}/{of_day}")
+            folders += [f"{of_day}/{batch}" for batch in present if batch in batches]
     if not folders:
         return None
     rows = read_batches(spark, staging, table, folders)
@@ -145,6 +150,14 @@ def _staged_since(
     return rows
 
 
+def read_delivered(
+    spark: SparkSession, staging: str, table: str, after: datetime | None = None
+) -> DataFrame:
+    """All rows as they lie in staging, fitting and misfit."""
+    rows = _staged_since(spark, staging, table, (ROW_OK, ROW_CORRUPT), after)
+    return empty_table(spark, STAGING_LAYOUT[table]) if rows is None else rows
+
+
 def read_staging(
     spark: SparkSession,
     staging: str,
@@ -156,7 +169,7 @@ def read_staging(
 
     With ``row_ids``, a table with files also gives each row's identity.
     """
-    rows = _staged_since(spark, staging, table, ROW_OK, after)
+    rows = _staged_since(spark, staging, table, (ROW_OK,), after)
     if rows is None:
         return empty_table(spark, STAGING[table])
     columns = [F.col(c) for c in STAGING[table].fieldNames()]
@@ -170,7 +183,7 @@ def read_corrupt_rows(
 ) -> DataFrame:
     """Delivered lines that did not fit their feed's types."""
     columns = [CORRUPT_TEXT, "ingest_date", SOURCE_FILE]
-    rows = _staged_since(spark, staging, table, ROW_CORRUPT, after)
+    rows = _staged_since(spark, staging, table, (ROW_CORRUPT,), after)
     if rows is None:
         return empty_table(spark, STAGING_LAYOUT[table]).select(*columns)
     return rows.select(*columns)
@@ -189,28 +202,46 @@ def newer_than(rows: DataFrame, watermark: datetime) -> DataFrame:
     return rows.where(F.col("ingest_date") > F.lit(watermark.isoformat(" ")).cast("timestamp_ntz"))
 
 
-def read_warehouse(spark: SparkSession, warehouse: str, table: str) -> DataFrame:
-    if table == "fact_sales":
-        return read_fact(spark, warehouse).select(*WAREHOUSE[table].fieldNames())
-    return read_table(spark, f"{warehouse}/{table}", WAREHOUSE[table])
+def _published(spark: SparkSession, warehouse: str, table: str, snapshot: Snapshot | None) -> DataFrame:
+    snapshot = snapshot or read_snapshot(spark, warehouse)
+    rows = read_table(spark, f"{warehouse}/{table}", WAREHOUSE_LAYOUT[table])
+    return rows.where(snapshot.counts()).drop(LOAD)
+
+
+def read_warehouse(
+    spark: SparkSession, warehouse: str, table: str, snapshot: Snapshot | None = None
+) -> DataFrame:
+    """A table's published rows; as of a snapshot, or now."""
+    return _published(spark, warehouse, table, snapshot).select(*WAREHOUSE[table].fieldNames())
+
+
+def read_load(spark: SparkSession, warehouse: str, table: str, load: int) -> DataFrame:
+    """The rows of one load, published or not."""
+    rows = read_table(spark, f"{warehouse}/{table}", WAREHOUSE_LAYOUT[table])
+    return rows.where(F.col(LOAD) == load).select(*WAREHOUSE[table].fieldNames())
 
 
 def read_fact(spark: SparkSession, warehouse: str) -> DataFrame:
     """The fact with its partition column, for readers that prune by month."""
-    return read_table(spark, f"{warehouse}/fact_sales", FACT_LAYOUT)
+    return _published(spark, warehouse, "fact_sales", None)
 
 
-def read_dimension_keys(spark: SparkSession, warehouse: str, table: str) -> DataFrame:
+def read_dimension_keys(
+    spark: SparkSession, warehouse: str, table: str, snapshot: Snapshot | None = None
+) -> DataFrame:
     """Key column only."""
-    return read_warehouse(spark, warehouse, table).select(DIMENSION_KEYS[table])
+    return read_warehouse(spark, warehouse, table, snapshot).select(DIMENSION_KEYS[table])
 
 
-def read_fact_grain(spark: SparkSession, warehouse: str, days: list[int]) -> DataFrame:
+def read_fact_grain(
+    spark: SparkSession, warehouse: str, days: list[int], snapshot: Snapshot | None = None
+) -> DataFrame:
     """Grain columns of the given days: their months' folders, and in these their days."""
     path = f"{warehouse}/fact_sales"
+    snapshot = snapshot or read_snapshot(spark, warehouse)
     months = [f"{FACT_PARTITION}={month}" for month in sorted({day // 100 for day in days})]
     present = sorted(set(months).intersection(folder_names(spark, path)))
-    rows = read_folders(spark, path, FACT_LAYOUT, present)
+    rows = read_folders(spark, path, WAREHOUSE_LAYOUT["fact_sales"], present).where(snapshot.counts())
     if len(days) <= LISTED_DAYS:
         rows = rows.where(F.col("date_id").isin(days))
     return rows.select(*FACT_GRAIN)

@@ -100,9 +100,9 @@ def test_a_whole_run(spark, places, folder):
     ]
     back = read_rejected_csv(
         spark,
-        f"{folder}/csv/customers_stage/*/*/*.csv",
+        f"{folder}/csv/customers_stage/*/*/*/*.csv",
         spark.read.parquet(f"{warehouse}/quarantine/customers_stage")
-        .drop("reject_stage", "run_id")
+        .drop("reject_stage", "run_id", "load")
         .schema,
     )
     assert values(back, "customer_name", "signup_date") == [("OLD ANN", date(2020, 1, 1))]

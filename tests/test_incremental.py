@@ -1,11 +1,9 @@
-import pytest
 from datetime import datetime
 
-from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tallymill.operators import incremental
-from tallymill.operators.incremental import new_dimension_rows, new_fact_rows, surrogate_id
+from tallymill.operators.incremental import new_dimension_rows, new_fact_rows
 from tallymill.sinks.audit import read_audit, record_run, last_watermark, FIRST_WATERMARK
 from tallymill.sources.tables import newer_than
 from tests.conftest import values
@@ -30,21 +28,24 @@ def test_month_of_a_date_key(frame):
     assert values(df.select(incremental.date_month("d"))) == [(202401,), (999912,), (None,)]
 
 
-def test_surrogate_ids_are_unique_over_loads_and_tasks(spark):
-    ids = [
-        r[0]
-        for load in (1, 2)
-        for r in spark.range(0, 1000, 1, 7).select(surrogate_id(load)).collect()
-    ]
-    assert len(set(ids)) == 2000
-    assert min(ids[1000:]) > max(ids[:1000])
-
-
-def test_a_task_beyond_its_id_range_fails(spark, monkeypatch):
-    monkeypatch.setattr(incremental, "ROW_BITS", 3)
-    assert spark.range(0, 8, 1, 1).select(surrogate_id(1)).distinct().count() == 8
-    with pytest.raises(PySparkException, match="range exceeded"):
-        spark.range(0, 9, 1, 1).select(surrogate_id(1)).collect()
+def test_ids_follow_each_other_over_files(spark, folder):
+    spark.range(0, 1000, 1, 7).write.parquet(f"{folder}/rows")
+    rows = spark.read.parquet(f"{folder}/rows")
+    for _ in range(2):
+        firsts = incremental.first_ids(incremental.file_sizes(rows), 1 << 40)
+        out = incremental.with_ids(rows, firsts, "own_id")
+        found = {r["id"]: r["own_id"] for r in out.collect()}
+        assert sorted(found.values()) == list(range(1 << 40, (1 << 40) + 1000))
+    again = {r["id"]: r["own_id"] for r in out.repartition(3).collect()}
+    assert again == found
+
+
+def test_ids_have_room_for_many_large_tasks(spark):
+    sizes = spark.range(1 << 18).select(
+        F.format_string("part-%08d", "id").alias("file"), F.lit(1 << 40).alias("n")
+    )
+    firsts = incremental.first_ids(sizes, 1).agg(F.min("first_id"), F.max("first_id"), F.count_distinct("first_id")).first()
+    assert tuple(firsts) == (1, ((1 << 18) - 1) * (1 << 40) + 1, 1 << 18)
 
 
 def test_watermark_filter_is_strict(frame):
