@@ -41,7 +41,13 @@ from tallymill.operators.statistics import exact_median
 from tallymill.plans.checks import constraint_violations
 from tallymill.plans.star import Star
 from tallymill.schemas import DIMENSION_KEYS, LEDGER, QUALITY_REPORT, STAGING
-from tallymill.session import apply_settings, in_parallel, settle, work_scope
+from tallymill.session import (
+    apply_settings,
+    in_parallel,
+    settle,
+    work_scope,
+    write_own_folders,
+)
 from tallymill.sinks.audit import (
     FAILED,
     SUCCESS,
@@ -327,10 +333,9 @@ def _clean_and_load(
     accounts = settle(ledger(spark, report, delivered, run_id, number), "ledger")
     check_ledger(accounts)
     check_constraints(spark, warehouse, snapshot, number)
-    of_load(report, number).coalesce(1).write.mode("append").partitionBy(LOAD).parquet(
-        f"{warehouse}/etl_data_quality_report"
-    )
-    accounts.coalesce(1).write.mode("append").partitionBy(LOAD).parquet(f"{warehouse}/etl_run_ledger")
+    quality = of_load(report, number).coalesce(1)
+    write_own_folders(quality, f"{warehouse}/etl_data_quality_report", LOAD)
+    write_own_folders(accounts.coalesce(1), f"{warehouse}/etl_run_ledger", LOAD)
     publish(spark, warehouse, snapshot, number, new_sales)
     clean_sales = accounts.where(F.col("table_name") == "sales_transactions_stage")
     return clean_sales.select("loaded").first()[0]

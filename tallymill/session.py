@@ -109,6 +109,16 @@ def settle(df: DataFrame, name: str, partition_by: str | None = None) -> DataFra
     return spark.read.schema(df.schema).parquet(path)
 
 
+def write_own_folders(df: DataFrame, path: str, *by: str, file_format: str = "parquet", **options) -> None:
+    """Write partition folders that no other writer writes, beside what a table holds.
+
+    Replacing just these folders repeats safely, and unlike an append it keeps its unfinished
+    files apart from those of other jobs that write to the same table at the same time.
+    """
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.options(**options).partitionBy(*by).format(file_format).save(path)
+
+
 def in_parallel(spark: SparkSession, *calls: Callable) -> list:
     """Run calls that start Spark jobs side by side, so that one's tail does not idle the cluster.
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymill.schemas import QUALITY_REPORT
+from tallymill.session import write_own_folders
 from tallymill.sinks.publication import LOAD
 from tallymill.sources.csv_files import CSV_WRITE_OPTIONS
 
@@ -25,7 +26,7 @@ def write_rejects(
     file_format: str = "parquet",
     load: int = 0,
 ) -> None:
-    """Append rejects, one folder per stage, run and load. No rows, no files.
+    """Write rejects, one folder per stage, run and load. No rows, no files.
 
     A run id may come again; the load number, which does not, tells its attempts apart.
 
@@ -36,11 +37,10 @@ def write_rejects(
     ).withColumn(LOAD, F.lit(load))
     # Writers fill files to the advisory size, also where one stage has most of the rows.
     tagged = tagged.hint("rebalance", F.col("reject_stage"))
-    writer = tagged.write.mode("append").partitionBy("reject_stage", "run_id", LOAD)
-    if file_format == "csv":
-        writer.options(**CSV_WRITE_OPTIONS).csv(folder)
-    else:
-        writer.parquet(folder)
+    options = CSV_WRITE_OPTIONS if file_format == "csv" else {}
+    write_own_folders(
+        tagged, folder, "reject_stage", "run_id", LOAD, file_format=file_format, **options
+    )
 
 
 def quality_counts(

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymill.schemas import STAGING
+from tallymill.session import write_own_folders
 from tallymill.sources.markers import create_once, read_marker
 from tallymill.sources.tables import (
     BATCH,
@@ -54,20 +55,14 @@ def publish_batch(
     if is_published(spark, staging, table, day, batch):
         return False
     path = f"{staging}/{table}"
-    (
-        rows.select(*STAGING[table].fieldNames(), CORRUPT_TEXT, SOURCE_FILE)
-        .withColumns(
-            {
-                "row_status": F.when(F.col(CORRUPT_TEXT).isNull(), ROW_OK).otherwise(ROW_CORRUPT),
-                "ingest_day": F.lit(day),
-                BATCH: F.lit(batch),
-            }
-        )
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("row_status", "ingest_day", BATCH)
-        .parquet(path)
+    placed = rows.select(*STAGING[table].fieldNames(), CORRUPT_TEXT, SOURCE_FILE).withColumns(
+        {
+            "row_status": F.when(F.col(CORRUPT_TEXT).isNull(), ROW_OK).otherwise(ROW_CORRUPT),
+            "ingest_day": F.lit(day),
+            BATCH: F.lit(batch),
+        }
     )
+    write_own_folders(placed, path, "row_status", "ingest_day", BATCH)
     _write_accounts(spark, staging, table, batch, day, verdicts)
     return create_once(spark, commit_path(staging, table, day, batch))
 
@@ -93,13 +88,9 @@ def _write_accounts(
         told = verdicts.join(counts, "file_name", "left").withColumns(
             {c: F.coalesce(c, none) for c in ("delivered", "misfit")}
         )
-    (
-        told.select(*[c for c in FILE_ACCOUNTS.fieldNames() if c not in ("ingest_day", BATCH)])
-        .withColumns({"ingest_day": F.lit(day), BATCH: F.lit(batch)})
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("ingest_day", BATCH)
-        .parquet(f"{staging}/{table}_files")
+    rows = told.withColumns({"ingest_day": F.lit(day), BATCH: F.lit(batch)})
+    write_own_folders(
+        rows.select(*FILE_ACCOUNTS.fieldNames()), f"{staging}/{table}_files", "ingest_day", BATCH
     )
 
 

@@ -5,8 +5,6 @@ Rows are written under their load's number and count once that is published.
 
 from __future__ import annotations
 
-from functools import partial
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,29 +18,20 @@ from tallymill.operators.incremental import (
 )
 from tallymill.operators.shaping import to_dimension, to_fact
 from tallymill.schemas import DIMENSION_KEYS, FACT_COLUMNS, WAREHOUSE
-from tallymill.session import in_parallel, settle
+from tallymill.session import settle, write_own_folders
 from tallymill.sinks.publication import LOAD, Snapshot, of_load
+from tallymill.sources.markers import make_folder
 from tallymill.sources.tables import (
     FACT_PARTITION,
-    WAREHOUSE_LAYOUT,
-    empty_table,
-    path_exists,
     read_dimension_keys,
     read_fact_grain,
 )
 
 
 def create_tables(spark: SparkSession, warehouse: str) -> None:
-    """Empty tables where there are none yet."""
-
-    def create(name: str) -> None:
-        by = [FACT_PARTITION, LOAD] if name == "fact_sales" else [LOAD]
-        rows = empty_table(spark, WAREHOUSE_LAYOUT[name])
-        rows.write.mode("append").partitionBy(*by).parquet(f"{warehouse}/{name}")
-
-    absent = [name for name in WAREHOUSE if not path_exists(spark, f"{warehouse}/{name}")]
-    if absent:
-        in_parallel(spark, *[partial(create, name) for name in absent])
+    """Folders of the tables, which are empty where there is nothing yet."""
+    for name in WAREHOUSE:
+        make_folder(spark, f"{warehouse}/{name}")
 
 
 def load_dimension(
@@ -54,7 +43,7 @@ def load_dimension(
     delta = new_dimension_rows(batch, read_dimension_keys(spark, warehouse, table, snapshot), key)
     # Rebalanced, so a small delta does not leave one tiny file per shuffle partition.
     rows = of_load(delta.hint("rebalance"), load)
-    rows.write.mode("append").partitionBy(LOAD).parquet(f"{warehouse}/{table}")
+    write_own_folders(rows, f"{warehouse}/{table}", LOAD)
 
 
 def fact_days(facts: DataFrame) -> list[int]:
@@ -84,12 +73,10 @@ def load_fact(
     sizes = settle(file_sizes(delta), "fact-sizes")
     total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     firsts = settle(first_ids(sizes, snapshot.next_sales_id), "fact-first-ids")
-    (
+    rows = (
         of_load(with_ids(delta, firsts, "sales_id"), load)
         .select("sales_id", *FACT_COLUMNS, FACT_PARTITION, LOAD)
         .sortWithinPartitions(FACT_PARTITION, "date_id")
-        .write.mode("append")
-        .partitionBy(FACT_PARTITION, LOAD)
-        .parquet(f"{warehouse}/fact_sales")
     )
+    write_own_folders(rows, f"{warehouse}/fact_sales", FACT_PARTITION, LOAD)
     return total

@@ -12,6 +12,11 @@ def _hadoop(spark: SparkSession, path: str):
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    files, target = _hadoop(spark, path)
+    files.mkdirs(target)
+
+
 def create_once(spark: SparkSession, path: str, text: str = "") -> bool:
     """Create a file with its text, unless there is one of that name; whether it was created.
 
