@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 from dataclasses import asdict, dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,18 +27,18 @@ class LoadConflict(RuntimeError):
 
 @dataclass(frozen=True)
 class Snapshot:
-    """Loads up to ``newest`` count, but for those in ``without``; ids from ``next_sales_id`` are free."""
+    """Loads up to ``newest`` count, but for the ranges (first, last) in ``without``; ids from
+    ``next_sales_id`` on are free."""
 
     version: int = 0
     newest: int = 0
-    without: tuple[int, ...] = ()
+    without: tuple[tuple[int, int], ...] = ()
     next_sales_id: int = 1
 
     def counts(self) -> Column:
         """The test for rows of published loads; on a partition column, so folders are pruned."""
         load = F.col(LOAD)
-        seen = load <= self.newest
-        return seen & ~load.isin(list(self.without)) if self.without else seen
+        return reduce(lambda test, gap: test & ~load.between(*gap), self.without, load <= self.newest)
 
 
 def _numbered(folder: str, number: int) -> str:
@@ -49,7 +50,7 @@ def read_snapshot(spark: SparkSession, warehouse: str) -> Snapshot:
     if not versions:
         return Snapshot()
     told = json.loads(read_marker(spark, f"{warehouse}/_versions/{versions[-1]}"))
-    return Snapshot(**told | {"without": tuple(told["without"])})
+    return Snapshot(**told | {"without": tuple(map(tuple, told["without"]))})
 
 
 def reserve_load(spark: SparkSession, warehouse: str, run_id: str) -> int:
@@ -69,12 +70,8 @@ def load_runs(spark: SparkSession, warehouse: str) -> dict[int, str]:
 
 def publish(spark: SparkSession, warehouse: str, base: Snapshot, load: int, sales: int) -> Snapshot:
     """Make a load that began at ``base`` count. Unpublished loads between never will."""
-    new = Snapshot(
-        base.version + 1,
-        load,
-        (*base.without, *range(base.newest + 1, load)),
-        base.next_sales_id + sales,
-    )
+    gap = ((base.newest + 1, load - 1),) if load > base.newest + 1 else ()
+    new = Snapshot(base.version + 1, load, base.without + gap, base.next_sales_id + sales)
     path = _numbered(f"{warehouse}/_versions", new.version)
     if not create_once(spark, path, json.dumps(asdict(new))):
         raise LoadConflict(f"load {load}: another load was published as version {new.version}")

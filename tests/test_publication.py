@@ -87,11 +87,11 @@ def test_load_numbers(spark, folder):
     create_once(spark, publication._numbered(f"{folder}/_loads", 1 << 20), "late")
     assert reserve_load(spark, folder, "r") == (1 << 20) + 1
     first = publication.publish(spark, folder, Snapshot(), 3, 10)
-    assert first == read_snapshot(spark, folder) == Snapshot(1, 3, (1, 2), 11)
+    assert first == read_snapshot(spark, folder) == Snapshot(1, 3, ((1, 2),), 11)
     with pytest.raises(LoadConflict):
         publication.publish(spark, folder, Snapshot(), 2, 10)
     late = publication.publish(spark, folder, first, 6, 0)
-    assert late == read_snapshot(spark, folder) == Snapshot(2, 6, (1, 2, 4, 5), 11)
+    assert late == read_snapshot(spark, folder) == Snapshot(2, 6, ((1, 2), (4, 5)), 11)
     seen = spark.range(1, 10).select(F.col("id").cast("int").alias("load")).where(late.counts())
     assert values(seen) == [(3,), (6,)]
 
