@@ -25,6 +25,10 @@ from tallymill.session import settle
 
 logger = logging.getLogger(__name__)
 
+MISFIT_VALUES = "misfit_values"
+# Amounts are DECIMAL(18,2).
+AMOUNT_LIMIT = 1e16
+
 
 def normalize_blank_strings(df: DataFrame) -> DataFrame:
     """Empty or whitespace-only text becomes null, in every text column."""
@@ -52,14 +56,34 @@ def clean_sales_numbers(
     """Whole non-negative quantities (missing is 0) and positive prices.
 
     A missing or zero price takes the median of the prices as delivered, signs and zeros
-    included. Pass ``median`` when it is known, to save the pass that finds it.
+    included. Pass ``median`` when it is known, to save the pass that finds it. Values that their
+    column cannot hold become null or stay, and are told in ``misfit_values`` as delivered, for
+    the quarantine: the row is rejected later, and the others go on.
     """
     if median is None:
         median = exact_median(df, price_col)
-    quantity = F.abs(F.coalesce(nan_to_null(F.col(quantity_col)), F.lit(0.0))).cast("int")
+    pieces = F.abs(F.coalesce(nan_to_null(F.col(quantity_col).cast("double")), F.lit(0.0)))
     # Zero takes the median too; the median itself may be zero or negative and is kept as is.
     price = F.coalesce(_absolute_price(price_col), F.lit(median).cast("double"))
-    return df.withColumns({quantity_col: quantity, price_col: price})
+    off = nan_to_null(F.col("discount").cast("double")) if "discount" in df.columns else F.lit(0.0)
+    amount = pieces * price
+    net = amount - F.coalesce(off, F.lit(0.0))
+    quantity = pieces.try_cast("int")
+    misfits = F.concat_ws(
+        ";",
+        F.when(quantity.isNull(), _told(quantity_col, F.col(quantity_col))),
+        F.when(amount >= AMOUNT_LIMIT, _told("amount", amount)),
+        F.when(F.abs(net) >= AMOUNT_LIMIT, _told("net", net)),
+    )
+    return df.withColumns(
+        {quantity_col: quantity, price_col: price, MISFIT_VALUES: F.when(misfits != "", misfits)}
+    )
+
+
+def _told(name: str, value: Column) -> Column:
+    """``name=value``, in plain digits where they are not too many."""
+    plain = value.try_cast("decimal(38,2)").cast("string")
+    return F.concat(F.lit(f"{name}="), F.coalesce(plain, value.cast("string")))
 
 
 def clean_product_prices(

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymill.functions.dates import parse_day
+from tallymill.operators.cleaning import MISFIT_VALUES
 from tallymill.session import in_parallel, settle
 
 INVALID_DATE = "INVALID_DATE"
@@ -39,12 +40,14 @@ def split(df: DataFrame, rejected_when: Column) -> tuple[DataFrame, DataFrame]:
     return df.where(~rejected), df.where(rejected)
 
 
-def is_corrupt(date_col: str = "transaction_date") -> Column:
-    return (
+def is_corrupt(df: DataFrame, date_col: str = "transaction_date") -> Column:
+    """No date, quantity or price not above zero, or a value that its column cannot hold."""
+    test = (
         F.col(date_col).isNull()
         | _known(F.col("quantity") <= 0)
         | _known(F.col("unit_price") <= 0)
     )
+    return test | F.col(MISFIT_VALUES).isNotNull() if MISFIT_VALUES in df.columns else test
 
 
 def parse_transaction_date(df: DataFrame, date_col: str = "transaction_date") -> DataFrame:
@@ -59,8 +62,7 @@ def validate_transaction_dates(
 
 
 def detect_corrupt_sales(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """No date, or quantity or price not above zero."""
-    return split(df, is_corrupt())
+    return split(df, is_corrupt(df))
 
 
 def detect_multi_customer_transactions(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -157,7 +159,7 @@ def classify_sales(
     )
     reason = (
         F.when(F.col("transaction_date").isNull(), INVALID_DATE)
-        .when(is_corrupt(), CORRUPT_VALUE)
+        .when(is_corrupt(sales), CORRUPT_VALUE)
         .when(any_null_key, NULL_KEY)
         .when(F.col("is_orphan"), ORPHAN_KEY)
     )

@@ -47,10 +47,19 @@ SELECT product_id, {_blank('product_name')}, {_blank('category')}, {_blank('bran
     "sales_norm": f"""
 SELECT {_SALES}, {_blank('transaction_date')}, quantity, unit_price, discount, ingest_date
 FROM sales_transactions_stage""",
-    "sales_num": f"""
-SELECT {_SALES}, transaction_date, CAST(trunc(abs(coalesce(quantity, 0))) AS INTEGER) AS quantity,
+    "sales_priced": f"""
+SELECT {_SALES}, transaction_date, quantity AS delivered, abs(coalesce(quantity, 0)) AS pieces,
   coalesce(nullif(abs(unit_price), 0), (SELECT median(unit_price) FROM sales_norm)) AS unit_price,
   discount, ingest_date FROM sales_norm""",
+    "sales_num": f"""
+SELECT {_SALES}, transaction_date, TRY_CAST(trunc(pieces) AS INTEGER) AS quantity, unit_price,
+  discount, ingest_date, nullif(concat_ws(';',
+    CASE WHEN pieces >= 2147483648 THEN 'quantity=' || CAST(delivered AS DECIMAL(38,2)) END,
+    CASE WHEN pieces * unit_price >= 1e16
+      THEN 'amount=' || CAST(pieces * unit_price AS DECIMAL(38,2)) END,
+    CASE WHEN abs(pieces * unit_price - coalesce(discount, 0)) >= 1e16
+      THEN 'net=' || CAST(pieces * unit_price - coalesce(discount, 0) AS DECIMAL(38,2)) END), '')
+  AS misfit_values FROM sales_priced""",
     "products_num": """
 SELECT product_id, product_name, category, brand,
   coalesce(nullif(abs(unit_price), 0),
@@ -79,7 +88,7 @@ SELECT * REPLACE (CAST(try_strptime(transaction_date, '%Y-%m-%d') AS DATE) AS tr
   transaction_date AS raw_transaction_date FROM sales_num""",
     "sales_classified": """
 SELECT *, CASE WHEN transaction_date IS NULL THEN 'INVALID_DATE'
-  WHEN quantity <= 0 OR unit_price <= 0 THEN 'CORRUPT_VALUE'
+  WHEN quantity <= 0 OR unit_price <= 0 OR misfit_values IS NOT NULL THEN 'CORRUPT_VALUE'
   WHEN customer_id NOT IN (SELECT customer_id FROM customers_clean)
     OR product_id NOT IN (SELECT product_id FROM products_clean) THEN 'ORPHAN_KEY' END
   AS reject_reason
@@ -377,7 +386,7 @@ ORDER BY transaction_id NULLS LAST, transaction_date NULLS LAST LIMIT 5"""),
     ),
     "normalized_products": _chain(f"SELECT {_PRODUCT}, {_INGEST} FROM products_norm"),
     "normalized_sales": _chain(f"SELECT {_STAGED_SALES} FROM sales_norm"),
-    "clean_sales_numbers": _chain(f"SELECT {_STAGED_SALES} FROM sales_num"),
+    "clean_sales_numbers": _chain(f"SELECT {_STAGED_SALES}, misfit_values FROM sales_num"),
     "clean_product_prices": _with(
         {**CHAIN, "products_norm": "SELECT * FROM products_stage"},
         f"SELECT {_PRODUCT}, {_INGEST} FROM products_num",
@@ -415,14 +424,14 @@ FROM products_ranked WHERE NOT any_valid OR rn > 1"""),
         f"SELECT {_CLEAN_SALES} FROM sales_dated WHERE transaction_date IS NULL",
     ),
     "corrupt_sales": _chain(
-        f"SELECT {_CLEAN_SALES} FROM sales_classified WHERE reject_reason = 'CORRUPT_VALUE'"
+        f"SELECT {_CLEAN_SALES}, misfit_values FROM sales_classified WHERE reject_reason = 'CORRUPT_VALUE'"
     ),
     "multi_customer_transactions": _chain(f"""
 SELECT {_STAGED_SALES} FROM sales_transactions_stage WHERE transaction_id IN
   (SELECT transaction_id FROM sales_transactions_stage GROUP BY 1
    HAVING count(DISTINCT customer_id) > 1)"""),
     "orphan_sales": _chain(
-        f"SELECT {_CLEAN_SALES} FROM sales_classified WHERE reject_reason = 'ORPHAN_KEY'"
+        f"SELECT {_CLEAN_SALES}, misfit_values FROM sales_classified WHERE reject_reason = 'ORPHAN_KEY'"
     ),
     # warehouse tables and loading
     "dim_customer": _chain("SELECT * FROM customers_dim"),

@@ -73,10 +73,10 @@ SELECT
   CASE WHEN l_orderkey % 14 = 0 THEN l_partkey + 1000000 ELSE l_partkey END AS product_id,
   CASE WHEN l_orderkey % 20 = 3 THEN '2023-99-99' WHEN l_orderkey % 20 = 4 THEN NULL
        ELSE CAST(CAST(o_orderdate AS DATE) AS <TEXT>) END AS transaction_date,
-  CASE WHEN (l_orderkey + l_linenumber) % 30 = 0 THEN NULL
+  CASE WHEN l_orderkey % 997 = 5 THEN 3.0e9 WHEN (l_orderkey + l_linenumber) % 30 = 0 THEN NULL
        WHEN (l_orderkey + l_linenumber) % 30 = 1 THEN -3.0e0
        WHEN (l_orderkey + l_linenumber) % 30 = 2 THEN 0.0e0 ELSE l_quantity END AS quantity,
-  CASE WHEN l_partkey % 30 = 0 THEN NULL WHEN l_partkey % 30 = 1 THEN -20.0e0
+  CASE WHEN l_partkey % 499 = 498 THEN 1.0e17 WHEN l_partkey % 30 = 0 THEN NULL WHEN l_partkey % 30 = 1 THEN -20.0e0
        WHEN l_partkey % 30 = 2 THEN 0.0e0 ELSE p_retailprice END AS unit_price,
   CASE WHEN l_orderkey % 5 = 0 THEN l_discount * 100 ELSE 0.0e0 END AS discount,
   CAST('2024-01-01 00:00:00' AS <NTZ>) AS ingest_date"""

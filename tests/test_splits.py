@@ -104,3 +104,23 @@ def test_first_failed_test_names_the_reason(frame, small_rows):
         (1, None), (2, INVALID_DATE), (3, CORRUPT_VALUE), (4, ORPHAN_KEY), (5, NULL_KEY),
         (None, NULL_KEY),
     ]
+
+
+def test_values_that_no_column_holds_are_rejects(frame):
+    from tallymill.operators.cleaning import clean_sales_numbers
+
+    df = frame(
+        "transaction_id long, customer_id long, product_id long, transaction_date string, quantity double, unit_price double, discount double",
+        (1, 1, 10, "2024-01-01", 3e9, 1.0, 0.0), (2, 1, 10, "2024-01-01", 2.0, 1e17, 0.0), (3, 1, 10, "2024-01-01", 2.0, 5.0, -1e17),
+        (4, 1, 10, "2024-01-01", 2.0, 5.0, None), (5, 1, 10, "2024-01-01", -1e300, None, float("nan")), (6, 1, 10, "2024-01-01", None, 5.0, 0.0),
+    )
+    cleaned = clean_sales_numbers(df, median=5.0)
+    told = {r["transaction_id"]: (r["quantity"], r["misfit_values"]) for r in cleaned.collect()}
+    assert told[1] == (None, "quantity=3000000000.00")
+    assert told[2][1] == "amount=200000000000000000.00;net=200000000000000000.00"
+    assert told[3] == (2, "net=100000000000000016.00")
+    assert told[4] == (2, None) and told[6] == (0, None)
+    assert told[5][0] is None and told[5][1].startswith("quantity=-1.0E300;amount=")
+    clean, rejected = detect_corrupt_sales(cleaned)
+    assert values(clean, "transaction_id") == [(4,)]
+    assert values(rejected, "transaction_id") == [(1,), (2,), (3,), (5,), (6,)]
