@@ -41,19 +41,6 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1
 
 
-def fit_rows(docs: DataFrame, labels: DataFrame, label: str, rows: int) -> list[tuple[str, int]]:
-    """(text, label) of at most `rows` labelled documents of each label outside the held-out fold."""
-    docs = in_small_batches(docs)
-    usable = (
-        labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-        .groupBy("doc_id")
-        .agg(F.max(label).alias("y"))
-    )
-    chosen = [usable.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows) for y in (0, 1)]
-    found = docs.select("doc_id", "text").join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id")
-    return [(r["text"] or "", r["y"]) for r in found.orderBy("doc_id").select("text", "y").collect()]
-
-
 def sentences(text: str) -> list[str]:
     return [s for s in SENTENCE.findall(text) if WORD.search(s)]
 
@@ -88,6 +75,21 @@ class Model:
         return [s.strip() for s in sentences(text or "") if -math.expm1(self.log_clean(marks(s) & self.weights.keys())) >= least]
 
 
+    def judged(self, text: str | None, least: float = 0.5) -> tuple[float, list[str]]:
+        """score and offending, in one pass over the sentences."""
+        parts, found, plain = [], [], -math.expm1(self.log_clean(set())) >= least
+        for s in sentences(text or ""):
+            own = marks(s)
+            if own.isdisjoint(self.weights):
+                offends = plain
+            else:
+                parts.append(self.log_clean(own & self.weights.keys()))
+                offends = -math.expm1(parts[-1]) >= least
+            if offends:
+                found.append(s.strip())
+        return -math.expm1(sum(parts)) if parts else 0.0, found
+
+
 def training(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id and y of all labelled documents outside the held-out fold."""
     usable = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
@@ -143,7 +145,8 @@ def marked(rows: DataFrame, number: dict[str, int]) -> list[tuple[int, list[list
 def learn(docs: DataFrame, labels: DataFrame) -> Model:
     docs = in_small_batches(docs).select("doc_id", "text")
     usable = settle(training(docs, labels), "training")
-    counts = settle(mark_counts(docs.join(usable, "doc_id")), "marks")
+    # The same plan at every size: a labelled text is shuffled once, whether or not the labels are few.
+    counts = settle(mark_counts(docs.join(usable.hint("merge"), "doc_id")), "marks")
     total = counts.where("mark = ''").first()
     if total is None or not total["toxic"] or not total["clean"]:
         return Model({}, -5.0)
@@ -198,19 +201,17 @@ def scorer(model: Model):
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, held_out, score, predicted, and the offending sentences."""
+    """doc_id, held_out (null for a null id), score, predicted, and the offending sentences."""
     model = learn(docs, labels)
 
-    @F.pandas_udf("array<string>")
-    def offending(texts: pd.Series) -> pd.Series:
-        return pd.Series([model.offending(t) for t in texts])
+    @F.pandas_udf("score double, offending array<string>")
+    def judged(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([model.judged(t) for t in texts], columns=["score", "offending"])
 
-    return docs.select(
-        "doc_id",
-        held_out(F.col("doc_id")).alias("held_out"),
-        scorer(model)("text").alias("score"),
-        offending("text").alias("offending"),
-    ).select("doc_id", "held_out", "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "offending")
+    rows = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), judged("text").alias("judged"))
+    return rows.select("doc_id", "held_out", "judged.*").select(
+        "doc_id", "held_out", "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "offending"
+    )
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
