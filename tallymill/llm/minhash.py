@@ -255,6 +255,17 @@ def near_dedup(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def near_dedup_links(docs: DataFrame) -> tuple[DataFrame, Links]:
+    out, links, nodes, texts = _connected(docs)
+    return out, _all_links(links, nodes, texts)
+
+
+def representatives(docs: DataFrame) -> DataFrame:
+    """(doc_id, class_id, component_id, kept) alone, without looking for the links that a component doesn't need."""
+    return _connected(docs)[0]
+
+
+def _connected(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Every document's class and component, the links that connect them, the links' nodes, and the texts."""
     marks = settle(signed(docs), "signatures")
     classes = settle(
         marks.where("key is not null").groupBy("key").agg(F.min(F.struct("doc_id", "bands", "bits")).alias("first")).select(
@@ -303,4 +314,4 @@ def near_dedup_links(docs: DataFrame) -> tuple[DataFrame, Links]:
     out = named.join(groups, "class_id", "left").select(
         "doc_id", "class_id", F.coalesce("component", "class_id").alias("component_id")
     )
-    return out.withColumn("kept", F.col("doc_id") == F.col("component_id")), _all_links(links, nodes, texts)
+    return out.withColumn("kept", F.col("doc_id") == F.col("component_id")), links, nodes, texts

@@ -17,7 +17,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymill.llm.toxicity import fit_rows
+from tallymill.llm.batches import in_small_batches
+from tallymill.llm.toxicity import held_out
 from tallymill.session import settle
 
 #: Labelled rows of each label that the fit may use.
@@ -47,12 +48,14 @@ def surface(text: str | None) -> list[float]:
     ]
 
 
-def fit(rows: list[tuple[str, int]]) -> tuple[list[float], list[float], list[float]]:
-    """Mean, scale and weights; balanced logistic regression by Newton's method with a small ridge."""
-    x = np.array([surface(t) for t, _ in rows]).reshape(len(rows), -1)
+def fit(rows: list[tuple[list[float], int]]) -> tuple[list[float], list[float], list[float]]:
+    """Mean, scale and weights; balanced logistic regression by Newton's method with a small ridge. Without rows of both
+    labels the model is neutral: every text is as good as another, and kept."""
+    width = len(surface(""))
+    x = np.array([features for features, _ in rows]).reshape(-1, width)
     y = np.array([label for _, label in rows], dtype=float)
     if len(set(y.tolist())) < 2:
-        return [0.0] * len(surface("")), [1.0] * len(surface("")), [3.0] + [0.0] * (len(surface("")) - 1)
+        return [0.0] * width, [1.0] * width, [3.0] + [0.0] * (width - 1)
     mean, scale = x.mean(0), x.std(0) + 1e-9
     mean[0], scale[0] = 0, 1
     x = np.clip((x - mean) / scale, -6, 6)
@@ -64,12 +67,32 @@ def fit(rows: list[tuple[str, int]]) -> tuple[list[float], list[float], list[flo
     return mean.tolist(), scale.tolist(), w.tolist()
 
 
+def fit_rows(docs: DataFrame, labels: DataFrame, label: str, rows: int) -> list[tuple[list[float], int]]:
+    """(surface, label) of at most `rows` labelled documents of each label outside the held-out fold. Texts are measured in
+    the tasks; only numbers come to the driver."""
+    usable = (
+        labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+        .groupBy("doc_id")
+        .agg(F.max(label).alias("y"))
+    )
+    chosen = [usable.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows) for y in (0, 1)]
+
+    @F.pandas_udf("array<double>")
+    def measured(texts: pd.Series) -> pd.Series:
+        return pd.Series([surface(t) for t in texts])
+
+    # At most two times `rows` ids.
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id")
+    numbers = found.select("doc_id", "y", measured("text").alias("x")).orderBy("doc_id", "x")
+    return [(r["x"], r["y"]) for r in numbers.collect()]
+
+
 def evidence(model):
     mean, scale, weights = map(np.array, model)
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
-        x = np.array([surface(t) for t in texts]).reshape(len(texts), -1)
+        x = np.array([surface(t) for t in texts]).reshape(len(texts), len(mean))
         z = np.clip((x - mean) / scale, -6, 6) @ weights
         return pd.Series(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
@@ -114,9 +137,10 @@ def site_posteriors(scored: DataFrame) -> tuple[DataFrame, float]:
 
 def quality(docs: DataFrame, labels: DataFrame, host="source", path="lang") -> DataFrame:
     """All columns of docs, with evidence, both posteriors, score and kept."""
+    docs = in_small_batches(docs)
     score = evidence(fit(fit_rows(docs, labels, "quality", FIT_ROWS)))
     scored = docs.select(
-        F.struct(*docs.columns).alias("row"), F.col(host).alias("host"), F.col(path).alias("path"), score("text").alias("evidence")
+        F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]).alias("row"), F.col(host).alias("host"), F.col(path).alias("path"), score("text").alias("evidence")
     )
     sites, prior = site_posteriors(settle(scored.select("host", "path", "evidence"), "evidence"))
     sites = sites.select(F.col("host").alias("h"), F.col("path").alias("p"), "host_posterior", "path_posterior")
