@@ -1,4 +1,9 @@
-"""The corpus pipeline: documents without toxic, poor and repeated texts, packed into sequences."""
+"""The corpus pipeline: documents without toxic, poor and repeated texts, packed into sequences.
+
+Without usable labels the first two stages keep every document. Null and empty texts are judged as texts without words. Long
+texts are taken whole. Rows that repeat are judged row by row until the near copies, of which one row stays. Other columns,
+whatever their names, pass through to the packing, which returns pieces. An empty table gives an empty result.
+"""
 
 from __future__ import annotations
 
@@ -22,9 +27,16 @@ def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of rows that share a doc_id, all stay or go together."""
-    dropped = minhash.near_dedup(docs)[0].where(~F.col("kept")).select("doc_id")
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    """Of each group of copies and near copies one row stays, whatever the rows' ids: ids may be null or repeated, and rows
+    that share one are judged by their texts. Rows without a text are copies of nothing, empty texts are of each other."""
+    number = "row"
+    while number in docs.columns:
+        number += "_"
+    # Written, so that a row keeps its number.
+    rows = settle(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    judged = minhash.representatives(rows.select(F.col(number).alias("doc_id"), "text"))
+    kept = judged.where("kept").select(F.col("doc_id").alias(number))
+    return rows.join(kept, number, "left_semi").drop(number)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
