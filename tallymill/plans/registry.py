@@ -314,14 +314,14 @@ def _streamed_staging(spark, d) -> DataFrame:
         key, text, other, amount = shown[table]
         found = read_staging(spark, staging, table)
         # A go is the rank of its stamp among the table's two.
-        first = found.agg(F.min("ingest_date").alias("first_stamp"))
-        return found.join(first, F.col("ingest_date") >= F.col("first_stamp")).select(
+        first = F.lit(found.agg(F.min("ingest_date").cast("string")).first()[0]).cast("timestamp_ntz")
+        return found.select(
             F.lit(table).alias("table_name"),
             F.col(key).alias("row_key"),
             F.col(text).alias("text"),
             (F.col(other) if isinstance(other, str) else other).alias("other"),
             amount.alias("amount"),
-            F.when(F.col("ingest_date") == F.col("first_stamp"), 1).otherwise(2).alias("go"),
+            F.when(F.col("ingest_date") == first, 1).otherwise(2).alias("go"),
         )
 
     return reduce(DataFrame.unionByName, [rows(table) for table in shown])
