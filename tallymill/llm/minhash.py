@@ -6,7 +6,8 @@ the shingle's weight, and each signature component keeps its earliest point. Two
 probability equal to the weighted Jaccard similarity. Points come in ascending order and stop at the signature's maximum.
 
 Equal texts form classes first. Band collisions are checked exactly: each bucket's members against its first one, then
-those that are still in different components against each other, if a one-bit sketch allows it. That gives the components;
+the members of buckets that still hold several components, block against block, each pair in the first bucket it shares;
+a one-bit sketch spares the pairs that are far from alike. Only links leave a block's task. That gives the components;
 links are all pairs of class representatives of similarity 0.8 or more, and none leads out of a component, so each
 component's texts are compared pairwise, block by block. Null texts link with nothing; empty texts are copies of each other.
 """
@@ -33,7 +34,7 @@ BANDS, ROWS = 36, 7
 SIZE = BANDS * ROWS
 #: Differing bits out of SIZE that a pair of similarity 0.8 exceeds with probability under 0.00001.
 MOST_BITS = 46
-#: Texts of a component that one task compares with as many others.
+#: Texts of a component or bucket that one task compares with as many others.
 BLOCK = 128
 MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
@@ -144,7 +145,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
 
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-    both = pairs.join(right, "b").join(left, "a")
+    both = settle(pairs, f"{name}-pairs").join(right, "b").join(left, "a")
     return settle(both.select("a", "b", exact("text_a", "text_b").alias("similarity")).where(f"similarity >= {SIMILARITY}"), name)
 
 
@@ -226,26 +227,81 @@ class Links:
         return two.unionByName(found).groupBy("class_id").agg(F.sum("n").alias("n"))
 
 
+def _in_blocks(rows: DataFrame, n: str) -> DataFrame:
+    """Rows with their block of a group of n, once for each pair of blocks (low, high) that theirs is in."""
+    blocks = F.ceil(F.col(n) / BLOCK).cast("int")
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id"), blocks).cast("int"))
+    other = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    return other.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")}).drop("other", n)
+
+
 def _all_links(links: DataFrame, groups: DataFrame, texts: DataFrame) -> Links:
     """From the links that connect the components and the components of their nodes."""
     sizes = settle(groups.groupBy("component").agg(F.count("*").alias("n")), "sizes")
     named = links.join(groups.select(F.col("node").alias("a"), "component"), "a")
     of_two = named.join(sizes.where("n = 2"), "component").select("a", "b", "similarity")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    rows = groups.join(sizes.where("n > 2"), "component").select(
-        F.col("node").alias("doc_id"),
-        "component",
-        blocks.alias("blocks"),
-        F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block"),
-    )
-    rows = settle(rows.join(texts, "doc_id"), "blocks")
-    other = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return Links(
-        of_two,
-        other.select(
-            "component", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "doc_id", "text"
-        ),
+    rows = groups.join(sizes.where("n > 2"), "component").select(F.col("node").alias("doc_id"), "component", "n")
+    return Links(of_two, _in_blocks(settle(rows.join(texts, "doc_id"), "blocks"), "n"))
+
+
+UNIT = ["bucket", "low", "high"]
+
+
+def _open_links(group: pd.DataFrame) -> pd.DataFrame:
+    """The links between different components in a bucket's block with itself or with another one."""
+    bucket, low, high = (group[c].iat[0] for c in UNIT)
+    left, right = (np.flatnonzero(group["block"].to_numpy() == k) for k in (low, high))
+    ids, component = group["doc_id"].to_numpy(), group["component"].to_numpy()
+    bits, bands = (np.stack(group[c].to_list()).astype(np.int64) for c in ("bits", "bands"))
+    open_ = component[left][:, None] != component[right]
+    if low == high:
+        open_ &= ids[left][:, None] < ids[right]
+    open_ &= sum(np.bitwise_count(bits[left, k][:, None] ^ bits[right, k]).astype(int) for k in range(bits.shape[1])) <= MOST_BITS
+    x, y = np.nonzero(open_)
+    same = bands[left[x]] == bands[right[y]]
+    here = bands[left[x], same.argmax(axis=1)] == bucket
+    x, y = left[x[here]], right[y[here]]
+    used, place = np.unique(np.concatenate([x, y]), return_inverse=True)
+    if not len(used):
+        return pd.DataFrame({"a": ids[x], "b": ids[y], "similarity": np.empty(0)})
+    x, y = np.split(place, 2)
+    texts = group["text"].to_numpy()[used].tolist()
+    u, v, near = near_pairs(texts, np.unique(x), np.unique(y))
+    found = np.isin(u * len(used) + v, x * len(used) + y)
+    u, v, near, ids = u[found], v[found], near[found], ids[used]
+    return pd.DataFrame({"a": np.minimum(ids[u], ids[v]), "b": np.maximum(ids[u], ids[v]), "similarity": near})
+
+
+def _units(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Whole pairs of blocks, which follow each other in the batches; the last one of a batch may go on in the next."""
+    held = None
+    for batch in batches:
+        rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
+        keys = rows[UNIT].to_numpy()
+        edges = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist()]
+        for a, b in zip(edges, edges[1:], strict=False):
+            yield rows.iloc[a:b]
+        held = rows.iloc[edges[-1] :]
+    if held is not None and len(held):
+        yield held
+
+
+def _linked_in_buckets(members: DataFrame, links: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links between members of a bucket that the given links leave in different components."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield from map(_open_links, _units(batches))
+
+    placed = components(links).withColumnRenamed("node", "doc_id")
+    placed = members.join(placed, "doc_id", "left").select("bucket", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+    mixed = placed.groupBy("bucket").agg(
+        F.min("component").alias("first"), F.max("component").alias("last"), F.count("*").alias("n")
     )
+    mixed = settle(mixed.where("first < last").select("bucket", "n"), "open")
+    rows = settle(placed.join(mixed, "bucket"), "rest")
+    rows = rows.join(classes.select("doc_id", "bits", "bands"), "doc_id").join(texts, "doc_id")
+    units = in_small_batches(_in_blocks(settle(rows, "rest-texts"), "n")).repartition(*UNIT).sortWithinPartitions(*UNIT)
+    return settle(units.mapInPandas(run, "a long, b long, similarity double"), "rest-links")
 
 
 def near_dedup(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -273,39 +329,22 @@ def _connected(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFr
         ),
         "classes",
     )
-    texts = docs.where("text is not null").groupBy("doc_id").agg(F.min("text").alias("text"))
     rows = classes.where("bands is not null").select("doc_id", F.explode("bands").alias("bucket"))
     shared = settle(
         rows.groupBy("bucket").agg(F.min("doc_id").alias("a"), F.count("*").alias("n")).where("n > 1").select("bucket", "a"),
         "buckets",
     )
     members = settle(rows.join(shared, "bucket"), "members")
-    star = members.select("a", F.col("doc_id").alias("b")).where("a < b").distinct()
-    links = _verified(star, texts, "star")
-    # What a bucket still holds in different components is compared directly.
-    placed = components(links)
-    left = (
-        members.join(placed.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-        .select("bucket", "a", "doc_id", F.coalesce("component", "doc_id").alias("component"))
-    )
-    mixed_buckets = (
-        left.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    )
-    open_rows = settle(
-        left.join(settle(mixed_buckets.select("bucket"), "open"), "bucket").join(classes.select("doc_id", "bits"), "doc_id"), "rest"
-    )
-    other = open_rows.select(
-        "bucket", F.col("a").alias("a2"), F.col("doc_id").alias("b"), F.col("component").alias("cb"), F.col("bits").alias("bits_b")
-    )
-    differ = sum((F.bit_count(F.col("bits")[k].bitwiseXOR(F.col("bits_b")[k])) for k in range(4)), F.lit(0))
-    cross = (
-        open_rows.join(other, "bucket")
-        .where((F.col("doc_id") < F.col("b")) & (F.col("component") != F.col("cb")) & (F.col("doc_id") != F.col("a")))
-        .where(differ <= MOST_BITS)
-        .select(F.col("doc_id").alias("a"), "b")
-        .distinct()
-    )
-    links = settle(links.unionByName(_verified(cross, texts, "cross")), "all_links")
+    wanted = settle(members.select("doc_id").distinct(), "wanted")
+    texts = docs.where("text is not null").join(wanted, "doc_id", "left_semi")
+    texts = settle(texts.groupBy("doc_id").agg(F.min("text").alias("text")), "texts")
+    star = settle(members.select("a", F.col("doc_id").alias("b")).where("a < b").distinct(), "stars")
+    sketches = [classes.select(F.col("doc_id").alias(k), F.col("bits").alias(f"bits_{k}")) for k in ("a", "b")]
+    differ = sum((F.bit_count(F.col("bits_a")[k].bitwiseXOR(F.col("bits_b")[k])) for k in range(4)), F.lit(0))
+    near = star.join(sketches[0], "a").join(sketches[1], "b").where(differ <= MOST_BITS).select("a", "b")
+    links = _verified(near, texts, "star")
+    rest = _linked_in_buckets(members, links, classes, texts)
+    links = settle(links.unionByName(rest), "all_links")
     nodes = components(links)
     groups = nodes.select(F.col("node").alias("class_id"), "component")
     named = marks.join(classes.select("key", F.col("doc_id").alias("class_id")), "key", "left").select(

@@ -7,6 +7,7 @@ from collections import Counter
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pytest
 import zstandard
 
@@ -198,7 +199,7 @@ def test_near_dedup_equals_brute_force(docs, none):
         for a, b in combinations([k for k, t in enumerate(TEXTS) if t], 2)
         if TEXTS[a] != TEXTS[b] and minhash.similarity(TEXTS[a], TEXTS[b]) >= 0.8 and a != 4 and b != 4
     }
-    assert {(r["a"], r["b"]) for r in links.collect()} <= want
+    assert {(r["a"], r["b"]) for r in links.collect()} == want
     assert rows[0]["kept"] and rows[0]["component_id"] == 0
     assert [rows[k]["component_id"] for k in (1, 2, 3, 4, 5, 6)] == [1, 1, 3, 3, 3, 3]
     assert minhash.near_dedup(none)[0].count() == 0
@@ -222,6 +223,37 @@ def test_near_dedup_finds_every_link(spark, monkeypatch):
     assert {r["class_id"]: r["n"] for r in found} == dict(ends)
 
 
+def test_near_dedup_of_a_bucket_of_many_components(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK", 8)
+    rng = np.random.default_rng(3)
+    texts = []
+    for _ in range(30):
+        words = [f"word{k}" for k in range(300)]
+        # Texts without a common spot are alike by 0.76, those with two by 0.82.
+        for k in rng.choice(60, 4, replace=False):
+            words[5 * k] = f"odd{rng.integers(8)}"
+        texts.append(" ".join(words))
+    texts += texts[:20]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out, links = minhash.near_dedup(docs)
+    near = {(a, b): minhash.similarity(texts[a], texts[b]) for a, b in combinations(range(30), 2)}
+    want = {pair: s for pair, s in near.items() if s >= 0.8}
+    found = {(r["a"], r["b"]): r["similarity"] for r in links.collect()}
+    assert found == want and len(want) > 10
+    parent = list(range(30))
+    for a, b in sorted(want):
+        low, high = sorted((parent[a], parent[b]))
+        parent = [low if p == high else p for p in parent]
+    assert {r["doc_id"]: r["component_id"] for r in out.collect()} == {k: parent[k % 30] for k in range(50)}
+    assert 2 < len(set(parent)) < 28
+
+
+def test_units_go_on_in_the_next_batch():
+    rows = pd.DataFrame({"bucket": [1, 1, 1, 2, 2, 3], "low": 0, "high": [0, 0, 1, 0, 0, 0], "doc_id": range(6)})
+    units = minhash._units(iter([rows[:2], rows[2:4], rows[4:4], rows[4:]]))
+    assert [u["doc_id"].tolist() for u in units] == [[0, 1], [2], [3, 4], [5]]
+
+
 def test_signatures_estimate_weighted_jaccard():
     a = (np.arange(300, dtype=np.uint64), np.full(300, 3))
     b = (np.arange(100, 400, dtype=np.uint64), np.full(300, 5))
