@@ -28,6 +28,8 @@ logger = logging.getLogger(__name__)
 MISFIT_VALUES = "misfit_values"
 # Amounts are DECIMAL(18,2).
 AMOUNT_LIMIT = 1e16
+# Earliest signups up to this many rows are joined with all sales.
+SMALL_SIGNUPS = 500_000
 
 
 def normalize_blank_strings(df: DataFrame) -> DataFrame:
@@ -215,10 +217,13 @@ def impute_transaction_dates(
     customers: DataFrame,
     date_col: str = "transaction_date",
     as_of: date | None = None,
+    small_rows: int = SMALL_SIGNUPS,
 ) -> DataFrame:
     """Missing or unreadable date: the customer's earliest signup, else ``as_of`` (today, UTC).
 
-    Only rows without a date are joined; the others stay where they are. The sales are read twice.
+    Up to ``small_rows`` customers are joined with all sales, which are read once and stay where
+    they are, as the planner broadcasts so few. Beyond that only rows without a date are joined:
+    the sales are read twice, but those with a date are not shuffled.
     """
     earliest = settle(
         customers.select("customer_id", _as_day(customers, "signup_date").alias("first_signup"))
@@ -229,6 +234,9 @@ def impute_transaction_dates(
     )
     fallback = F.lit(as_of) if as_of else utc_today()
     days = sales.withColumn(date_col, _as_day(sales, date_col))
+    if earliest.count() <= small_rows:
+        day = F.coalesce(date_col, "first_signup", fallback)
+        return days.join(earliest, "customer_id", "left").withColumn(date_col, day).select(*sales.columns)
     imputed = (
         days.where(F.col(date_col).isNull())
         .join(earliest, "customer_id", "left")

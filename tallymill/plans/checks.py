@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tallymill.functions.dates import looks_like_iso_date, parse_day
+from tallymill.functions.dates import PLAIN_FORMATS, day_format, looks_like_iso_date, parse_day
 from tallymill.functions.numbers import money
 from tallymill.functions.text import blank_to_null
 from tallymill.operators.cleaning import schema_findings
@@ -238,6 +240,14 @@ def date_issue_profile(sales: DataFrame, date_col: str = "transaction_date") ->
     )
 
 
+def date_format_profile(
+    df: DataFrame, date_col: str = "transaction_date", formats: Sequence[str] = PLAIN_FORMATS
+) -> DataFrame:
+    """How many dates were delivered in each format; those that none reads are ``unread``."""
+    name = F.coalesce(day_format(F.col(date_col), formats), F.lit("unread"))
+    return df.groupBy(name.alias("date_format")).agg(F.count("*").alias("dates"))
+
+
 def sample_rows(df: DataFrame, n: int = 5) -> DataFrame:
     return df.limit(n)
 

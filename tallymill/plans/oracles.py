@@ -6,6 +6,14 @@ from tallymill.functions.text import STOP_NAMES
 from tallymill.sources.testviews import FIRST_DAY_DIGITS, VIEWS, sql_view
 
 
+def _read(column: str) -> str:
+    """The date of a delivered text."""
+    return (
+        f"CAST(try_strptime({column}, ['%Y-%m-%d', '%Y-%m-%d %H:%M:%S', '%Y-%m-%dT%H:%M:%S',"
+        " '%Y%m%d']) AS DATE)"
+    )
+
+
 def _blank(column: str) -> str:
     return rf"CASE WHEN NOT regexp_matches({column}, '^\s*$') THEN {column} END AS {column}"
 
@@ -65,11 +73,11 @@ SELECT product_id, product_name, category, brand,
   coalesce(nullif(abs(unit_price), 0),
     (SELECT median(nullif(abs(unit_price), 0)) FROM products_norm)) AS unit_price,
   ingest_date FROM products_norm""",
-    "customers_ranked": """
+    "customers_ranked": f"""
 SELECT * REPLACE (CAST(day AS VARCHAR) AS signup_date), row_number() OVER (
   PARTITION BY customer_id ORDER BY day DESC NULLS LAST, customer_name DESC NULLS LAST,
   email DESC NULLS LAST, city DESC NULLS LAST, state DESC NULLS LAST) AS rn
-FROM (SELECT *, CAST(try_strptime(signup_date, '%Y-%m-%d') AS DATE) AS day FROM customers_norm)""",
+FROM (SELECT *, {_read('signup_date')} AS day FROM customers_norm)""",
     "products_named": f"""
 SELECT *, coalesce(length(lower(product_name)) >= 4 AND lower(product_name) NOT IN ({_STOP})
   AND NOT regexp_matches(product_name, '^[0-9]+$'), false) AS is_valid_name
@@ -83,8 +91,8 @@ SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY is_valid_name DESC
 FROM products_named""",
     "customers_clean": "SELECT * FROM customers_ranked WHERE rn = 1",
     "products_clean": "SELECT * FROM products_ranked WHERE rn = 1 AND is_valid_name",
-    "sales_dated": """
-SELECT * REPLACE (CAST(try_strptime(transaction_date, '%Y-%m-%d') AS DATE) AS transaction_date),
+    "sales_dated": f"""
+SELECT * REPLACE ({_read('transaction_date')} AS transaction_date),
   transaction_date AS raw_transaction_date FROM sales_num""",
     "sales_classified": """
 SELECT *, CASE WHEN transaction_date IS NULL THEN 'INVALID_DATE'
@@ -336,19 +344,24 @@ SELECT CASE reject_reason WHEN 'INVALID_DATE' THEN 1 WHEN 'CORRUPT_VALUE' THEN 2
     AS batch_idx, {_SALES}, {_DAY}, quantity, unit_price, discount, raw_transaction_date,
   reject_reason, coalesce(raw_transaction_date = 'NaT', false) AS is_nat_text
 FROM sales_classified WHERE reject_reason IS NOT NULL"""),
-    "date_issue_profile": _chain(r"""
+    "date_issue_profile": _chain(rf"""
 SELECT count(*) AS total_records,
-  count(*) FILTER (try_strptime(d, '%Y-%m-%d') IS NULL) AS bad_dates,
-  count(*) FILTER (try_strptime(d, '%Y-%m-%d') IS NOT NULL) AS good_dates,
+  count(*) FILTER ({_read('d')} IS NULL) AS bad_dates,
+  count(*) FILTER ({_read('d')} IS NOT NULL) AS good_dates,
   count(*) FILTER (d IS NULL) AS null_dates,
   count(*) FILTER (regexp_matches(d, '^\s*$')) AS empty_dates,
-  count(*) FILTER (try_strptime(d, '%Y-%m-%d') IS NULL AND NOT regexp_matches(d, '^\s*$'))
+  count(*) FILTER ({_read('d')} IS NULL AND NOT regexp_matches(d, '^\s*$'))
     AS invalid_dates
 FROM (SELECT transaction_date AS d FROM sales_transactions_stage)"""),
-    "date_issue_sample": _chain("""
+    "date_issue_sample": _chain(f"""
 SELECT transaction_id, transaction_date, 'INVALID_DATE' AS date_issue_reason
-FROM sales_transactions_stage WHERE try_strptime(transaction_date, '%Y-%m-%d') IS NULL
+FROM sales_transactions_stage WHERE {_read('transaction_date')} IS NULL
 ORDER BY transaction_id NULLS LAST, transaction_date NULLS LAST LIMIT 5"""),
+    "date_format_profile": _chain(f"""
+SELECT CASE WHEN {_read('transaction_date')} IS NULL THEN 'unread'
+  WHEN length(transaction_date) = 8 THEN 'compact' WHEN length(transaction_date) > 10 THEN 'timed'
+  ELSE 'day' END AS date_format, count(*) AS dates
+FROM sales_transactions_stage GROUP BY 1"""),
     "schema_report": _chain(
         " UNION ALL ".join(
             [
@@ -395,11 +408,11 @@ ORDER BY transaction_id NULLS LAST, transaction_date NULLS LAST LIMIT 5"""),
 SELECT CAST(customer_id AS INTEGER) AS customer_id, customer_name,
   CAST(try_cast(signup_date AS TIMESTAMP) AS VARCHAR) AS signup_date FROM customers_norm"""),
     "imputed_transaction_dates": _chain(f"""
-SELECT {_SALES}, CAST(coalesce(CAST(try_strptime(transaction_date, '%Y-%m-%d') AS DATE),
+SELECT {_SALES}, CAST(coalesce({_read('transaction_date')},
     first_signup, DATE '2024-01-01') AS VARCHAR) AS transaction_date,
   quantity, unit_price, discount, {_INGEST}
 FROM sales_norm LEFT JOIN (
-  SELECT customer_id, min(CAST(try_strptime(signup_date, '%Y-%m-%d') AS DATE)) AS first_signup
+  SELECT customer_id, min({_read('signup_date')}) AS first_signup
   FROM customers_norm GROUP BY customer_id) USING (customer_id)"""),
     # splits
     "customers_dedup_clean": _chain(

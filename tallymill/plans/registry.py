@@ -508,6 +508,7 @@ QUERIES: dict[str, Query] = {
     "rejected_union": _rejected_union,
     "date_issue_profile": _on_view("sales_transactions_stage", checks.date_issue_profile),
     "date_issue_sample": _date_issue_sample,
+    "date_format_profile": _on_view("sales_transactions_stage", checks.date_format_profile),
     "schema_report": _schema_report,
     # cleaning
     "normalized_customers": _on_view("customers_stage", normalize_blank_strings),

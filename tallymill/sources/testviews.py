@@ -72,6 +72,10 @@ SELECT
   CASE WHEN l_orderkey % 12 = 0 THEN o_custkey + 1000000 ELSE o_custkey END AS customer_id,
   CASE WHEN l_orderkey % 14 = 0 THEN l_partkey + 1000000 ELSE l_partkey END AS product_id,
   CASE WHEN l_orderkey % 20 = 3 THEN '2023-99-99' WHEN l_orderkey % 20 = 4 THEN NULL
+       WHEN l_orderkey % 40 = 5 THEN '  ' WHEN l_orderkey % 40 = 6 THEN concat(CAST(CAST(o_orderdate AS DATE) AS <TEXT>), ' 23:45:00')
+       WHEN l_orderkey % 40 = 7 THEN concat(CAST(CAST(o_orderdate AS DATE) AS <TEXT>), 'T00:00:01')
+       WHEN l_orderkey % 40 = 25 THEN concat(CAST(CAST(o_orderdate AS DATE) AS <TEXT>), ' 25:00:00')
+       WHEN l_orderkey % 40 = 27 THEN replace(CAST(CAST(o_orderdate AS DATE) AS <TEXT>), '-', '')
        ELSE CAST(CAST(o_orderdate AS DATE) AS <TEXT>) END AS transaction_date,
   CASE WHEN l_orderkey % 997 = 5 THEN 3.0e9 WHEN (l_orderkey + l_linenumber) % 30 = 0 THEN NULL
        WHEN (l_orderkey + l_linenumber) % 30 = 1 THEN -3.0e0

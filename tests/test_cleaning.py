@@ -121,8 +121,10 @@ def test_impute_dates(frame):
         "customer_id int, signup_date string",
         (1, "2020-02-02"), (1, "2019-01-01"), (2, "nope"), (None, "2001-01-01"),
     )
-    got = impute_transaction_dates(sales, customers, as_of=date(2024, 1, 1))
-    assert values(got, "transaction_id", "transaction_date") == [
-        (1, date(2024, 5, 5)), (2, date(2019, 1, 1)), (3, date(2024, 1, 1)),
-        (4, date(2024, 1, 1)), (5, date(2024, 1, 1)),
-    ]
+    for small_rows in (0, 100):
+        got = impute_transaction_dates(sales, customers, as_of=date(2024, 1, 1), small_rows=small_rows)
+        assert got.columns == sales.columns
+        assert values(got, "transaction_id", "transaction_date") == [
+            (1, date(2024, 5, 5)), (2, date(2019, 1, 1)), (3, date(2024, 1, 1)),
+            (4, date(2024, 1, 1)), (5, date(2024, 1, 1)),
+        ]

@@ -3,7 +3,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from tallymill.functions.dates import date_key, looks_like_iso_date, parse_day, weekday_name
+from tallymill.functions.dates import date_key, day_format, looks_like_iso_date, parse_day, weekday_name
 from tallymill.functions.numbers import money, nan_to_null, round_cents
 from tallymill.functions.text import STOP_NAMES, blank_to_null, is_valid_product_name, strip
 from tests.conftest import values
@@ -61,6 +61,25 @@ def test_parse_day_is_strict_and_lenient(frame):
     assert got == [date(2023, 2, 28), *[None] * 9, date(2024, 2, 29), None]
 
 
+def test_parse_day_takes_times_and_compact_days(frame):
+    texts = ["2023-02-28 23:59:59", "2023-02-28T00:00", "2023-02-28 10:00:00.123456", "20230228",
+             "2023-02-28 24:30:00", "2023-02-28 junk", "2023-02-28 ", "20230231", "202302", "02/03/2023"]
+    day = date(2023, 2, 28)
+    assert one(frame, "string", parse_day, *texts) == [day] * 4 + [None] * 6
+    assert one(frame, "string", day_format, *texts) == ["timed"] * 3 + ["compact"] + [None] * 6
+
+
+def test_slashed_days_are_read_in_the_order_asked_for(frame):
+    texts = ["02/03/2023", "13/03/2023", "2023-03-02", "1/3/2023", None]
+
+    def by(*formats):
+        return one(frame, "string", lambda t: parse_day(t, formats), *texts)
+
+    assert by("day_first") == [date(2023, 3, 2), date(2023, 3, 13), None, None, None]
+    assert by("month_first") == [date(2023, 2, 3), None, None, None, None]
+    assert by("day", "month_first", "day_first")[:3] == [date(2023, 2, 3), date(2023, 3, 13), date(2023, 3, 2)]
+
+
 def test_date_shape_is_looser_than_parsing(frame):
     texts = ["2023-02-31", "2023-13-01", "2023-02-32", "2023-2-3"]
     assert one(frame, "string", looks_like_iso_date, *texts) == [True, False, False, False]

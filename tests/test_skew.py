@@ -85,9 +85,10 @@ def test_many_known_keys_spare_the_shuffle_of_the_sales(spark, sales):
 def test_imputed_dates(spark, sales):
     customers = sales.select("customer_id", F.lit("2020-01-01").alias("signup_date"))
     with small_thresholds(spark):
-        imputed = impute_transaction_dates(sales, customers)
-        assert "skew=true" in executed(imputed)
-        assert imputed.count() == ROWS
+        for small_rows in (0, ROWS):
+            imputed = impute_transaction_dates(sales, customers, small_rows=small_rows)
+            assert "skew=true" in executed(imputed)
+            assert imputed.count() == ROWS
 
 
 def test_listing_duplicates(spark, sales):
