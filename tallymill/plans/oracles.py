@@ -399,7 +399,10 @@ FROM sales_transactions_stage GROUP BY 1"""),
     ),
     "normalized_products": _chain(f"SELECT {_PRODUCT}, {_INGEST} FROM products_norm"),
     "normalized_sales": _chain(f"SELECT {_STAGED_SALES} FROM sales_norm"),
-    "clean_sales_numbers": _chain(f"SELECT {_STAGED_SALES}, misfit_values FROM sales_num"),
+    "clean_sales_numbers": _with(
+        {**CHAIN, "sales_norm": "SELECT * FROM sales_transactions_stage"},
+        f"SELECT {_STAGED_SALES}, misfit_values FROM sales_num",
+    ),
     "clean_product_prices": _with(
         {**CHAIN, "products_norm": "SELECT * FROM products_stage"},
         f"SELECT {_PRODUCT}, {_INGEST} FROM products_num",
