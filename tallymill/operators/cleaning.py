@@ -26,6 +26,8 @@ from tallymill.session import settle
 logger = logging.getLogger(__name__)
 
 MISFIT_VALUES = "misfit_values"
+# Helper columns, dropped again.
+_PIECES, _WHOLE, _AMOUNT, _NET = "_pieces", "_whole_pieces", "_amount", "_net"
 # Amounts are DECIMAL(18,2).
 AMOUNT_LIMIT = 1e16
 # Earliest signups up to this many rows are joined with all sales.
@@ -68,18 +70,21 @@ def clean_sales_numbers(
     # Zero takes the median too; the median itself may be zero or negative and is kept as is.
     price = F.coalesce(_absolute_price(price_col), F.lit(median).cast("double"))
     off = nan_to_null(F.col("discount").cast("double")) if "discount" in df.columns else F.lit(0.0)
-    amount = pieces * price
-    net = amount - F.coalesce(off, F.lit(0.0))
-    quantity = pieces.try_cast("int")
+    # Step by step, so that each value is worked out once and the texts only where one is a misfit.
+    steps = (
+        df.withColumns({_PIECES: pieces, price_col: price})
+        .withColumn(_AMOUNT, F.col(_PIECES) * F.col(price_col))
+        .withColumns({_NET: F.col(_AMOUNT) - F.coalesce(off, F.lit(0.0)), _WHOLE: F.col(_PIECES).try_cast("int")})
+    )
+    no_int, big, big_net = F.col(_WHOLE).isNull(), F.col(_AMOUNT) >= AMOUNT_LIMIT, F.abs(_NET) >= AMOUNT_LIMIT
     misfits = F.concat_ws(
         ";",
-        F.when(quantity.isNull(), _told(quantity_col, F.col(quantity_col))),
-        F.when(amount >= AMOUNT_LIMIT, _told("amount", amount)),
-        F.when(F.abs(net) >= AMOUNT_LIMIT, _told("net", net)),
-    )
-    return df.withColumns(
-        {quantity_col: quantity, price_col: price, MISFIT_VALUES: F.when(misfits != "", misfits)}
+        F.when(no_int, _told(quantity_col, F.col(quantity_col))),
+        F.when(big, _told("amount", F.col(_AMOUNT))),
+        F.when(big_net, _told("net", F.col(_NET))),
     )
+    cleaned = {quantity_col: F.col(_WHOLE), MISFIT_VALUES: F.when(no_int | big | big_net, misfits)}
+    return steps.withColumns(cleaned).drop(_PIECES, _AMOUNT, _NET, _WHOLE)
 
 
 def _told(name: str, value: Column) -> Column:
@@ -223,7 +228,7 @@ def impute_transaction_dates(
 
     Up to ``small_rows`` customers are joined with all sales, which are read once and stay where
     they are, as the planner broadcasts so few. Beyond that only rows without a date are joined:
-    the sales are read twice, but those with a date are not shuffled.
+    the sales are worked out and written once, and those with a date are not shuffled.
     """
     earliest = settle(
         customers.select("customer_id", _as_day(customers, "signup_date").alias("first_signup"))
@@ -237,6 +242,7 @@ def impute_transaction_dates(
     if earliest.count() <= small_rows:
         day = F.coalesce(date_col, "first_signup", fallback)
         return days.join(earliest, "customer_id", "left").withColumn(date_col, day).select(*sales.columns)
+    days = settle(days, "sales-days")
     imputed = (
         days.where(F.col(date_col).isNull())
         .join(earliest, "customer_id", "left")

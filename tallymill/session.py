@@ -22,6 +22,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # HotSpot never compiles a method above 8,000 bytes; steps that would need one are not fused.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
