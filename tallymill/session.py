@@ -24,6 +24,9 @@ RUNTIME_SETTINGS = {
     "spark.sql.parquet.filterPushdown": "true",
     # HotSpot never compiles a method above 8,000 bytes; steps that would need one are not fused.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # A task writes up to so many partition folders side by side; more are sorted first, which takes
+    # memory by the task's rows.
+    "spark.sql.maxConcurrentOutputFileWriters": "16",
 }
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
