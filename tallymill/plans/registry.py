@@ -54,7 +54,7 @@ from tallymill.plans.batch import (
 )
 from tallymill.plans.star import Star
 from tallymill.schemas import AUDIT, FEEDS, WAREHOUSE
-from tallymill.session import apply_settings, in_parallel, new_work_path
+from tallymill.session import apply_settings, in_parallel, new_work_path, settle
 from tallymill.sinks.audit import PIPELINE_NAME, SUCCESS, upsert
 from tallymill.sinks.quarantine import STAGE_OF_FEED, quality_counts, write_rejects
 from tallymill.sinks.staging import STAGED, publish_batch
@@ -114,13 +114,19 @@ def _products(spark, d):
     return clean_products(_staged(spark, d, "products_stage"))
 
 
+def _written_sales(spark, d):
+    """Staged sales as a written table, as staging is: for steps that read them more than once."""
+    return settle(_staged(spark, d, "sales_transactions_stage"), "sales-staged")
+
+
 def _prepared_sales(spark, d):
-    return prepare_sales(_staged(spark, d, "sales_transactions_stage"))
+    return prepare_sales(_written_sales(spark, d))
 
 
 def _cleaned(spark, d) -> Cleaned:
     """All three feeds cleaned, the sales classified and written once."""
-    return clean_batch(Batch(*[_staged(spark, d, table) for table in KEY_OF_FEED]))
+    customers, products = (_staged(spark, d, t) for t in ("customers_stage", "products_stage"))
+    return clean_batch(Batch(customers, products, _written_sales(spark, d)))
 
 
 def _clean_sales(spark, d):
@@ -249,7 +255,9 @@ def _orphan_sales(spark, d) -> DataFrame:
         lambda: _products(spark, d),
         lambda: _prepared_sales(spark, d),
     )
-    return detect_orphan_sales(detect_corrupt_sales(prepared)[0], customers, products)[1]
+    # Written, as the checks of keys read the sales before the join does.
+    sound = settle(detect_corrupt_sales(prepared)[0], "sales-sound")
+    return detect_orphan_sales(sound, customers, products)[1]
 
 
 def _schema_report(spark, d) -> DataFrame:

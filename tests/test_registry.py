@@ -3,7 +3,34 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tallymill.plans import registry
 from tallymill.session import apply_settings, settle
+from tests.conftest import SMALL
+
+
+class Stop(Exception):
+    pass
+
+
+def reads_lines(df):
+    return "lineitem.parquet" in df._jdf.queryExecution().optimizedPlan().toString() or any(
+        "lineitem" in file for file in df.inputFiles()
+    )
+
+
+def test_sales_that_are_read_often_are_written_first(spark, monkeypatch):
+    seen = []
+
+    def stop(batch):
+        seen.append(batch.sales)
+        raise Stop
+
+    monkeypatch.setattr(registry, "clean_batch", stop)
+    for query in ("dim_date", "fact_sales", "new_fact_rows", "dq_report", "rejected_union"):
+        with pytest.raises(Stop):
+            registry.queries()[query](spark, SMALL)
+    assert len(seen) == 5 and not any(reads_lines(sales) for sales in seen)
+    assert not reads_lines(registry.queries()["orphan_sales"](spark, SMALL))
 
 
 @pytest.mark.parametrize("parts", [3, 40])
