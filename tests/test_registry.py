@@ -33,6 +33,14 @@ def test_sales_that_are_read_often_are_written_first(spark, monkeypatch):
     assert not reads_lines(registry.queries()["orphan_sales"](spark, SMALL))
 
 
+def test_delivered_rows_are_worked_out_once(spark, monkeypatch):
+    dropped = []
+    monkeypatch.setattr(registry, "drop_csv", lambda df, folder, name: dropped.append(df))
+    monkeypatch.setattr(registry, "ingest", lambda *args: None)
+    registry._delivered(apply_settings(spark), SMALL)
+    assert len(dropped) == 9 and not any(reads_lines(df) for df in dropped)
+
+
 @pytest.mark.parametrize("parts", [3, 40])
 def test_partition_folders_are_written_without_a_sort(spark, parts):
     """Up to 16 side by side; rows of more are all there as well."""
