@@ -32,7 +32,8 @@ def strip(text: Column) -> Column:
 
 
 def blank_to_null(text: Column) -> Column:
-    return F.when(~text.rlike(_ALL_BLANK), text)
+    # Most texts begin with a printable ASCII character, which comparing bytes tells faster than the pattern.
+    return F.when(((text >= "!") & (text < "\x7f")) | ~text.rlike(_ALL_BLANK), text)
 
 
 @lru_cache(maxsize=1)

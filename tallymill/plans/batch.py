@@ -163,7 +163,8 @@ def clean_batch(
     loaded_products: DataFrame | None = None,
 ) -> Cleaned:
     """All cleaning steps. The sales are read twice: the price column alone for its median, then
-    whole, to be classified and written once, split by outcome."""
+    whole, to be classified and written once, both outcomes in the same files: splitting rows that
+    lie mixed over folders takes more time than to read past them."""
     spark = batch.sales.sparkSession
     (customers, bad_customers), (products, bad_products), median = in_parallel(
         spark,
@@ -179,7 +180,6 @@ def clean_batch(
     sales = settle(
         classified.withColumn("outcome", F.coalesce("reject_reason", F.lit(SALES_CLEAN))),
         "sales-classified",
-        partition_by="outcome",
     )
     rejects = {
         "customers_stage": bad_customers,

@@ -25,8 +25,11 @@ from tallymill.sources.tables import (
     ROW_OK,
     SOURCE_FILE,
     commit_path,
+    drop_folder,
     empty_table,
+    folder_names,
     path_exists,
+    published_batches,
     read_batches,
 )
 
@@ -95,20 +98,48 @@ def _write_accounts(
 
 
 def append_batch(df: DataFrame, staging: str, table: str, batch: str) -> None:
-    """Append rows that already carry their stamps, day by day; a repeated batch name adds nothing.
+    """Append rows that already carry their stamps; a repeated batch name adds nothing.
 
-    The days are listed on the driver: as many as the calendar has at most.
+    The rows are worked out once: all days are written together, and those that got rows are listed
+    by their folders, as many as the calendar has at most.
     """
+    spark, path = df.sparkSession, f"{staging}/{table}"
     own_file = F.col(SOURCE_FILE) if SOURCE_FILE in df.columns else F.lit(None).cast("string")
     day = F.coalesce(F.to_date("ingest_date"), F.lit(UNDATED))
+    published = {d for d, name in published_batches(spark, staging, table) if name == batch}
+    for leftover in _day_folders(spark, path, batch) - published:
+        drop_folder(spark, f"{path}/row_status={ROW_OK}/{leftover}/{BATCH}={batch}")
+        drop_folder(spark, f"{path}/row_status={ROW_CORRUPT}/{leftover}/{BATCH}={batch}")
     rows = df.select(
         *STAGING[table].fieldNames(),
         F.lit(None).cast("string").alias(CORRUPT_TEXT),
         own_file.alias(SOURCE_FILE),
-        day.alias("own_day"),
+        F.lit(ROW_OK).alias("row_status"),
+        day.alias("ingest_day"),
+        F.lit(batch).alias(BATCH),
     )
-    for own_day in sorted(r[0] for r in rows.select("own_day").distinct().collect()):
-        publish_batch(staging, table, batch, own_day, rows.where(F.col("own_day") == F.lit(own_day)))
+    if published:
+        days = [_day_of(folder) for folder in published]
+        rows = rows.where(~F.col("ingest_day").isin(days))
+    write_own_folders(rows, path, "row_status", "ingest_day", BATCH)
+    for own_day in sorted(_day_of(folder) for folder in _day_folders(spark, path, batch) - published):
+        _write_accounts(spark, staging, table, batch, own_day, None)
+        create_once(spark, commit_path(staging, table, own_day, batch))
+
+
+def _day_of(folder: str) -> date:
+    return date.fromisoformat(folder.removeprefix("ingest_day="))
+
+
+def _day_folders(spark: SparkSession, path: str, batch: str) -> set[str]:
+    """Days that have a folder of the batch, published or not."""
+    found = set()
+    for status in (ROW_OK, ROW_CORRUPT):
+        of_status = f"{path}/row_status={status}"
+        for day in folder_names(spark, of_status):
+            if path_exists(spark, f"{of_status}/{day}/{BATCH}={batch}"):
+                found.add(day)
+    return found
 
 
 def no_rows(spark: SparkSession, table: str) -> DataFrame:

@@ -250,3 +250,27 @@ def test_drop_csv_round_trip(spark, frame, places):
     ingest(spark, drop, staging, checkpoints)
     got = read_staging(spark, staging, "customers_stage").drop("ingest_date")
     assert values(got) == [(1, ' a, "b" ', None, "x\\y", None, "2024-01-01"), rows[1]]
+
+
+def test_appended_days_are_worked_out_once(spark, folder, frame, monkeypatch):
+    written = []
+    write = staging_sink.write_own_folders
+    monkeypatch.setattr(staging_sink, "write_own_folders", lambda df, path, *by: (written.append(path), write(df, path, *by)))
+    rows = frame(
+        "product_id long, product_name string, category string, brand string, unit_price double, ingest_date timestamp_ntz",
+        *[(n, f"name {n}", "c", "b", 1.0, datetime(2024, 1, 1 + n % 2) if n else None) for n in range(7)],
+    )
+    # An attempt that died left rows of a day that this one has, and of one that it hasn't.
+    left = rows.limit(1).withColumns(
+        {"corrupt_text": F.lit(None).cast("string"), "source_file": F.lit(None).cast("string"), "row_status": F.lit("ok")}
+    )
+    for day in ("2024-01-01", "2024-03-03"):
+        dated = left.withColumns({"ingest_day": F.lit(day), "batch": F.lit("monday")})
+        dated.write.mode("append").partitionBy("row_status", "ingest_day", "batch").parquet(f"{folder}/products_stage")
+    append_staging(rows, folder, "products_stage", "monday")
+    assert written.count(f"{folder}/products_stage") == 1
+    append_staging(rows, folder, "products_stage", "monday")
+    found = read_staging(spark, folder, "products_stage")
+    assert found.exceptAll(rows).count() == 0 and found.count() == 7
+    accounts = read_file_accounts(spark, folder, "products_stage").groupBy("ingest_day").sum("delivered").collect()
+    assert sorted(r[1] for r in accounts) == [1, 3, 3]
