@@ -404,9 +404,10 @@ def _run_accounting(spark, d) -> DataFrame:
     staging, warehouse = f"{root}/staging", f"{root}/warehouse"
 
     def stage(table: str) -> None:
-        rows, key = _rows(spark, d, table), F.col(KEY_OF_FEED[table])
-        append_staging(rows, staging, table)
-        bad = rows.where(key % 100 == 77).withColumns(
+        key = F.col(KEY_OF_FEED[table])
+        append_staging(_rows(spark, d, table), staging, table)
+        # Taken from the staged rows, so that the feed is worked out once.
+        bad = read_staging(spark, staging, table).where(key % 100 == 77).withColumns(
             {CORRUPT_TEXT: key.cast("string"), SOURCE_FILE: F.lit("bad.csv")}
         )
         publish_batch(staging, table, "misfits", FIRST_DAY.date(), bad)

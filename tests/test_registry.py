@@ -48,3 +48,14 @@ def test_partition_folders_are_written_without_a_sort(spark, parts):
     rows = spark.range(0, 1000, 1, 2).withColumn("part", F.col("id") % parts)
     assert settle(rows, "parted", partition_by="part").exceptAll(rows).count() == 0
     assert settle(rows, "parted", partition_by="part").count() == 1000
+
+
+def test_misfits_are_taken_from_staged_rows(spark, monkeypatch):
+    misfits = []
+    monkeypatch.setattr(registry, "publish_batch", lambda staging, table, batch, day, rows: misfits.append(rows))
+    monkeypatch.setattr(registry, "run", lambda *args: None)
+    monkeypatch.setattr(registry, "read_ledger", lambda *args: spark.range(0))
+    registry.queries()["run_accounting"](spark, SMALL)
+    assert len(misfits) == 3 and not any(reads_lines(df) for df in misfits)
+    rows = registry._rows(spark, SMALL, "sales_transactions_stage").where("transaction_id % 100 = 77")
+    assert misfits[2].select(*rows.columns).exceptAll(rows).count() == 0 and misfits[2].count() == rows.count()
