@@ -24,6 +24,8 @@ from tallymill.llm.batches import in_small_batches
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 SPACE = "▁"
+#: Numbers that regular expressions count as letters.
+NUMERALS = "²³¹¼½¾"
 #: Words of a generation that a worker keeps; the one before is kept beside it, so words in use outlive the change.
 WORDS_KEPT = 300_000
 #: Pairs of neighbours whose answers a worker keeps, and characters up to which words are relaxed side by side.
@@ -61,7 +63,17 @@ class Model:
         self.depth = 1 << (max(map(len, self.ids)) - 1).bit_length()
         # Words can be taken apart where no piece goes on: before a space mark, and around line ends.
         apart = not any(SPACE in p.lstrip(SPACE) or "\n" in p for p in self.ids)
-        self.words = re.compile(rf"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n" if apart else r"(?s).+")
+        letter, other = rf"[^\W\d_{NUMERALS}{SPACE}]", rf"[\W\d_{NUMERALS}]"
+        # Nor does one here go on from a letter to another character or back, so marks are words of their own.
+        crossing = re.compile(rf"{letter}(?!{SPACE}){other}|(?!{SPACE}){other}{letter}")
+        if not apart:
+            words = r"(?s).+"
+        elif any(map(crossing.search, self.ids)):
+            words = rf"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n"
+        else:
+            marks = rf"(?:[^\w{SPACE}\n]+|[\d_{NUMERALS}]+)"
+            words = rf"{SPACE}*{letter}+|{SPACE}+{marks}*|{marks}+|\n"
+        self.words = re.compile(words)
         self.order = sorted(self.ids)
         self.lengths = np.array([len(p) for p in self.order])
         self.chars = np.zeros((len(self.order), self.depth), np.int64)

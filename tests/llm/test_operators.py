@@ -135,6 +135,16 @@ def test_sentencepiece_equals_its_library(docs):
     assert [x.tolist() for x in pieces.model(pieces.MODEL).encode(odd)] == sp.encode(odd)
 
 
+def test_marks_are_words_of_their_own():
+    import sentencepiece
+
+    own, sp = pieces.Model(pieces.MODEL), sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
+    texts = ["word,*** word. word² x_1a ¼b", "l'été, (naïve) 中文。a  ,b\n\n.c \u2581d,", "12word34, ***"]
+    assert [x.tolist() for x in own.encode(texts)] == sp.encode(texts)
+    assert {f"{pieces.SPACE}word", ",***", ".", "²"} <= set(own.known)
+    assert f"{pieces.SPACE}word," not in own.known
+
+
 def test_packing(docs, none):
     from tokenizers import Tokenizer
 
