@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymill.llm.batches import in_small_batches
+from tallymill.llm.word_ids import BYTE_LETTERS, MARKS, plain_letters
 from tallymill.session import new_work_path
 
 CAPACITY = 1024
@@ -31,9 +32,17 @@ PIECES_A_PARTITION = 50_000
 ROUNDS = 4
 #: Words of a generation that a worker keeps; the one before is kept beside it, so words in use outlive the change.
 WORDS_KEPT = 300_000
-CHUNKS = re.compile(r" ?\S+|\s+(?!\S)|\s+")
+#: Words of common letters with a mark, white space or nothing after them, runs of marks that end before letters, digits or
+#: white space, and what else lies between white space. No token crosses from one to the next, and marks are met in few runs.
+MARK, LETTER = re.escape(MARKS), "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f"
+CHUNKS = re.compile(
+    rf" ?[{LETTER}]++(?![^\s{MARK}])| ?[{MARK}][{MARK}']*+(?![^\s{LETTER}0-9])| ?\S+|\s+(?!\S)|\s+"
+)
 #: Texts with these go to the tokenizer whole: white space differs there, or a special token may be meant.
 ODD = ("\x1c", "\x1d", "\x1e", "\x1f", "<|")
+#: The byte letters of all bytes in UTF-32, and the one that ends a line.
+LETTERS = np.array([BYTE_LETTERS[b] for b in range(256)], "<u4")
+LINE_END = chr(BYTE_LETTERS[10])
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, nonce long"
 
 
@@ -41,32 +50,58 @@ class Ids:
     """Token ids of texts as little-endian bytes. No token crosses a chunk, so each new chunk is encoded once."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        # The same merges without the search for words: it takes words in byte letters, a line end between them.
+        self.merges = Tokenizer.from_file(path)
+        self.merges.pre_tokenizer = pre_tokenizers.Split(LINE_END, "removed")
+        self.sizes = np.zeros(self.merges.get_vocab_size(), np.int64)
+        for token, number in self.merges.get_vocab().items():
+            self.sizes[number] = len(token)
+        self.end = self.whole("\n")
+        trial = [" Ab", "C", " \u00c9t\u00e9s", "abcdefgh"]
+        self.by_letters = self.merged(trial) == [self.whole(t) for t in trial]
         self.known: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def merged(self, words: list[str]) -> list[bytes]:
+        """Ids of words that are one run of letters each, maybe after a space; their bytes tell where each word's end."""
+        raw = np.frombuffer("\n".join(words).encode(), np.uint8)
+        ids = self.merges.encode_batch_fast([LETTERS[raw].tobytes().decode("utf-32-le")], add_special_tokens=False)[0].ids
+        ids = np.array(ids, "<u4")
+        breaks = np.append(np.flatnonzero(raw == 10), len(raw))
+        bytes_upto = breaks - np.arange(len(breaks))
+        ends = np.searchsorted(np.cumsum(self.sizes[ids]), bytes_upto) + 1
+        return self._cut(ids, ends, ends)
+
+    def _cut(self, ids: np.ndarray, ends: np.ndarray, nexts: np.ndarray) -> list[bytes]:
+        """The ids of each word, which end and go on at these places."""
+        data = ids.tobytes()
+        return [data[a:b] for a, b in zip([0, *(4 * nexts).tolist()], (4 * ends).tolist(), strict=False)]
+
     def learn(self, new: list[str]) -> None:
-        words = [w for w in new if not w.isspace()]
-        if words:
-            text = "\n".join(words) + "\n"
-            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-            ends = np.flatnonzero(ids == self.newline).tolist()
-            data, at = ids.tobytes(), 0
-            for word, end in zip(words, ends, strict=True):
-                self.known[word] = data[4 * at : 4 * end]
-                at = end + 1
-        for blank in new:
-            if blank.isspace():
-                self.known[blank] = self.whole(blank)
-
-    @property
-    def newline(self) -> int:
-        return self.tokenizer.encode("\n", add_special_tokens=False).ids[0]
+        """Plain words go straight to the merges, others to the tokenizer."""
+        known, plain, others = self.known, [], []
+        for word in new:
+            if word.isspace():
+                known[word] = self.whole(word)
+            elif plain_letters(word[1:] if word[0] == " " else word):
+                plain.append(word)
+            else:
+                others.append(word)
+        if not self.by_letters:
+            plain, others = [], others + plain
+        if plain:
+            known.update(zip(plain, self.merged(plain), strict=True))
+        if others:
+            lines = "\n".join(others) + "\n"
+            ids = np.array(self.tokenizer.encode_batch_fast([lines], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.flatnonzero(ids == np.frombuffer(self.end, "<u4")[0])
+            known.update(zip(others, self._cut(ids, ends, ends + 1), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > WORDS_KEPT:

@@ -145,6 +145,18 @@ def test_marks_are_words_of_their_own():
     assert f"{pieces.SPACE}word," not in own.known
 
 
+def test_token_ids_of_words_and_marks():
+    own = packing.Ids(packing.VOCABULARY)
+    texts = [
+        "A word,*** word. a,b don't,'s wo'rd «x,y» ,«z",
+        "l'été,  (naïve)\tabc123, 12word ¼b ².c ªb,\xa0d_e __f",
+        "中文。a  ,b\n\n.c x,中文y ,中,\u0301e e\u0301, ʼn,",
+        "", " ", ",", "\n", "word",
+    ]
+    assert own.encode(texts) == [own.whole(t) for t in texts]
+    assert {" word", ",***", ".", "wo'rd"} & set(own.known) == {" word", ",***", "."} and " word," not in own.known
+
+
 def test_packing(docs, none):
     from tokenizers import Tokenizer
 
