@@ -10,7 +10,8 @@ aligned once per worker. A block of documents is a matrix too: documents by word
 often each document links each pair. Blocks send every pair once, with the number of their documents that hold it; summed
 over the corpus that is the pair's count, which comes back to the blocks by a join and is multiplied by their matrices.
 A block is bounded in documents and in characters (but for one text longer than that), so no pair, word or text, however
-frequent, makes a task heavier than others.
+frequent, makes a task heavier than others. A worker's memory is bounded too: by the words kept between blocks, those learned
+at once, and the products summed at once (but for one document's).
 
 Null and empty texts have no tokens; neither has a text whose joined token bytes in A or B are not the space and the text.
 Repeated rows count as documents of their own, null ids stay null, other columns are ignored, an empty table gives none.
@@ -35,6 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallymill.llm.batches import few_rows_a_batch
 from tallymill.llm.word_ids import BYTE_LETTERS, MARKS, byte_letters, plain_letters
 from tallymill.session import settle
 
@@ -42,7 +44,9 @@ BYTE_LEVEL = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 SPACE = "▁"
 #: Words of a generation that a worker keeps, up to this length; the one before is kept beside it.
-WORDS_KEPT, LONGEST_KEPT = 300_000, 64
+WORDS_KEPT, LONGEST_KEPT = 100_000, 64
+#: New words aligned at once, and products of two matrices summed at once.
+WORDS_LEARNED, PRODUCTS = 20_000, 500_000
 #: Documents and characters of a block.
 BLOCK_DOCS, BLOCK_CHARS = 1_000, 4_000_000
 #: A space beside white space, or at an end; such texts are taken apart more slowly.
@@ -88,8 +92,24 @@ class Csr:
         indptr = np.concatenate([[0], np.cumsum(np.bincount(self.columns, minlength=self.width))])
         return Csr(indptr, self.rows()[order], self.values[order], len(self.indptr) - 1)
 
+    def slice(self, begin: int, end: int) -> Csr:
+        at = slice(self.indptr[begin], self.indptr[end])
+        return Csr(self.indptr[begin : end + 1] - self.indptr[begin], self.columns[at], self.values[at], self.width)
+
     def times(self, other: Csr) -> Csr:
-        """Gustavson: row i is the sum of the other's rows k, weighted by the values at (i, k)."""
+        """Gustavson: row i is the sum of the other's rows k, weighted by the values at (i, k). As many rows at a time as make
+        PRODUCTS of them, or one of more."""
+        products = np.concatenate([[0], np.cumsum(np.diff(other.indptr)[self.columns])])[self.indptr]
+        parts, at, height = [], 0, len(self.indptr) - 1
+        while at < height or not parts:
+            end = min(height, max(at + 1, int(np.searchsorted(products, products[at] + PRODUCTS, "right")) - 1))
+            parts.append(self.slice(at, end)._times(other))
+            at = end
+        counts = np.concatenate([[0], *(np.diff(p.indptr) for p in parts)])
+        columns, values = (np.concatenate(x) for x in zip(*((p.columns, p.values) for p in parts), strict=True))
+        return Csr(np.cumsum(counts), columns, values, other.width)
+
+    def _times(self, other: Csr) -> Csr:
         begins, many = other.indptr[self.columns], np.diff(other.indptr)[self.columns]
         ends = np.cumsum(many)
         at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(begins - (ends - many), many)
@@ -220,22 +240,27 @@ class Aligner:
             for k in range(len(words))
         ]
 
-    def words(self, words: list[str]) -> list[Word]:
-        if len(self.known) > WORDS_KEPT:
+    def _keep(self, word: str, aligned: Word) -> None:
+        if len(self.known) >= WORDS_KEPT:
             self.before, self.known = self.known, {}
-        known = self.known
-        found = list(map(known.get, words))
-        missing = [k for k, w in enumerate(found) if w is None]
-        new = []
-        for k in missing:
+        self.known[word] = aligned
+
+    def words(self, words: list[str], times: np.ndarray) -> list[Word]:
+        """The words aligned. Of new ones those are kept that occur several times here; most others do not come back."""
+        found, new = list(map(self.known.get, words)), []
+        for k in [k for k, w in enumerate(found) if w is None]:
             if (kept := self.before.get(words[k])) is None:
                 new.append(k)
             else:
-                found[k] = known[words[k]] = kept
-        for k, word in zip(new, self._learn([words[k] for k in new]), strict=True):
-            found[k] = word
-            if len(words[k]) <= LONGEST_KEPT:
-                known[words[k]] = word
+                found[k] = kept
+                self._keep(words[k], kept)
+        often = times > 1
+        for at in range(0, len(new), WORDS_LEARNED):
+            some = new[at : at + WORDS_LEARNED]
+            for k, word, keep in zip(some, self._learn([words[k] for k in some]), often[some].tolist(), strict=True):
+                found[k] = word
+                if keep and len(words[k]) <= LONGEST_KEPT:
+                    self._keep(words[k], word)
         return found
 
     def split(self, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -267,15 +292,22 @@ def aligner(a_path: str, b_path: str) -> Aligner:
 
 
 def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches of (doc_id, text) cut into blocks."""
+    """Batches of (doc_id, text) put together and cut into blocks."""
+    held, docs, chars = [], 0, 0
     for batch in batches:
         sizes = pc.fill_null(pc.utf8_length(batch.column(1)), 0).to_numpy()
         at = 0
         while at < len(batch):
-            part = np.cumsum(sizes[at : at + BLOCK_DOCS])
-            many = max(1, int(np.searchsorted(part, BLOCK_CHARS, "right")))
-            yield batch.slice(at, many)
-            at += many
+            part = chars + np.cumsum(sizes[at : at + BLOCK_DOCS - docs], dtype=np.int64)
+            many = int(np.searchsorted(part, BLOCK_CHARS, "right")) or int(not held)
+            if many:
+                held.append(batch.slice(at, many))
+                at, docs, chars = at + many, docs + many, int(part[many - 1])
+            if at < len(batch) or docs == BLOCK_DOCS:
+                yield pa.concat_batches(held)
+                held, docs, chars = [], 0, 0
+    if held:
+        yield pa.concat_batches(held)
 
 
 def _one(values: np.ndarray, kind: pa.DataType) -> pa.Array:
@@ -285,6 +317,44 @@ def _one(values: np.ndarray, kind: pa.DataType) -> pa.Array:
 PER_DOCUMENT = ("n_a", "n_b", "n_groups", "n_links")
 
 
+def _block(own: Aligner, part: pa.RecordBatch, number: int) -> pa.RecordBatch:
+    words, which, counts = own.split(part.column(1))
+    aligned = own.words(words, np.bincount(which, minlength=len(words)))
+    shown, linked_ids, *numbers, spelt = zip(*aligned, strict=True) if aligned else [()] * len(Word._fields)
+    cuts = np.concatenate([[0], np.cumsum(counts)])
+    owner = np.repeat(np.arange(len(part)), counts)
+    misfit = ~np.array(spelt, bool)[which]
+    fits = np.bincount(owner[misfit], minlength=len(part)) == 0
+    occurs = Csr.of_entries(owner[fits[owner]], which[fits[owner]], np.ones(int(fits[owner].sum()), np.int64), len(part), len(words))
+    pairs, places = np.unique(np.frombuffer(b"".join(linked_ids), "<i8"), return_inverse=True)
+    ends = np.cumsum(np.fromiter(map(len, linked_ids), np.int64, len(words))) // 8
+    linked = occurs.times(Csr(np.concatenate([[0], ends]), places, np.ones(len(places), np.int64), len(pairs)))
+    # Pairs that only texts without tokens have fall away.
+    held = np.bincount(linked.columns, minlength=len(pairs))
+    new_place = np.cumsum(held > 0) - 1
+    sums = [occurs.dot(np.array(n, np.int64)) for n in numbers]
+    sums.append(linked.dot(np.ones(len(pairs), np.int64)))
+    at = which.tolist()
+    digests = [
+        sha256("".join([shown[k] for k in at[a:b]])[:-1].encode()).hexdigest() if fit and b > a else ""
+        for a, b, fit in zip(cuts.tolist(), cuts[1:].tolist(), fits.tolist(), strict=False)
+    ]
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([number], pa.int64()),
+            pa.ListArray.from_arrays(pa.array([0, len(part)], pa.int32()), part.column(0)),
+            *(_one(s, pa.int64()) for s in sums),
+            pa.array([digests], pa.list_(pa.string())),
+            _one(pairs[held > 0], pa.int64()),
+            _one(held[held > 0], pa.int32()),
+            _one(linked.indptr, pa.int32()),
+            _one(new_place[linked.columns], pa.int32()),
+            _one(linked.values, pa.int32()),
+        ],
+        names=["block", "doc_id", *PER_DOCUMENT, "digest", "pairs", "documents", "starts", "columns", "occurs"],
+    )
+
+
 def block_rows(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     """A row per block: its documents' ids, counts and digests, its id pairs, how many documents hold each, and the matrix of
     documents by pairs (row starts, columns, occurrences)."""
@@ -292,42 +362,7 @@ def block_rows(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, task = aligner(a_path, b_path), TaskContext.get().partitionId()
         for number, part in enumerate(blocks(batches)):
-            words, which, counts = own.split(part.column(1))
-            aligned = own.words(words)
-            cuts = np.concatenate([[0], np.cumsum(counts)])
-            owner = np.repeat(np.arange(len(part)), counts)
-            misfit = np.fromiter((not w.fits for w in aligned), bool, len(aligned))[which]
-            fits = np.bincount(owner[misfit], minlength=len(part)) == 0
-            occurs = Csr.of_entries(owner[fits[owner]], which[fits[owner]], np.ones(int(fits[owner].sum()), np.int64), len(part), len(words))
-            ids = np.frombuffer(b"".join([w.pairs for w in aligned]), "<i8")
-            pairs, places = np.unique(ids, return_inverse=True)
-            ends = np.cumsum(np.fromiter((len(w.pairs) // 8 for w in aligned), np.int64, len(aligned)))
-            linked = occurs.times(Csr(np.concatenate([[0], ends]), places, np.ones(len(places), np.int64), len(pairs)))
-            # Pairs that only texts without tokens have fall away.
-            held = np.bincount(linked.columns, minlength=len(pairs))
-            new_place = np.cumsum(held > 0) - 1
-            sums = [occurs.dot(n) for n in np.array([(w.n_a, w.n_b, w.n_groups) for w in aligned], np.int64).reshape(-1, 3).T]
-            sums.append(linked.dot(np.ones(len(pairs), np.int64)))
-            shown = [w.groups for w in aligned]
-            at = which.tolist()
-            digests = [
-                sha256("".join([shown[k] for k in at[a:b]])[:-1].encode()).hexdigest() if fit and b > a else ""
-                for a, b, fit in zip(cuts.tolist(), cuts[1:].tolist(), fits.tolist(), strict=False)
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([(task << 32) + number], pa.int64()),
-                    pa.ListArray.from_arrays(pa.array([0, len(part)], pa.int32()), part.column(0)),
-                    *(_one(s, pa.int64()) for s in sums),
-                    pa.array([digests], pa.list_(pa.string())),
-                    _one(pairs[held > 0], pa.int64()),
-                    _one(held[held > 0], pa.int32()),
-                    _one(linked.indptr, pa.int32()),
-                    _one(new_place[linked.columns], pa.int32()),
-                    _one(linked.values, pa.int32()),
-                ],
-                names=["block", "doc_id", *PER_DOCUMENT, "digest", "pairs", "documents", "starts", "columns", "occurs"],
-            )
+            yield _block(own, part, (task << 32) + number)
 
     schema = (
         "block long, doc_id array<long>, "
@@ -362,7 +397,8 @@ def _scored(block: pd.DataFrame, pairs: pd.DataFrame) -> pd.DataFrame:
 
 def alignment(docs: DataFrame, a_path: str = BYTE_LEVEL, b_path: str = PIECES) -> DataFrame:
     """Per document: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum and groups_sha256."""
-    rows = settle(block_rows(docs, a_path, b_path), "blocks")
+    with few_rows_a_batch(docs):
+        rows = settle(block_rows(docs, a_path, b_path), "blocks")
     in_blocks = rows.select("block", F.explode(F.arrays_zip("pairs", "documents")).alias("one")).select(
         F.col("block").alias("of_block"), F.col("one.pairs").alias("pair"), F.col("one.documents").cast("long").alias("n")
     )

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import tracemalloc
 from collections import Counter, defaultdict
 from hashlib import sha256
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tallymill.llm import alignment
@@ -82,6 +84,53 @@ def test_products_equal_dense_ones():
     assert (dense(nothing.times(sparse(np.zeros((4, 2), int)))) == 0).all()
 
 
+def test_products_take_memory_by_the_result(monkeypatch):
+    rng = np.random.default_rng(4)
+    # 200 documents of 1,000 words of 20 pairs each make 4 million products, but 200 by 50 sums.
+    x, y = (alignment.Csr.of_ranges(np.zeros(n, int), np.full(n, w), w) for n, w in ((200, 1_000), (1_000, 20)))
+    x.values, y.columns, y.width = rng.integers(1, 5, 200_000), rng.integers(0, 50, 20_000), 50
+    tracemalloc.start()
+    found = x.times(y)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 60e6
+    monkeypatch.setattr(alignment, "PRODUCTS", 1 << 40)
+    whole = x.times(y)
+    for name in ("indptr", "columns", "values"):
+        assert (getattr(found, name) == getattr(whole, name)).all()
+    # Fewer than a row makes, and rows without any.
+    monkeypatch.setattr(alignment, "PRODUCTS", 3)
+    bare = alignment.Csr(np.array([0, 0, 2, 2, 3, 3]), np.array([0, 1, 2]), np.array([1, 2, 3]), 1_000)
+    few = bare.times(y)
+    assert few.indptr[[1, 3, 5]].tolist() == [0, few.indptr[2], len(few.columns)]
+    assert few.values.sum() == 20 * (1 + 2 + 3)
+
+
+def test_a_worker_keeps_few_words(monkeypatch):
+    monkeypatch.setattr(alignment, "WORDS_KEPT", 50)
+    monkeypatch.setattr(alignment, "WORDS_LEARNED", 7)
+    own = alignment.Aligner(alignment.BYTE_LEVEL, alignment.PIECES)
+    words = [f"word{k}" for k in range(300)]
+    first = own.words(words, np.full(300, 2))
+    assert len(own.known) <= 50 and len(own.before) <= 50
+    assert first == own.words(words, np.ones(300, int)) == own._learn(words)
+    own = alignment.Aligner(alignment.BYTE_LEVEL, alignment.PIECES)
+    own.words(["once", "twice"], np.array([1, 2]))
+    assert list(own.known) == ["twice"]
+
+
+def test_blocks_do_not_depend_on_batches(monkeypatch):
+    monkeypatch.setattr(alignment, "BLOCK_DOCS", 5)
+    monkeypatch.setattr(alignment, "BLOCK_CHARS", 20)
+    texts = ["x" * n for n in (3, 0, 30, 4, 4, 4, 4, 4, 1, 1, 1, 1, 1, 1, 19, 2, 20, 21)]
+    rows = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    want = [b.column(0).to_pylist() for b in alignment.blocks(iter([rows]))]
+    assert want == [[0, 1], [2], [3, 4, 5, 6, 7], [8, 9, 10, 11, 12], [13, 14], [15], [16], [17]]
+    for size in (1, 2, 7):
+        parts = [rows.slice(at, size) for at in range(0, len(rows), size)]
+        assert [b.column(0).to_pylist() for b in alignment.blocks(iter([rows.slice(0, 0), *parts]))] == want
+
+
 def test_links_of_one_text():
     text = "wörd unbelievably, 日本語 étés."
     a, b, groups, a_ends, b_ends = plain(text)
