@@ -44,7 +44,7 @@ BYTE_LEVEL = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 SPACE = "▁"
 #: Words of a generation that a worker keeps, up to this length; the one before is kept beside it.
-WORDS_KEPT, LONGEST_KEPT = 100_000, 64
+WORDS_KEPT, LONGEST_KEPT = 200_000, 64
 #: New words aligned at once, and products of two matrices summed at once.
 WORDS_LEARNED, PRODUCTS = 20_000, 500_000
 #: Documents and characters of a block.
@@ -245,8 +245,7 @@ class Aligner:
             self.before, self.known = self.known, {}
         self.known[word] = aligned
 
-    def words(self, words: list[str], times: np.ndarray) -> list[Word]:
-        """The words aligned. Of new ones those are kept that occur several times here; most others do not come back."""
+    def words(self, words: list[str]) -> list[Word]:
         found, new = list(map(self.known.get, words)), []
         for k in [k for k, w in enumerate(found) if w is None]:
             if (kept := self.before.get(words[k])) is None:
@@ -254,12 +253,11 @@ class Aligner:
             else:
                 found[k] = kept
                 self._keep(words[k], kept)
-        often = times > 1
         for at in range(0, len(new), WORDS_LEARNED):
             some = new[at : at + WORDS_LEARNED]
-            for k, word, keep in zip(some, self._learn([words[k] for k in some]), often[some].tolist(), strict=True):
+            for k, word in zip(some, self._learn([words[k] for k in some]), strict=True):
                 found[k] = word
-                if keep and len(words[k]) <= LONGEST_KEPT:
+                if len(words[k]) <= LONGEST_KEPT:
                     self._keep(words[k], word)
         return found
 
@@ -319,7 +317,7 @@ PER_DOCUMENT = ("n_a", "n_b", "n_groups", "n_links")
 
 def _block(own: Aligner, part: pa.RecordBatch, number: int) -> pa.RecordBatch:
     words, which, counts = own.split(part.column(1))
-    aligned = own.words(words, np.bincount(which, minlength=len(words)))
+    aligned = own.words(words)
     shown, linked_ids, *numbers, spelt = zip(*aligned, strict=True) if aligned else [()] * len(Word._fields)
     cuts = np.concatenate([[0], np.cumsum(counts)])
     owner = np.repeat(np.arange(len(part)), counts)
