@@ -253,6 +253,8 @@ def _open_links(group: pd.DataFrame) -> pd.DataFrame:
     left, right = (np.flatnonzero(group["block"].to_numpy() == k) for k in (low, high))
     ids, component = group["doc_id"].to_numpy(), group["component"].to_numpy()
     bits, bands = (np.stack(group[c].to_list()).astype(np.int64) for c in ("bits", "bands"))
+    # Of a negative number bitwise_count counts the bits of its absolute value.
+    bits = bits.view(np.uint64)
     open_ = component[left][:, None] != component[right]
     if low == high:
         open_ &= ids[left][:, None] < ids[right]

@@ -270,6 +270,13 @@ def test_near_dedup_of_a_bucket_of_many_components(spark, monkeypatch):
     assert 2 < len(set(parent)) < 28
 
 
+def test_sketches_that_differ_in_a_sign_bit_are_near():
+    text = " ".join(f"word{k}" for k in range(100))
+    rows = {"bucket": 7, "low": 0, "high": 0, "block": 0, "doc_id": [1, 2], "component": [1, 2], "text": [text, f"{text} tail"]}
+    group = pd.DataFrame(rows | {"bits": [[0, 5, 0, 0], [1 - 2**63, 5, 0, 0]], "bands": [[7, 8], [7, 9]]})
+    assert minhash._open_links(group)[["a", "b"]].to_numpy().tolist() == [[1, 2]]
+
+
 def test_units_go_on_in_the_next_batch():
     rows = pd.DataFrame({"bucket": [1, 1, 1, 2, 2, 3], "low": 0, "high": [0, 0, 1, 0, 0, 0], "doc_id": range(6)})
     units = minhash._units(iter([rows[:2], rows[2:4], rows[4:4], rows[4:]]))
