@@ -7,7 +7,9 @@ probability equal to the weighted Jaccard similarity. Points come in ascending o
 
 Equal texts form classes first. Band collisions are checked exactly: each bucket's members against its first one, then
 the members of buckets that still hold several components, block against block, each pair in the first bucket it shares;
-a one-bit sketch spares the pairs that are far from alike. Only links leave a block's task. That gives the components;
+a one-bit sketch spares the pairs that are far from alike. Each block is compared with itself, then runs of blocks, SPAN
+times as long each time, with their neighbours. Of a task's links only those leave it that connect its components, of all
+tasks' links one for two components, and what they connect counts as one component next time. That gives the components;
 links are all pairs of class representatives of similarity 0.8 or more, and none leads out of a component, so each
 component's texts are compared pairwise, block by block. Null texts link with nothing; empty texts are copies of each other.
 """
@@ -36,6 +38,8 @@ SIZE = BANDS * ROWS
 MOST_BITS = 46
 #: Texts of a component or bucket that one task compares with as many others.
 BLOCK = 128
+#: Runs of a bucket's blocks that are compared with each other at a time; together they are one run the next time.
+SPAN = 8
 MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 
@@ -227,11 +231,20 @@ class Links:
         return two.unionByName(found).groupBy("class_id").agg(F.sum("n").alias("n"))
 
 
-def _in_blocks(rows: DataFrame, n: str) -> DataFrame:
-    """Rows with their block of a group of n, once for each pair of blocks (low, high) that theirs is in."""
-    blocks = F.ceil(F.col(n) / BLOCK).cast("int")
+def _in_blocks(rows: DataFrame, n: str, width: int | None = None) -> DataFrame:
+    """Rows with their block of a group of n, once for each pair of blocks (low, high) that theirs is in; with a width, for
+    pairs of runs of so many blocks among SPAN such runs alone, with width 0 for its block with itself alone."""
+    blocks, block = F.ceil(F.col(n) / BLOCK).cast("int"), F.col("block")
+    if width is None:
+        others = F.sequence(F.lit(0), blocks - 1)
+    elif width == 0:
+        others = F.array(block)
+    else:
+        first = F.floor(block / (SPAN * width)).cast("int") * SPAN * width
+        run = F.sequence(first, F.least(first + SPAN * width, blocks) - 1)
+        others = F.filter(run, lambda k: F.floor(k / width) != F.floor(block / width))
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id"), blocks).cast("int"))
-    other = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    other = dealt.withColumn("other", F.explode(others))
     return other.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")}).drop("other", n)
 
 
@@ -247,8 +260,29 @@ def _all_links(links: DataFrame, groups: DataFrame, texts: DataFrame) -> Links:
 UNIT = ["bucket", "low", "high"]
 
 
+def _forest(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Places of links (x, y) that connect all that these links connect, without rings."""
+    ends = np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1)
+    up: dict[int, int] = {}
+
+    def top(node: int) -> int:
+        while (above := up.get(node, node)) != node:
+            up[node] = up.get(above, above)
+            node = above
+        return node
+
+    kept = []
+    for at in np.unique(ends, axis=0, return_index=True)[1].tolist():
+        low, high = sorted(top(int(end)) for end in ends[at])
+        if low < high:
+            up[high] = low
+            kept.append(at)
+    return np.array(kept, dtype=np.int64)
+
+
 def _open_links(group: pd.DataFrame) -> pd.DataFrame:
-    """The links between different components in a bucket's block with itself or with another one."""
+    """Links between different components (low, high) in a bucket's block with itself or with another one, as many as
+    connect all that are linked."""
     bucket, low, high = (group[c].iat[0] for c in UNIT)
     left, right = (np.flatnonzero(group["block"].to_numpy() == k) for k in (low, high))
     ids, component = group["doc_id"].to_numpy(), group["component"].to_numpy()
@@ -265,13 +299,18 @@ def _open_links(group: pd.DataFrame) -> pd.DataFrame:
     x, y = left[x[here]], right[y[here]]
     used, place = np.unique(np.concatenate([x, y]), return_inverse=True)
     if not len(used):
-        return pd.DataFrame({"a": ids[x], "b": ids[y], "similarity": np.empty(0)})
+        return pd.DataFrame({"a": ids[x], "b": ids[y], "similarity": np.empty(0), "low": ids[x], "high": ids[y]})
     x, y = np.split(place, 2)
     texts = group["text"].to_numpy()[used].tolist()
     u, v, near = near_pairs(texts, np.unique(x), np.unique(y))
     found = np.isin(u * len(used) + v, x * len(used) + y)
-    u, v, near, ids = u[found], v[found], near[found], ids[used]
-    return pd.DataFrame({"a": np.minimum(ids[u], ids[v]), "b": np.maximum(ids[u], ids[v]), "similarity": near})
+    u, v, near, ids, component = u[found], v[found], near[found], ids[used], component[used]
+    kept = _forest(component[u], component[v])
+    u, v, near = u[kept], v[kept], near[kept]
+    ends = {"a": np.minimum(ids[u], ids[v]), "b": np.maximum(ids[u], ids[v]), "similarity": near}
+    return pd.DataFrame(
+        ends | {"low": np.minimum(component[u], component[v]), "high": np.maximum(component[u], component[v])}
+    )
 
 
 def _units(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -288,22 +327,40 @@ def _units(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield held
 
 
-def _linked_in_buckets(members: DataFrame, links: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links between members of a bucket that the given links leave in different components."""
+def _linked_in_buckets(
+    members: DataFrame, wanted: DataFrame, links: DataFrame, classes: DataFrame, texts: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """The given links with those that connect what else is linked in a bucket, and every member's component."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield from map(_open_links, _units(batches))
 
-    placed = components(links).withColumnRenamed("node", "doc_id")
-    placed = members.join(placed, "doc_id", "left").select("bucket", "doc_id", F.coalesce("component", "doc_id").alias("component"))
-    mixed = placed.groupBy("bucket").agg(
-        F.min("component").alias("first"), F.max("component").alias("last"), F.count("*").alias("n")
-    )
-    mixed = settle(mixed.where("first < last").select("bucket", "n"), "open")
-    rows = settle(placed.join(mixed, "bucket"), "rest")
-    rows = rows.join(classes.select("doc_id", "bits", "bands"), "doc_id").join(texts, "doc_id")
-    units = in_small_batches(_in_blocks(settle(rows, "rest-texts"), "n")).repartition(*UNIT).sortWithinPartitions(*UNIT)
-    return settle(units.mapInPandas(run, "a long, b long, similarity double"), "rest-links")
+    homes = wanted.join(components(links).withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    homes = settle(homes.select("doc_id", F.coalesce("component", "doc_id").alias("component")), "homes")
+    content = settle(classes.select("doc_id", "bits", "bands").join(texts, "doc_id"), "content")
+    rest, width = members, 0
+    while True:
+        placed = rest.select("bucket", "doc_id").join(homes, "doc_id")
+        mixed = placed.groupBy("bucket").agg(
+            F.min("component").alias("first"), F.max("component").alias("last"), F.count("*").alias("n")
+        )
+        mixed = settle(mixed.where("first < last").select("bucket", "n"), "open")
+        if mixed.isEmpty():
+            return links, homes
+        rest = settle(placed.join(mixed, "bucket"), "rest")
+        rows = settle(rest.join(content, "doc_id"), "rest-texts")
+        units = in_small_batches(_in_blocks(rows, "n", width)).repartition(*UNIT).sortWithinPartitions(*UNIT)
+        found = units.mapInPandas(run, "a long, b long, similarity double, low long, high long")
+        found = settle(found.groupBy("low", "high").agg(F.min(F.struct("a", "b", "similarity")).alias("link")), "rest-links")
+        if not found.isEmpty():
+            links = links.unionByName(found.select("link.*"))
+            joined = components(found.select(F.col("low").alias("a"), F.col("high").alias("b")))
+            joined = joined.select(F.col("node").alias("component"), F.col("component").alias("now"))
+            homes = homes.join(joined, "component", "left").select("doc_id", F.coalesce("now", "component").alias("component"))
+            homes = settle(homes, "homes")
+        width = max(1, SPAN * width)
+        # Buckets of one run are done.
+        rest = rest.where(F.col("n") > BLOCK * width)
 
 
 def near_dedup(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -323,7 +380,7 @@ def representatives(docs: DataFrame) -> DataFrame:
 
 
 def _connected(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Every document's class and component, the links that connect them, the links' nodes, and the texts."""
+    """Every document's class and component, the links that connect them, the nodes that may be linked, and the texts."""
     marks = settle(signed(docs), "signatures")
     classes = settle(
         marks.where("key is not null").groupBy("key").agg(F.min(F.struct("doc_id", "bands", "bits")).alias("first")).select(
@@ -345,9 +402,8 @@ def _connected(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFr
     differ = sum((F.bit_count(F.col("bits_a")[k].bitwiseXOR(F.col("bits_b")[k])) for k in range(4)), F.lit(0))
     near = star.join(sketches[0], "a").join(sketches[1], "b").where(differ <= MOST_BITS).select("a", "b")
     links = _verified(near, texts, "star")
-    rest = _linked_in_buckets(members, links, classes, texts)
-    links = settle(links.unionByName(rest), "all_links")
-    nodes = components(links)
+    links, homes = _linked_in_buckets(members, wanted, links, classes, texts)
+    nodes = homes.withColumnRenamed("doc_id", "node")
     groups = nodes.select(F.col("node").alias("class_id"), "component")
     named = marks.join(classes.select("key", F.col("doc_id").alias("class_id")), "key", "left").select(
         "doc_id", F.coalesce("class_id", "doc_id").alias("class_id")

@@ -10,6 +10,7 @@ import numpy as np
 import pandas as pd
 import pytest
 import zstandard
+from pyspark.sql import functions as F
 
 from tallymill.llm import compression, hamming, licenses, minhash, packing, pieces, quality, sharding, toxicity, urls
 
@@ -277,6 +278,62 @@ def test_sketches_that_differ_in_a_sign_bit_are_near():
     assert minhash._open_links(group)[["a", "b"]].to_numpy().tolist() == [[1, 2]]
 
 
+def test_links_that_leave_a_block_grow_with_its_texts():
+    base = [f"word{k}" for k in range(300)]
+    texts = [" ".join(base[:k] + [f"odd{k}"] + base[k + 1 :]) for k in range(10, 90, 2)]
+    n = len(texts)
+    rows = {"bucket": 7, "low": 0, "high": 0, "block": 0, "doc_id": range(n), "text": texts}
+    alike = pd.DataFrame(rows | {"component": range(n), "bits": [[0, 5, 0, 0]] * n, "bands": [[7, k] for k in range(n)]})
+    # All n * (n - 1) / 2 pairs are links; n - 1 connect them, and one if they hold two components.
+    assert len(minhash._open_links(alike)) == n - 1
+    two = minhash._open_links(alike.assign(component=[k % 2 for k in range(n)]))
+    assert two[["low", "high"]].to_numpy().tolist() == [[0, 1]]
+    assert sum(two.loc[0, ["a", "b"]] % 2) == 1
+
+
+def test_a_forest_connects_what_its_links_connect():
+    rng = np.random.default_rng(4)
+    for many in (0, 1, 30, 200):
+        x, y = rng.integers(0, 60, (2, many))
+        of = [list(range(60)) for _ in range(2)]
+        kept = minhash._forest(x, y)
+        for home, links in zip(of, (range(many), kept), strict=True):
+            for k in links:
+                low, high = sorted((home[x[k]], home[y[k]]))
+                home[:] = [low if h == high else h for h in home]
+        assert of[0] == of[1] and len(kept) == 60 - len(set(of[0]))
+
+
+@pytest.mark.parametrize("n", [1, 8, 9, 61, 130, 600])
+def test_rounds_meet_every_pair_of_blocks_once(spark, monkeypatch, n):
+    monkeypatch.setattr(minhash, "BLOCK", 8)
+    rows = spark.range(n).select(F.col("id").alias("doc_id"), F.lit(n).alias("n"))
+    pairs = Counter(tuple(r) for r in minhash._in_blocks(rows, "n").select("doc_id", "low", "high").collect())
+    width, met = 0, Counter()
+    while n > 8 * width:
+        met += Counter(tuple(r) for r in minhash._in_blocks(rows, "n", width).select("doc_id", "low", "high").collect())
+        width = max(1, minhash.SPAN * width)
+    assert met == pairs
+
+
+@pytest.mark.parametrize("n", [30, 61])
+def test_links_of_a_bucket_grow_with_its_texts(spark, monkeypatch, n):
+    monkeypatch.setattr(minhash, "BLOCK", 8)
+    base = [f"word{k}" for k in range(300)]
+    rows = [(k, " ".join(base[: 4 * k] + [f"odd{k}"] + base[4 * k + 1 :]), [7, k], [0, 5, 0, 0]) for k in range(n)]
+    rows.append((n, "a text by itself", [7, n], [0, 5, 0, 0]))
+    classes = spark.createDataFrame(rows, "doc_id long, text string, bands array<long>, bits array<long>")
+    members = classes.select(F.lit(7).cast("long").alias("bucket"), "doc_id")
+    none = spark.createDataFrame([], "a long, b long, similarity double")
+    found, homes = minhash._linked_in_buckets(members, members.select("doc_id"), none, classes, classes.select("doc_id", "text"))
+    assert {r["doc_id"]: r["component"] for r in homes.collect()} == dict.fromkeys(range(n), 0) | {n: n}
+    # All pairs of the n alike texts are links; n - 1 connect them, and of pairs of connected blocks one is kept each.
+    links = found.collect()
+    texts = [r[1] for r in rows]
+    assert n - 1 <= len(links) < 2 * n
+    assert all(r["a"] < r["b"] and r["similarity"] == minhash.similarity(texts[r["a"]], texts[r["b"]]) >= 0.8 for r in links)
+
+
 def test_units_go_on_in_the_next_batch():
     rows = pd.DataFrame({"bucket": [1, 1, 1, 2, 2, 3], "low": 0, "high": [0, 0, 1, 0, 0, 0], "doc_id": range(6)})
     units = minhash._units(iter([rows[:2], rows[2:4], rows[4:4], rows[4:]]))
