@@ -10,8 +10,9 @@ aligned once per worker. A block of documents is a matrix too: documents by word
 often each document links each pair. Blocks send every pair once, with the number of their documents that hold it; summed
 over the corpus that is the pair's count, which comes back to the blocks by a join and is multiplied by their matrices.
 A block is bounded in documents and in characters (but for one text longer than that), so no pair, word or text, however
-frequent, makes a task heavier than others. A worker's memory is bounded too: by the words kept between blocks, those learned
-at once, and the products summed at once (but for one document's).
+frequent, makes a task heavier than others. A worker's memory is bounded too: by the words kept between blocks (as columns,
+not as objects), those learned at once, and the products summed at once (but for one document's). Matrices travel as bytes
+of the smallest type that holds them.
 
 Null and empty texts have no tokens; neither has a text whose joined token bytes in A or B are not the space and the text.
 Repeated rows count as documents of their own, null ids stay null, other columns are ignored, an empty table gives none.
@@ -19,13 +20,13 @@ Repeated rows count as documents of their own, null ids stay null, other columns
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
 from hashlib import sha256
 from itertools import accumulate, chain
-from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -46,15 +47,23 @@ SPACE = "▁"
 #: Words of a generation that a worker keeps, up to this length; the one before is kept beside it.
 WORDS_KEPT, LONGEST_KEPT = 200_000, 64
 #: New words aligned at once, and products of two matrices summed at once.
-WORDS_LEARNED, PRODUCTS = 20_000, 500_000
-#: Documents and characters of a block.
-BLOCK_DOCS, BLOCK_CHARS = 1_000, 4_000_000
+WORDS_LEARNED, PRODUCTS = 5_000, 200_000
+#: Documents and characters of a block, and documents whose groups are put together at once.
+BLOCK_DOCS, BLOCK_CHARS, DIGESTED = 1_000, 4_000_000, 50
+#: Of a word or a document: tokens of A and of B, and groups; of a document links too.
+COUNTS = ("n_a", "n_b", "n_groups")
+PER_DOCUMENT = (*COUNTS, "n_links")
 #: A space beside white space, or at an end; such texts are taken apart more slowly.
 WHITE = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\pZ]"
 BESIDE_WHITE = rf"(?:^|{WHITE}) | (?:{WHITE}|$)"
 APART = re.compile(r"(?<=\S)(?= \S)")
 
 
+def joined(cuts: np.ndarray, texts: pa.Array) -> pa.Array:
+    """The texts between each two cuts, put together."""
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), texts), pa.scalar("", texts.type))
+
+
 @dataclass
 class Csr:
     """A sparse matrix: the columns and values of row i are those from indptr[i] to indptr[i + 1]."""
@@ -140,17 +149,6 @@ def group_links(a_group: np.ndarray, b_group: np.ndarray, groups: int) -> Csr:
     return a.times(b.transposed())
 
 
-class Word(NamedTuple):
-    """A space and a word, aligned: its groups as text (each with `;` behind it), linked id pairs, and counts."""
-
-    groups: str
-    pairs: bytes
-    n_a: int
-    n_b: int
-    n_groups: int
-    fits: bool
-
-
 class Aligner:
     def __init__(self, a_path: str, b_path: str):
         import sentencepiece
@@ -173,9 +171,17 @@ class Aligner:
         self.by_word = not any(SPACE in p.lstrip(SPACE) for p in b_pieces)
         #: Ids of both as text, with what follows them: the next id of the group, the other side, the next group.
         both = [*range(len(self.a_bytes)), *range(len(self.b_bytes))]
-        self.shown = [f"{i}{mark}" for mark in (",", "|", ";") for i in both]
-        self.known: dict[str, Word] = {}
-        self.before: dict[str, Word] = {}
+        self.shown = pa.array([f"{i}{mark}" for mark in (",", "|", ";") for i in both], pa.large_string())
+        #: A space and a word, aligned: its groups as text (each with `;` behind it), linked id pairs, and counts.
+        pair = pa.uint32() if len(self.a_bytes) * len(self.b_bytes) <= 1 << 32 else pa.int64()
+        self.aligned = pa.schema(
+            [("word", pa.string()), ("groups", pa.large_string()), ("pairs", pa.list_(pair)), *((n, pa.int32()) for n in COUNTS)]
+            + [("fits", pa.bool_())]
+        )
+        self.known = self.before = self._none()
+
+    def _none(self) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pylist([], self.aligned)
 
     def a_ids(self, words: list[str]) -> list[list[int]]:
         """A's ids of a space and each word. Plain words go straight to the vocabulary's merges, then the marks after them."""
@@ -206,14 +212,15 @@ class Aligner:
             )
         return a, b, fits
 
-    def _learn(self, words: list[str]) -> list[Word]:
+    def _learn(self, words: list[str]) -> pa.RecordBatch:
         a, b, fits = self.tokens(words)
         a, b = ([x if fit else [] for x, fit in zip(side, fits, strict=True)] for side in (a, b))
         a_flat, b_flat = (np.array(list(chain.from_iterable(side)), np.int64) for side in (a, b))
+        a_cuts, b_cuts = (np.array(list(accumulate(map(len, x), initial=0))) for x in (a, b))
         # All words' bytes one after the other: every word's end is the end of a token of both, so no group crosses it.
         a_group, b_group, groups = group_numbers(np.cumsum(self.a_sizes[a_flat]), np.cumsum(self.b_sizes[b_flat]))
         links = group_links(a_group, b_group, groups)
-        pairs = (np.repeat(a_flat, np.diff(links.indptr)) * len(self.b_bytes) + b_flat[links.columns]).astype("<i8").tobytes()
+        pairs = np.repeat(a_flat, np.diff(links.indptr)) * len(self.b_bytes) + b_flat[links.columns]
         # Both sides' ids in the order of their groups, A before B; a mark by what comes next.
         side = np.repeat([0, 1], [len(a_flat), len(b_flat)])
         group = np.concatenate([a_group, b_group])
@@ -223,45 +230,49 @@ class Aligner:
         last = np.append(group[1:] != group[:-1], True) if len(group) else np.empty(0, bool)
         turn = np.append(side[1:] != side[:-1], True) if len(side) else last
         mark = np.where(last, 2, np.where(turn, 1, 0))
-        shown = list(map(self.shown.__getitem__, (mark * (len(self.a_bytes) + len(self.b_bytes)) + ids).tolist()))
-        a_cuts, b_cuts = (list(accumulate(map(len, x), initial=0)) for x in (a, b))
-        pair_cuts = (links.indptr[a_cuts] * 8).tolist()
+        shown = self.shown.take(pa.array(mark * (len(self.a_bytes) + len(self.b_bytes)) + ids))
         group_cuts = np.concatenate([[0], np.cumsum(np.bincount(a_group, minlength=groups) > 0)])
-        ends = [int(a_group[c - 1]) + 1 if c else 0 for c in a_cuts]
-        return [
-            Word(
-                "".join(shown[a_cuts[k] + b_cuts[k] : a_cuts[k + 1] + b_cuts[k + 1]]),
-                pairs[pair_cuts[k] : pair_cuts[k + 1]],
-                len(a[k]),
-                len(b[k]),
-                int(group_cuts[ends[k + 1]] - group_cuts[ends[k]]),
-                fits[k],
-            )
-            for k in range(len(words))
-        ]
-
-    def _keep(self, word: str, aligned: Word) -> None:
-        if len(self.known) >= WORDS_KEPT:
-            self.before, self.known = self.known, {}
-        self.known[word] = aligned
-
-    def words(self, words: list[str]) -> list[Word]:
-        found, new = list(map(self.known.get, words)), []
-        for k in [k for k, w in enumerate(found) if w is None]:
-            if (kept := self.before.get(words[k])) is None:
-                new.append(k)
-            else:
-                found[k] = kept
-                self._keep(words[k], kept)
-        for at in range(0, len(new), WORDS_LEARNED):
-            some = new[at : at + WORDS_LEARNED]
-            for k, word in zip(some, self._learn([words[k] for k in some]), strict=True):
-                found[k] = word
-                if len(words[k]) <= LONGEST_KEPT:
-                    self._keep(words[k], word)
-        return found
-
-    def split(self, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+        ends = np.concatenate([[0], a_group + 1])[a_cuts]
+        kinds = self.aligned
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(words, pa.string()),
+                joined(a_cuts + b_cuts, shown),
+                pa.ListArray.from_arrays(pa.array(links.indptr[a_cuts], pa.int32()), pa.array(pairs).cast(kinds.field("pairs").type.value_type)),
+                *(pa.array(np.diff(x), pa.int32()) for x in (a_cuts, b_cuts, group_cuts[ends])),
+                pa.array(fits, pa.bool_()),
+            ],
+            schema=kinds,
+        )
+
+    def _keep(self, aligned: pa.RecordBatch) -> None:
+        while len(aligned):
+            if len(self.known) >= WORDS_KEPT:
+                self.before, self.known = self.known, self._none()
+            some = aligned.slice(0, WORDS_KEPT - len(self.known))
+            self.known = pa.concat_batches([self.known, some])
+            aligned = aligned.slice(len(some))
+
+    def words(self, words: pa.Array | list[str]) -> pa.RecordBatch:
+        """Distinct words, aligned."""
+        words = words.cast(pa.string()) if isinstance(words, pa.Array) else pa.array(words, pa.string())
+        rest, parts, places = np.arange(len(words)), [], []
+        for kept in (self.known, self.before):
+            at = pc.fill_null(pc.index_in(words.take(pa.array(rest)), value_set=kept.column("word")), -1).to_numpy()
+            parts.append(kept.take(pa.array(at[at >= 0])))
+            places.append(rest[at >= 0])
+            rest = rest[at < 0]
+        self._keep(parts[1])
+        for at in range(0, len(rest), WORDS_LEARNED):
+            some = rest[at : at + WORDS_LEARNED]
+            parts.append(self._learn(words.take(pa.array(some)).to_pylist()))
+            places.append(some)
+            self._keep(parts[-1].filter(pc.less_equal(pc.utf8_length(parts[-1].column("word")), LONGEST_KEPT)))
+        found = pa.concat_batches(parts)
+        parts.clear()
+        return found.take(pa.array(np.argsort(np.concatenate(places))))
+
+    def split(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
         """The texts' distinct words, the place of each word there, and how many words each text has."""
         texts = pc.fill_null(texts, "")
         lists = pc.split_pattern(texts, " ")
@@ -281,7 +292,7 @@ class Aligner:
         else:
             counts, flat, order = pc.list_value_length(lists).to_numpy().astype(np.int64), lists.flatten(), slice(None)
         coded = flat.dictionary_encode()
-        return coded.dictionary.to_pylist(), coded.indices.to_numpy()[order], counts
+        return coded.dictionary, coded.indices.to_numpy()[order], counts
 
 
 @cache
@@ -289,6 +300,12 @@ def aligner(a_path: str, b_path: str) -> Aligner:
     return Aligner(a_path, b_path)
 
 
+def lean() -> None:
+    """For a worker that shares its memory: tokenizers start no threads beside a task's, and what Arrow frees others may take."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    pa.set_memory_pool(pa.system_memory_pool())
+
+
 def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Batches of (doc_id, text) put together and cut into blocks."""
     held, docs, chars = [], 0, 0
@@ -312,42 +329,56 @@ def _one(values: np.ndarray, kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values, kind))
 
 
-PER_DOCUMENT = ("n_a", "n_b", "n_groups", "n_links")
+def small(values: np.ndarray) -> bytes:
+    """Numbers from 0 as bytes of the smallest type that holds them."""
+    return values.astype(np.min_scalar_type(int(values.max(initial=0)))).tobytes()
+
+
+def wide(data: bytes, many: int) -> np.ndarray:
+    """What `small` made of so many numbers."""
+    return np.frombuffer(data, f"u{len(data) // many}" if many else "u1").astype(np.int64)
+
+
+def digests(groups: pa.Array, which: np.ndarray, cuts: np.ndarray) -> Iterator[str]:
+    """Of each document, whose words are those from one cut to the next; empty for one without words. A few documents at a
+    time, so that their groups are never together."""
+    for at in range(0, len(cuts) - 1, DIGESTED):
+        ends = cuts[at : at + DIGESTED + 1]
+        shown = groups.take(pa.array(which[ends[0] : ends[-1]]))
+        for text in joined(ends - ends[0], shown):
+            data = memoryview(text.as_buffer())[:-1]
+            yield sha256(data).hexdigest() if len(data) else ""
 
 
 def _block(own: Aligner, part: pa.RecordBatch, number: int) -> pa.RecordBatch:
     words, which, counts = own.split(part.column(1))
     aligned = own.words(words)
-    shown, linked_ids, *numbers, spelt = zip(*aligned, strict=True) if aligned else [()] * len(Word._fields)
-    cuts = np.concatenate([[0], np.cumsum(counts)])
     owner = np.repeat(np.arange(len(part)), counts)
-    misfit = ~np.array(spelt, bool)[which]
+    misfit = ~aligned.column("fits").to_numpy(zero_copy_only=False)[which]
     fits = np.bincount(owner[misfit], minlength=len(part)) == 0
-    occurs = Csr.of_entries(owner[fits[owner]], which[fits[owner]], np.ones(int(fits[owner].sum()), np.int64), len(part), len(words))
-    pairs, places = np.unique(np.frombuffer(b"".join(linked_ids), "<i8"), return_inverse=True)
-    ends = np.cumsum(np.fromiter(map(len, linked_ids), np.int64, len(words))) // 8
+    owner, which = owner[fits[owner]], which[fits[owner]]
+    occurs = Csr.of_entries(owner, which, np.ones(len(owner), np.int64), len(part), len(words))
+    lists = aligned.column("pairs")
+    pairs, places = np.unique(lists.flatten().to_numpy(), return_inverse=True)
+    ends = np.cumsum(pc.list_value_length(lists).to_numpy(), dtype=np.int64)
     linked = occurs.times(Csr(np.concatenate([[0], ends]), places, np.ones(len(places), np.int64), len(pairs)))
     # Pairs that only texts without tokens have fall away.
     held = np.bincount(linked.columns, minlength=len(pairs))
     new_place = np.cumsum(held > 0) - 1
-    sums = [occurs.dot(np.array(n, np.int64)) for n in numbers]
+    sums = [occurs.dot(aligned.column(n).to_numpy().astype(np.int64)) for n in COUNTS]
     sums.append(linked.dot(np.ones(len(pairs), np.int64)))
-    at = which.tolist()
-    digests = [
-        sha256("".join([shown[k] for k in at[a:b]])[:-1].encode()).hexdigest() if fit and b > a else ""
-        for a, b, fit in zip(cuts.tolist(), cuts[1:].tolist(), fits.tolist(), strict=False)
-    ]
+    cuts = np.concatenate([[0], np.cumsum(np.where(fits, counts, 0))])
     return pa.RecordBatch.from_arrays(
         [
             pa.array([number], pa.int64()),
             pa.ListArray.from_arrays(pa.array([0, len(part)], pa.int32()), part.column(0)),
             *(_one(s, pa.int64()) for s in sums),
-            pa.array([digests], pa.list_(pa.string())),
-            _one(pairs[held > 0], pa.int64()),
+            pa.array([list(digests(aligned.column("groups"), which, cuts))], pa.list_(pa.string())),
+            _one(pairs[held > 0].astype(np.int64), pa.int64()),
             _one(held[held > 0], pa.int32()),
             _one(linked.indptr, pa.int32()),
-            _one(new_place[linked.columns], pa.int32()),
-            _one(linked.values, pa.int32()),
+            pa.array([small(new_place[linked.columns])], pa.binary()),
+            pa.array([small(linked.values)], pa.binary()),
         ],
         names=["block", "doc_id", *PER_DOCUMENT, "digest", "pairs", "documents", "starts", "columns", "occurs"],
     )
@@ -358,6 +389,7 @@ def block_rows(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     documents by pairs (row starts, columns, occurrences)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         own, task = aligner(a_path, b_path), TaskContext.get().partitionId()
         for number, part in enumerate(blocks(batches)):
             yield _block(own, part, (task << 32) + number)
@@ -365,7 +397,7 @@ def block_rows(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     schema = (
         "block long, doc_id array<long>, "
         + ", ".join(f"{n} array<long>" for n in PER_DOCUMENT)
-        + ", digest array<string>, pairs array<long>, documents array<int>, starts array<int>, columns array<int>, occurs array<int>"
+        + ", digest array<string>, pairs array<long>, documents array<int>, starts array<int>, columns binary, occurs binary"
     )
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
 
@@ -381,7 +413,8 @@ def pair_counts(in_blocks: DataFrame, size_b: int) -> DataFrame:
 def _scored(block: pd.DataFrame, pairs: pd.DataFrame) -> pd.DataFrame:
     """A block's documents, with their matrix times the counts, and times the best pairs."""
     row, pairs = block.iloc[0], pairs.sort_values("pair")
-    matrix = Csr(row["starts"].astype(np.int64), row["columns"], row["occurs"].astype(np.int64), len(pairs))
+    starts = row["starts"].astype(np.int64)
+    matrix = Csr(starts, wide(row["columns"], starts[-1]), wide(row["occurs"], starts[-1]), len(pairs))
     return pd.DataFrame(
         {
             "doc_id": pd.array(row["doc_id"], "Float64" if row["doc_id"].dtype == float else None).astype("Int64"),
@@ -414,7 +447,7 @@ def aligned_tokens(docs: DataFrame, a_path: str = BYTE_LEVEL, b_path: str = PIEC
         own = aligner(a_path, b_path)
         for part in blocks(batches):
             words, which, counts = own.split(part.column(1))
-            tokens = own.tokens(words)
+            tokens = own.tokens(words.to_pylist())
             cuts = np.concatenate([[0], np.cumsum(counts)]).tolist()
             rows = []
             for k, doc_id in enumerate(part.column(0).to_pylist()):

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import subprocess
+import sys
 import tracemalloc
 from collections import Counter, defaultdict
 from hashlib import sha256
@@ -179,3 +182,38 @@ def test_tokens_of_documents(docs):
         assert row["a_ids"] == a and row["b_ids"] == b
         assert [[k for k, g in enumerate(row["a_groups"]) if g == n] for n in range(len(groups))] == [g[0] for g in groups]
         assert sum(o["bytes"] for o in row["overlaps"]) == (a_ends[-1] if a else 0)
+
+
+GROWTH = """
+import random, sys
+from tallymill.llm import alignment
+
+def held():
+    return next(int(line.split()[1]) for line in open("/proc/self/status") if line.startswith("RssAnon")) / 1024
+
+own, draw = alignment.Aligner(alignment.BYTE_LEVEL, alignment.PIECES), random.Random(3)
+if hasattr(alignment, "lean"):
+    alignment.lean()
+own.words(["warm", "up"])
+before = held()
+for _ in range(95):
+    own.words(["".join(draw.choices("aeioustrn", k=9)) + str(draw.random())[2:6] for _ in range(4_000)])
+print(len(own.known) + len(own.before), held() - before)
+"""
+
+
+def test_kept_words_take_little_memory():
+    env = {**os.environ, "TOKENIZERS_PARALLELISM": "false", "PYTHONPATH": os.pathsep.join(p for p in sys.path if p)}
+    said = subprocess.run([sys.executable, "-c", GROWTH], env=env, capture_output=True, text=True, check=True, timeout=300)
+    words, grown = said.stdout.split()
+    assert int(words) > 300_000
+    assert float(grown) < 120
+
+
+def test_small_numbers_come_back_from_bytes():
+    for most, size in ((0, 1), (255, 1), (256, 2), (65_536, 4)):
+        numbers = np.array([0, most, 1])
+        data = alignment.small(numbers)
+        assert len(data) == 3 * size
+        assert alignment.wide(data, 3).tolist() == numbers.tolist()
+    assert len(alignment.wide(alignment.small(np.empty(0, np.int64)), 0)) == 0
