@@ -5,6 +5,10 @@ an index of their own; those of a rare length are turned at random, which keeps
 a multi-index; blocks that differ in one bit at most retrieve candidates, and the original vectors decide by cosine in
 double precision. Equal vectors form one class first. Null, zero and non-finite vectors link with nothing. Of rows that
 share a vec_id the smallest vector counts, and each row is returned.
+
+The driver gets rotations, not vectors. Joins with probes, links or vectors are never broadcast joins: the planner takes an
+exploded table to be as large as what it came from (17 times too small for the probes), and a written one as large as its
+file, where repeated ids and numbers take little.
 """
 
 from __future__ import annotations
@@ -57,17 +61,26 @@ def drawn_turn(dims: int, seed: int) -> np.ndarray:
     return np.random.default_rng([dims, seed]).normal(size=(dims, BITS))
 
 
+def learned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rotations, by seed, from a sample (hash, embedding) of vectors of one length."""
+    rows = [row for batch in batches for row in zip(batch["hash"], batch["embedding"], strict=True)]
+    good = [np.asarray(v, dtype=float) for _, v in sorted(rows, key=lambda row: row[0]) if usable(v)]
+    if good:
+        x = np.array([v / np.linalg.norm(v) for v in good])
+        yield pd.DataFrame({"seed": range(CODES), "turn": [learn(x, seed).tobytes() for seed in range(CODES)]})
+
+
 def learned_turns(classes: DataFrame) -> dict[int, list[np.ndarray]]:
-    """Rotations by length, for the most frequent lengths that have as many vectors as numbers in one."""
-    size = F.size("embedding")
-    common = classes.groupBy(size.alias("dims")).count().where("dims > 0 and count >= dims")
+    """Rotations by length, for the most frequent lengths that have as many vectors as numbers in one. Those of the
+    FIT_VECTORS smallest hashes are a length's sample, found by their hashes alone; one task learns from it."""
+    common = classes.groupBy("dims").count().where("dims > 0 and count >= dims")
     out = {}
     for r in common.orderBy(F.desc("count"), "dims").limit(LEARNED_LENGTHS).collect():
-        drawn = classes.where(size == r["dims"]).orderBy(F.xxhash64("vec_id")).limit(FIT_VECTORS).select("embedding").collect()
-        good = [np.asarray(d[0], dtype=float) for d in drawn if usable(d[0])]
-        if good:
-            sample = np.array([v / np.linalg.norm(v) for v in good])
-            out[r["dims"]] = [learn(sample, seed) for seed in range(CODES)]
+        hashed = classes.where(F.col("dims") == r["dims"]).withColumn("hash", F.xxhash64("vec_id"))
+        last = hashed.select("hash").orderBy("hash").limit(FIT_VECTORS).agg(F.max("hash")).first()[0]
+        drawn = hashed.where(F.col("hash") <= last).select("hash", "embedding").repartition(1)
+        if turns := drawn.mapInPandas(learned, "seed int, turn binary").collect():
+            out[r["dims"]] = [np.frombuffer(t["turn"]).reshape(r["dims"], -1) for t in sorted(turns)]
     return out
 
 
@@ -95,7 +108,10 @@ def near_vectors(rows: DataFrame) -> DataFrame:
     unique = rows.where("vec_id is not null").groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
     # Classes of equal vectors; the smallest id stands for each.
     classes = settle(
-        unique.where("embedding is not null").groupBy("embedding").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("copies")),
+        unique.where("embedding is not null")
+        .groupBy("embedding")
+        .agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("copies"))
+        .withColumn("dims", F.size("embedding")),
         "classes",
     )
     codes = settle(coded(classes.select("vec_id", "embedding"), learned_turns(classes)), "codes")
@@ -115,7 +131,8 @@ def near_vectors(rows: DataFrame) -> DataFrame:
         F.col("vec_id").alias("a"), "dims", F.col("code").alias("code_a"), "of", F.col("value").bitwiseXOR(F.col("flip")).alias("value")
     )
     pairs = (
-        probes.join(index, ["dims", "of", "value"])
+        probes.hint("merge")
+        .join(index, ["dims", "of", "value"])
         .where((F.col("a") < F.col("vec_id")) & (F.bit_count(F.col("code_a").bitwiseXOR(F.col("code"))) <= MOST_BITS))
         .select("a", F.col("vec_id").alias("b"))
         .distinct()
@@ -129,17 +146,18 @@ def near_vectors(rows: DataFrame) -> DataFrame:
 
         return pd.Series([one(p, q) for p, q in zip(x, y, strict=True)], dtype=float)
 
-    of = classes.select("vec_id", "embedding")
+    of = classes.select("vec_id", "embedding").hint("merge")
     both = pairs.join(of.select(F.col("vec_id").alias("b"), F.col("embedding").alias("y")), "b").join(
         of.select(F.col("vec_id").alias("a"), F.col("embedding").alias("x")), "a"
     )
     links = settle(both.where(cosine("x", "y") >= COSINE).select("a", "b"), "links")
     ends = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     size = classes.select(F.col("vec_id").alias("b"), "copies")
-    near = ends.join(size, "b").groupBy(F.col("a").alias("class")).agg(F.sum("copies").alias("near"))
+    near = ends.hint("merge").join(size, "b").groupBy(F.col("a").alias("class")).agg(F.sum("copies").alias("near"))
     groups = components(links).withColumnRenamed("node", "class")
-    good_class = codes.select(F.col("vec_id").alias("class")).join(classes, F.col("vec_id") == F.col("class"))
-    named = unique.join(good_class.select("class", "copies", "embedding"), "embedding", "left")
+    good_class = classes.join(codes.select("vec_id"), "vec_id", "left_semi")
+    good_class = good_class.select(F.col("vec_id").alias("class"), "copies", "embedding")
+    named = unique.join(good_class.hint("merge"), "embedding", "left")
     named = named.join(near, "class", "left").join(groups, "class", "left")
     out = named.select(
         "vec_id",

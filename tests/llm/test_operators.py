@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 import zlib
 from collections import Counter
 from itertools import combinations
@@ -378,6 +379,46 @@ def test_near_vectors_of_several_lengths(spark):
     assert found[102] == (0, 102) and found[204] == (0, 204)
 
 
+def test_near_vectors_send_the_driver_little(spark, monkeypatch):
+    """Neither vectors nor the probes, 17 times the index that they are taken to be as large as."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(2_000, 32))
+    frame = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<float>").repartition(4)
+    plans, sizes = {}, []
+    settle, collect = hamming.settle, type(frame).collect
+
+    def kept(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return settle(df, name)
+
+    def collected(df):
+        sizes.append(len(pickle.dumps(rows := collect(df))))
+        return rows
+
+    monkeypatch.setattr(hamming, "settle", kept)
+    monkeypatch.setattr(type(frame), "collect", collected)
+    found = hamming.near_vectors(frame)
+    plans["result"] = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plans["links"]
+    by_vector = [line for line in plans["result"].splitlines() if "Join" in line and "embedding" in line]
+    assert len(by_vector) == 1 and "SortMergeJoin" in by_vector[0]
+    # Two rotations of 32 by 32 numbers are 16 KB, the vectors 512.
+    assert sizes and sum(sizes) < 50_000
+    assert found.count() == 2_000
+
+
+def test_rotations_come_from_the_smallest_hashes(spark, monkeypatch):
+    monkeypatch.setattr(hamming, "FIT_VECTORS", 40)
+    x = np.random.default_rng(9).normal(size=(300, 16))
+    frame = spark.createDataFrame([(k, v.tolist(), 16) for k, v in enumerate(x)], "vec_id long, embedding array<double>, dims int")
+    ids = [r["vec_id"] for r in frame.orderBy(F.xxhash64("vec_id")).limit(40).select("vec_id").collect()]
+    sample = x[ids] / np.linalg.norm(x[ids], axis=1, keepdims=True)
+    turns = hamming.learned_turns(frame.repartition(5))
+    assert list(turns) == [16] and len(turns[16]) == hamming.CODES
+    for seed, turn in enumerate(turns[16]):
+        assert np.allclose(turn, hamming.learn(sample, seed))
+
+
 def test_toxicity_learns_from_documents(spark):
     rng = np.random.default_rng(7)
     plain = [f"w{a}" for a in "abcdefghijklmnop"]
